@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing
+from . import line_dedup, mixing, near_dup, packing, token_files
+from .common import new_path
+
+
+def vocabulary(name: str) -> str:
+    """A file of the public tokenizers; it lies at the same place on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,9 +31,27 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "tokens")
+    token_files.write_tokens(documents(spark, sf_dir), path, vocabulary=vocabulary("byte_bpe_50k.json"), end_id=2)
+    return token_files.token_digests(spark, path).withColumnRenamed("id", "doc_id")
+
+
+def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir), vocabulary=vocabulary("word_bpe_49k.json"), end_id=1).withColumnRenamed("id", "doc_id")
+
+
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    links = near_dup.jaccard_links(documents(spark, sf_dir))
+    return links.select(F.col("id").alias("doc_id"), "class_id", "n_links", "n_copies")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op2_line_dedup": op2_line_dedup,
+    "op3_token_files": op3_token_files,
+    "op4_pack": op4_pack,
+    "op8_jaccard_join": op8_jaccard_join,
 }
 
 ORACLE_SQL: dict[str, str] = {
