@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, near_dup, packing, token_files
+from . import fingerprints, line_dedup, mixing, near_dup, packing, secrets, token_files
 from .common import new_path
 
 
@@ -46,12 +46,25 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links.select(F.col("id").alias("doc_id"), "class_id", "n_links", "n_copies")
 
 
+def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_with_edits(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(documents(spark, sf_dir))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.sha2(secrets.joined(F.filter("spans", secrets.is_base)), 256)
+    return found.select(F.col("id").alias("doc_id"), *[count(k) for k in secrets.BASE], base.alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op2_line_dedup": op2_line_dedup,
     "op3_token_files": op3_token_files,
     "op4_pack": op4_pack,
+    "op7_fingerprint": op7_fingerprint,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_secrets": op9_secrets,
 }
 
 ORACLE_SQL: dict[str, str] = {
