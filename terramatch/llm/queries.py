@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, line_dedup, mixing, near_dup, packing, secrets, token_files
+from ..session import ship
+from . import classifier, fingerprints, line_dedup, mixing, near_dup, packing, pii, quality_rules, secrets, token_files
 from .common import new_path
 
 
@@ -19,7 +20,7 @@ def vocabulary(name: str) -> str:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return ship(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +47,15 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links.select(F.col("id").alias("doc_id"), "class_id", "n_links", "n_copies")
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_pii(documents(spark, sf_dir).select("doc_id", "text"), key="a key that each deployment sets for itself")
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules.judge(documents(spark, sf_dir))
+    return out.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_with_edits(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
@@ -57,14 +67,22 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), *[count(k) for k in secrets.BASE], base.alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"))
 
 
+def op10_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return classifier.classify(documents(spark, sf_dir), labels).select(F.col("id").alias("doc_id"), "low_quality", "toxicity", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op2_line_dedup": op2_line_dedup,
     "op3_token_files": op3_token_files,
     "op4_pack": op4_pack,
+    "op5_pii": op5_pii,
+    "op6_quality_rules": op6_quality_rules,
     "op7_fingerprint": op7_fingerprint,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_secrets": op9_secrets,
+    "op10_classifier": op10_classifier,
 }
 
 ORACLE_SQL: dict[str, str] = {
