@@ -44,50 +44,78 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = (5, 2, 1), most_
     )
 
 
+def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, quality: Column | None, seed: int, *more: Column) -> DataFrame:
+    """id, source, size, key and more, a row a document, all from the row alone."""
+    text = text_of(text_col)
+    name = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.length(text).cast("string"))
+    rows = docs.select(*more, F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), word_count(text).alias("size"), F.length(text).cast("long").alias("chars"), F.sha2(name, 256).alias("h"), (F.lit(None) if quality is None else quality).cast("double").alias("q"))
+    bounded = F.coalesce(F.least(F.greatest(F.col("q"), F.lit(LEAST_QUALITY)), F.lit(MOST_QUALITY)), F.lit(LEAST_QUALITY))
+    weight = quality_weight(F.col("size"), F.col("chars")) if quality is None else bounded
+    u = (F.conv(F.substring("h", 1, 13), 16, 10).cast("long").cast("double") + 0.5) / float(2**52)
+    return rows.withColumn("key", -F.log(u) / weight).drop("chars", "h", "q")
+
+
+def _ranged(keyed: DataFrame, plan: DataFrame) -> DataFrame:
+    """keyed with its source's plan and its range of keys. With the least quality as rate, no range holds over MOST_QUALITY /
+    LEAST_QUALITY times the mean number of documents. The plan has a row a source; it isn't hinted, Spark knows its size."""
+    at = F.floor((1 - F.exp(-F.col("key") * LEAST_QUALITY)) * F.col("ranges")).cast("long")
+    return keyed.join(plan.withColumnRenamed("source", "of_source"), F.col("source").eqNullSafe(F.col("of_source"))).withColumn("range", at).drop("of_source")
+
+
+def mix_plan(keyed: DataFrame, weights: Sequence[float], most_epochs: float) -> DataFrame:
+    """A row a source: source_size, target, epochs, and where in the order of keys the fractional selection ends: at `last` in `end_range`.
+
+    A source is never sorted as a whole. Keys are cut into ranges of some thousand documents; range sums and their prefix sums tell
+    the one range in which a source's budget ends, and only that range's documents are ordered.
+    """
+    sizes = keyed.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("source_rows"))
+    plan = source_targets(sizes, weights, most_epochs)
+    plan = plan.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
+    plan = plan.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")).withColumn("ranges", F.ceil(F.col("source_rows") / RANGE_ROWS))
+    plan = durable(plan, "mix-plan", 1)
+    sums = _ranged(keyed, plan).groupBy("source", "range", "rest").agg(F.sum("size").alias("size"))
+    sums = sums.withColumn("until", F.sum("size").over(W.partitionBy("source").orderBy("range").rowsBetween(W.unboundedPreceding, 0)))
+    # the first range whose prefix sum exceeds the budget; none where all ranges fit
+    ends = sums.filter(F.col("until") > F.col("rest")).groupBy("source").agg(F.min(F.struct("range", (F.col("until") - F.col("size")).alias("before"))).alias("end"))
+    plan = plan.join(ends.select(F.col("source").alias("end_source"), F.col("end.range").alias("end_range"), "end.before"), F.col("source").eqNullSafe(F.col("end_source")), "left").drop("end_source")
+    plan = durable(plan, "mix-plan", 1)
+    order = W.partitionBy("source").orderBy("key", "id", "size").rowsBetween(W.unboundedPreceding, 0)
+    inside = _ranged(keyed, plan).filter(F.col("range") == F.col("end_range")).withColumn("middle", F.col("before") + F.sum("size").over(order) - F.col("size") / 2)
+    last = inside.filter(F.col("middle") <= F.col("rest")).groupBy("source").agg(F.max(F.struct("key", "id", "size")).alias("last"))
+    return durable(plan.join(last.withColumnRenamed("source", "last_source"), F.col("source").eqNullSafe(F.col("last_source")), "left").drop("last_source", "before"), "mix-plan", 1)
+
+
+def _copies() -> Column:
+    inside = F.coalesce(F.struct("key", "id", "size") <= F.col("last"), F.lit(False))
+    selected = F.col("end_range").isNull() | (F.col("range") < F.col("end_range")) | ((F.col("range") == F.col("end_range")) & inside)
+    # a budget of nothing selects nothing, also where no range exceeds it
+    return F.col("epochs") + (selected & (F.col("rest") > 0)).cast("long")
+
+
 def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", quality: Column | None = None, weights: Sequence[float] = (5, 2, 1), most_epochs: float = 3, seed: int = 20) -> DataFrame:
-    """One row a document: id_col, size, source, source_size, target, epochs, selected, copies, taken.
+    """One row a document: id_col, size, source, source_size, target, epochs, copies, taken.
 
     Every document of a source is taken floor(target / source_size) times; the rest of the target is filled with documents in
-    ascending order of -ln(u) / quality, u a hash of seed, id and text, for as long as half a document still fits. Whole
+    ascending order of -ln(u) / quality, u a hash of seed, id and length, for as long as half a document still fits. Whole
     documents are taken, so a source misses its target by half a document at most.
 
-    Scale: a source is never sorted as a whole. Keys are cut into ranges of some thousand documents; range sums and their prefix
-    sums tell the one range in which a source's budget ends, and only that range's documents are ordered.
+    Scale: see mix_plan. Documents meet a table of one row a source; no text moves.
 
-    Defined results: a null or empty text has size 0 and is taken 0 times its words; a null source is a source of its own; a null id is hashed
-    as such; equal rows share a key and are documents of their own; an empty table gives an empty one. Further columns are ignored.
+    Defined results: a null or empty text has size 0 and takes no words; a null source is a source of its own; a null id is hashed as an
+    empty one; equal rows are selected together or not at all; an empty table gives an empty one. Further columns are left out.
     """
-    text, spark = text_of(text_col), docs.sparkSession
-    size = word_count(text)
-    weight = F.lit(1.0)
-    sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), size.alias("size"), F.length(text).cast("long").alias("chars"), F.sha2(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.length(text).cast("string")), 256).alias("h"), *([quality.cast("double").alias("q")] if quality is not None else []))
-    weight = F.coalesce(F.least(F.greatest(F.col("q"), F.lit(LEAST_QUALITY)), F.lit(MOST_QUALITY)), F.lit(LEAST_QUALITY)) if quality is not None else quality_weight(F.col("size"), F.col("chars"))
-    u = (F.conv(F.substring("h", 1, 13), 16, 10).cast("long").cast("double") + 0.5) / float(2**52)
-    keyed = durable(sized.select("id", "source", "size", (-F.log(u) / weight).alias("key")), "mix-keys")
-
-    sizes = keyed.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("source_rows"))
-    sources = durable(source_targets(sizes, weights, most_epochs), "mix-sources", 1)
-    sources = (
-        sources.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
-        .withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
-        .withColumn("ranges", F.ceil(F.col("source_rows") / RANGE_ROWS))
-    )
-    # with the least quality as rate, no range holds over MOST_QUALITY / LEAST_QUALITY times the mean
-    at = F.floor((1 - F.exp(-F.col("key") * LEAST_QUALITY)) * F.col("ranges")).cast("long")
-    ranged = keyed.alias("k").join(sources.withColumnRenamed("source", "name").alias("s"), F.col("source").eqNullSafe(F.col("name"))).select("k.*", "name", "source_size", "target", "epochs", "rest", at.alias("range"))
-    sums = ranged.groupBy("source", "range", "rest").agg(F.sum("size").alias("size"))
-    ends = sums.withColumn("until", F.sum("size").over(W.partitionBy("source").orderBy("range").rowsBetween(W.unboundedPreceding, 0)))
-    # the range in which the budget ends: the first whose prefix sum exceeds it; none where all ranges fit
-    ends = ends.filter(F.col("until") > F.col("rest")).groupBy("source").agg(F.min(F.struct("range", (F.col("until") - F.col("size")).alias("before"))).alias("end"))
-    ends = durable(ends.select(F.col("source").alias("name2"), "end.range", "end.before"), "mix-ends", 1).withColumnRenamed("range", "end_range")
-    placed = ranged.join(ends, F.col("source").eqNullSafe(F.col("name2")), "left")
-    last = W.partitionBy("source").orderBy("key", "id", "size").rowsBetween(W.unboundedPreceding, 0)
-    inside = placed.filter(F.col("range") == F.col("end_range")).withColumn("selected", F.sum("size").over(last) - F.col("size") / 2 + F.col("before") <= F.col("rest"))
-    outside = placed.filter(F.col("end_range").isNull() | (F.col("range") != F.col("end_range"))).withColumn("selected", F.col("end_range").isNull() | (F.col("range") < F.col("end_range")))
-    # a budget of nothing selects nothing, also where no range exceeds it
-    copies = F.col("epochs") + (F.col("selected") & (F.col("rest") > 0)).cast("long")
-    done = outside.unionByName(inside)
-    return done.select(F.col("id").alias(id_col), "size", "source", "source_size", "target", "epochs", "selected", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    keyed = durable(_sized(docs, id_col, text_col, source_col, quality, seed), "mix-keys")
+    met = _ranged(keyed, mix_plan(keyed, weights, most_epochs)).withColumn("copies", _copies())
+    return met.select(F.col("id").alias(id_col), "size", "source", "source_size", "target", "epochs", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def mixed_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", quality: Column | None = None, weights: Sequence[float] = (5, 2, 1), most_epochs: float = 3, seed: int = 20) -> DataFrame:
+    """The rows of docs, each as many times as mix() takes it; all columns stay."""
+    keyed = durable(_sized(docs, id_col, text_col, source_col, quality, seed), "mix-keys")
+    plan = mix_plan(keyed, weights, most_epochs)
+    rows = _sized(docs, id_col, text_col, source_col, quality, seed, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    met = _ranged(rows, plan).withColumn("copies", _copies())
+    return met.filter("copies > 0").select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("row.*")
 
 
 #: DuckDB's statement of op1_mix over `documents`.
