@@ -1,0 +1 @@
+"""Column functions: geodesy, grid arithmetic, keys and names."""

@@ -1,0 +1 @@
+"""Operators of the matching pipeline, DataFrame to DataFrame."""

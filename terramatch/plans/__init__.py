@@ -1,0 +1 @@
+"""Whole stages of the pipeline, and the queries of this repository."""
