@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 #: Discount a year, years over which a release is averaged, the first year of the cost series, the schedule's horizon.
 DISCOUNT, RELEASE_YEARS, FIRST_COST_YEAR, HORIZON = 0.03, 5, 2005, 3999
-YEARS = W.orderBy("year")
+
 
 
 def checked(condition: Column, value: Column, message: str) -> Column:
@@ -28,7 +28,7 @@ def difference(additionality: DataFrame, leakage: DataFrame) -> DataFrame:
 
 def net_sequestration(additionality: DataFrame, leakage: DataFrame) -> DataFrame:
     """year, net: what a year adds to additionality less leakage; from the second year on."""
-    d = difference(additionality, leakage).withColumn("net", F.col("value") - F.lag("value").over(YEARS)).withColumn("gap", F.col("year") - F.lag("year").over(YEARS))
+    d = difference(additionality, leakage).withColumn("net", F.col("value") - F.lag("value").over(W.orderBy("year"))).withColumn("gap", F.col("year") - F.lag("year").over(W.orderBy("year")))
     return d.filter("gap = 1").select("year", "net")
 
 
