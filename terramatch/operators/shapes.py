@@ -6,13 +6,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.geodesy import utm_epsg, utm_forward
 from .matching import small
 
-RING = "array<struct<x: double, y: double>>"
-
-
 def edges(ring: Column) -> Column:
     """(x0, y0, x1, y1) of all edges, the closing one included."""
     after = F.concat(F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 1, F.lit(1)))
@@ -121,7 +119,7 @@ def _half_hull(points: list[tuple[float, float]]) -> list[tuple[float, float]]:
     return out[:-1]
 
 
-@F.pandas_udf(RING)
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])))
 def convex_hull(rings: pd.Series) -> pd.Series:
     """By Andrew's monotone chain, counter-clockwise from the leftmost point."""
     def hull(ring) -> list[dict[str, float]]:
