@@ -213,7 +213,7 @@ def jaccard_links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     threshold meets with the stated recall, one above it with more.
 
     Defined results: a null or empty text has no n-grams; such documents are copies of one another and link with nothing else.
-    Rows of one id count as one node for each distinct set; the rows of a class with the smallest (id, text hash) are its keeper,
+    Rows of one id with different sets are documents of their own; the rows of a class with the smallest (id, text hash) are its keeper,
     so equal rows are all of them keepers or none. A null id comes last among keepers. An empty table gives an empty one.
     """
     bands, rows = choose_bands(threshold, recall)
@@ -222,7 +222,11 @@ def jaccard_links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     signed = durable(source.mapInArrow(partial(_signed, n=n, bands=bands, rows=rows, seed=seed), "id long, text_hash long, a long, b long, n_grams long, bands array<long>"), "signatures")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("first")
     classes = signed.groupBy("a", "b").agg(first, F.count("*").alias("copies"), F.any_value("n_grams").alias("n_grams"), F.any_value("bands").alias("bands"))
-    classes = durable(classes.withColumn("node", F.coalesce("first.id", "a")), "classes")
+    classes = durable(classes, "classes")
+    # a node's name is its first id; where no id is given or several sets share one, it is half of the set's digest
+    shared = durable(classes.groupBy(F.col("first.id").alias("shared")).count().filter("count > 1 AND shared IS NOT NULL").select("shared"), "shared-ids", 1)
+    classes = classes.join(shared, F.col("first.id") == F.col("shared"), "left").withColumn("node", F.when(F.col("shared").isNull(), F.col("first.id")).otherwise(F.col("a")))
+    classes = classes.withColumn("node", F.coalesce("node", "a")).drop("shared")
 
     banded = classes.select("node", "n_grams", F.posexplode("bands").alias("band", "key"))
     mark = F.xxhash64("node")

@@ -1,0 +1,453 @@
+"""The training-data operators against brute force, and on odd tables."""
+
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+from hashlib import sha256
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from terramatch.llm import classifier, common, components, fingerprints, line_dedup, mixing, near_dup, packing, pii, quality_rules, queries, secrets, token_files, tokenization
+
+DATA = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LONG = " ".join(f"word{i % 997}x{i % 13}," for i in range(30_000))
+#: Nulls in every column, empty and long texts, repeated rows, and columns that clash with names used inside or in results.
+ODD = [
+    (1, "a b c d e f g", "en", "s1", 13), (1, "a b c d e f g", "en", "s1", 13), (2, None, None, "s1", None), (3, "", "en", None, 0), (None, "a b c d e f g h", "en", "s2", 1), (None, None, None, None, None),
+    (4, LONG, "fr", "s2", len(LONG)), (5, " \t\n\x0b ", "en", "s2", 5), (2, "other text\nof id two", "en", "s1", 3), (6, "x", "de", "s3", 1),
+]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    df = spark.createDataFrame(ODD, "doc_id long, text string, lang string, source string, n_chars long")
+    return df.select("*", *[F.lit(i).alias(c) for i, c in enumerate(("size", "key", "row", "taken", "n_lines", "kept_text", "bands", "node", "n_entities", "kept", "id", "lines", "h", "Row_Key"))])
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return queries.documents(spark, DATA)
+
+
+@pytest.fixture(scope="module")
+def rows(docs):
+    return [(r.doc_id, r.text, r.lang, r.source) for r in docs.orderBy("doc_id").collect()]
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_same_rows_as_sql(spark, name):
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'")
+    got, want = queries.QUERIES[name](spark, DATA).toPandas(), c.execute(queries.ORACLE_SQL[name]).df()
+    columns = sorted(got.columns)
+    assert columns == sorted(want.columns)
+    a, b = (x[columns].sort_values("doc_id", ignore_index=True) for x in (got, want))
+    assert a.equals(b.astype(a.dtypes.to_dict()))
+
+
+# ---- mixing
+
+
+def plain_targets(sizes, weights=(5, 2, 1), cap=3):
+    names = sorted((s for s in sizes if s is not None)) + [None] * (None in sizes)
+    w, fixed = {s: weights[i % 3] for i, s in enumerate(names)}, {}
+    while True:
+        left, total = sum(sizes.values()) - sum(fixed.values()), sum(w[s] for s in names if s not in fixed)
+        share = {s: left * w[s] / total for s in names if s not in fixed} if total else {}
+        over = [s for s, v in share.items() if v > cap * sizes[s]]
+        if not over:
+            return fixed | share
+        fixed |= {s: cap * sizes[s] for s in over}
+
+
+def test_mix_meets_its_targets(docs, rows):
+    got = mixing.mix(docs).toPandas()
+    sizes, most = Counter(), Counter()
+    for _, t, _, s in rows:
+        n = len(WORD.findall(t or ""))
+        sizes[s] += n
+        most[s] = max(most[s], n)
+    want = plain_targets(dict(sizes))
+    for s, g in got.groupby("source"):
+        assert g.target.iloc[0] == pytest.approx(want[s], abs=1e-5) and abs(g.taken.sum() - want[s]) <= most[s] / 2 + 1 and (g.taken <= 3 * g["size"]).all()
+    assert got.sort_values("doc_id", ignore_index=True).equals(mixing.mix(docs).toPandas().sort_values("doc_id", ignore_index=True))
+
+
+def test_mix_by_ranges_is_mix_by_one_sort(docs, monkeypatch):
+    whole = mixing.mix(docs).toPandas().sort_values("doc_id", ignore_index=True)
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 2)
+    assert whole.equals(mixing.mix(docs).toPandas().sort_values("doc_id", ignore_index=True))
+
+
+def test_rows_of_better_quality_come_first(spark):
+    df = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("a b c d").alias("text"), F.when(F.col("id") < 2000, "a").otherwise("b").alias("source"), (F.col("id") % 2).alias("q"))
+    got = mixing.mix(df, quality=F.when(F.col("q") == 1, 1.0).otherwise(0.25), weights=(1, 3)).toPandas()
+    taken = got[(got.source == "a")].groupby(got.doc_id % 2).taken.sum()
+    assert taken[1] > 2.2 * taken[0]
+
+
+def test_mix_of_odd_rows(odd):
+    got = mixing.mix(odd).toPandas()
+    assert len(got) == len(ODD) and not got.taken.isna().any()
+    assert mixing.mix(odd.limit(0)).count() == 0
+    out = mixing.mixed_rows(odd)
+    assert out.columns == odd.columns and out.count() == got.copies.sum()
+
+
+# ---- lines
+
+
+def test_lines_of_odd_rows(spark):
+    line = "A line that is long enough to count as one, really."
+    df = spark.createDataFrame([(i, f"first {i}\n\t{line.upper() if i % 2 else line} \nlast") for i in range(6)] + [(5, f"{line}\nagain\n{line}"), (None, line), (None, line), (7, None), (8, ""), (9, "x\n\n")], "doc_id long, text string").withColumn("n_lines", F.lit("mine")).withColumn("gone", F.lit(1))
+    got = [(r.doc_id, r.n_lines, r.n_dropped, r.kept_text) for r in line_dedup.dedup_lines(df).collect()]
+    assert got.count((None, 1, 1, "")) == 2 and (7, 1, 0, "") in got and (8, 1, 0, "") in got and (9, 3, 0, "x\n\n") in got
+    assert all((i, 3, 1, f"first {i}\nlast") in got for i in range(5)) and (5, 3, 0, f"{line}\nagain\n{line}") in got
+    assert sum(1 for r in got if r[0] == 5 and r[2] == 0) == 2
+    assert line_dedup.dedup_lines(df.limit(0)).count() == 0
+
+
+# ---- tokens
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_is_the_library(name, rows):
+    plain, quick = Tokenizer.from_file(public_tokenizers.path(name)), tokenization.Encoder(public_tokenizers.path(name))
+    assert quick.kind
+    odd = ["", " ", "  a  b", "a \n b", "\n", " x", "x ", "a\tb", "İx ΣΑΣ é é", "it's I'LL x's", "don't, 'tis", "a1b2", "ªº ǅ ǆ", "<|endoftext|> x", "a  \n\n  b c", "x.\nY z", "日本 語", "a​b", "\x1c a", "a\x85b \xa0 c", "ſ K ÅÉ", "Été. ÉTÉ, É", "été", "a.b,c!d", "... ,,", "ab,, ab.,"]
+    for t in odd + [r[1] for r in rows[:80]] + [LONG]:
+        want = np.array(plain.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        assert quick.encode([t])[0] == want == quick.encode([t])[0]
+
+
+def test_kept_words_are_bounded():
+    kept = tokenization.Kept(str.upper, 10)
+    assert [kept[str(i % 25)] for i in range(200)] == [str(i % 25) for i in range(200)] and len(kept) <= 10 and len(kept.old) <= 10
+
+
+def plain_ids(name, text, end):
+    return Tokenizer.from_file(public_tokenizers.path(name)).encode(text or "", add_special_tokens=False).ids + [end]
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, dtype="<u4").tobytes())
+
+
+def test_token_files_round_trip(spark, docs, rows):
+    got = {r.doc_id: r for r in queries.op3_token_files(spark, DATA).collect()}
+    t, start = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), 0
+    for i, text, *_ in rows:
+        ids = t.encode(text, add_special_tokens=False).ids + [2]
+        assert (got[i].start, got[i].n_tokens, got[i].ids_crc32) == (start, len(ids), crc(ids))
+        start += len(ids)
+    path = common.new_path(spark, "tokens")
+    token_files.write_tokens(docs, path, vocabulary=public_tokenizers.path("byte_bpe_50k.json"))
+    one = token_files.read_tokens(spark, path, [rows[7][0]])
+    assert one.count() == 1 and "PushedFilters: [IsNotNull(id), EqualTo(id," in one._jdf.queryExecution().toString()
+
+
+def test_token_files_of_odd_rows(spark, odd):
+    path = common.new_path(spark, "tokens")
+    token_files.write_tokens(odd, path, vocabulary=public_tokenizers.path("byte_bpe_50k.json"))
+    got = token_files.token_digests(spark, path).orderBy("start").collect()
+    assert len(got) == len(ODD) and [r.id for r in got][:2] == [None, None] and [r.id for r in got][2:] == [1, 1, 2, 2, 3, 4, 5, 6]
+    assert sorted(r.ids_crc32 for r in got) == sorted(crc(plain_ids("byte_bpe_50k.json", t, 2)) for _, t, *_ in ODD)
+    empty = common.new_path(spark, "tokens")
+    token_files.write_tokens(odd.limit(0), empty, vocabulary=public_tokenizers.path("byte_bpe_50k.json"))
+    assert token_files.token_digests(spark, empty).count() == 0
+
+
+def check_packing(pieces, encoded):
+    by_seq, left = defaultdict(list), Counter(encoded)
+    whole = defaultdict(list)
+    for r in pieces:
+        by_seq[r.sequence_id].append((r.offset, r.length))
+        whole[r.id, r.doc_tokens].append((r.start, r.length, r.ids_crc32))
+    for spans in by_seq.values():
+        at = 0
+        for offset, n in sorted(spans):
+            assert offset == at and n > 0
+            at += n
+        assert at <= 2048 and len(spans) <= 64
+    sizes = [sum(n for _, n in s) for s in by_seq.values()]
+    assert sum(2048 - n for n in sizes if n & (n - 1)) <= 0.02 * sum(sizes)
+    for (i, n), spans in whole.items():
+        copies = [ids for (j, ids), k in left.items() if j == i and len(ids) == n for _ in range(k)]
+        assert sum(x for _, x, _ in spans) == n * len(copies)
+        assert all(any(crc(ids[a : a + x]) == c for ids in copies) for a, x, c in spans)
+        assert Counter(p for a, x, _ in spans for p in range(a, a + x)) == Counter({p: len(copies) for p in range(n)})
+
+
+def test_packing(docs, rows, odd):
+    path, t = public_tokenizers.path("word_bpe_49k.json"), Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    enc = lambda x: tuple(t.encode(x or "", add_special_tokens=False).ids + [1])
+    check_packing(packing.pack_documents(docs, vocabulary=path).collect(), [(i, enc(x)) for i, x, *_ in rows])
+    check_packing(packing.pack_documents(odd.coalesce(1), vocabulary=path).collect(), [(i, enc(x)) for i, x, *_ in ODD])
+    assert packing.pack_documents(odd.limit(0), vocabulary=path).count() == 0
+
+
+def test_examples_keep_to_all_limits(spark):
+    rng = np.random.default_rng(0)
+    df = spark.createDataFrame([(str(i), int(rng.integers(1, 900)), int(rng.integers(1, 5)), int(rng.integers(0, 400))) for i in range(500)] + [("big", 5000, 1, 1), ("null", None, None, None)], "id string, t int, s int, l int")
+    got = packing.pack_examples(df.coalesce(1), id_col="id", tokens_col="t", segments_col="s", loss_col="l").toPandas()
+    sums = got[got.id != "big"].groupby("sequence_id")[["tokens", "segments", "loss"]].sum()
+    assert len(got) == 502 and (sums <= [2048, 16, 1024]).all().all() and (got.sequence_id == got.sequence_id[got.id == "big"].iloc[0]).sum() == 1
+    bound = max(sums.tokens.sum() / 2048, sums.segments.sum() / 16, sums.loss.sum() / 1024)
+    assert len(sums) <= 1.1 * bound + 1
+
+
+# ---- near duplicates
+
+
+def shingles(text):
+    w = (text or "").lower().split()
+    k = min(5, len(w))
+    return frozenset(tuple(w[j : j + k]) for j in range(len(w) - k + 1)) if w else frozenset()
+
+
+def plain_links(texts):
+    sets, root = {i: shingles(t) for i, t in texts}, {i: i for i, _ in texts}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    links, ids = defaultdict(set), sorted(sets)
+    for n, a in enumerate(ids):
+        for b in ids[n + 1 :]:
+            x, y = sets[a], sets[b]
+            if x == y or len(x & y) >= 0.8 * len(x | y) > 0:
+                root[max(find(a), find(b))] = min(find(a), find(b))
+                if x != y:
+                    links[a].add(y)
+                    links[b].add(x)
+    return {i: (find(i), len(links[i]), sum(sets[j] == sets[i] for j in ids) - 1) for i in ids}
+
+
+@pytest.fixture(scope="module")
+def near(spark):
+    rng = np.random.default_rng(4)
+    base, out = [f"w{i}" for i in rng.integers(0, 5000, 200)], []
+    for i in range(60):
+        w = list(base)
+        for j in rng.integers(0, 200, int(rng.integers(0, 7))):
+            w[j] = f"z{i}"
+        out.append((i, " ".join(w)))
+    out += [(100 + i, " ".join(f"v{x}" for x in rng.integers(0, 5000, 80))) for i in range(40)] + [(200, out[3][1].upper()), (201, None), (202, ""), (203, "short"), (204, "short")]
+    return spark.createDataFrame(out, "doc_id long, text string"), out
+
+
+@pytest.mark.parametrize("docs_a_chunk,most_chunks", [(1024, 16), (16, 16), (16, 0)])
+def test_links_are_brute_force(near, monkeypatch, docs_a_chunk, most_chunks):
+    monkeypatch.setattr(near_dup, "CHUNK_DOCS", docs_a_chunk)
+    monkeypatch.setattr(near_dup, "MOST_CHUNKS", most_chunks)
+    df, texts = near
+    got = {r.id: (r.class_id, r.n_links, r.n_copies) for r in near_dup.jaccard_links(df).collect()}
+    assert got == plain_links(texts)
+
+
+def test_one_of_each_class_stays(near, odd):
+    df, texts = near
+    want = {c for c, _, _ in plain_links(texts).values()}
+    assert sorted(r.doc_id for r in near_dup.drop_near_duplicates(df).collect()) == sorted(want)
+    out = near_dup.drop_near_duplicates(odd)
+    assert out.columns == odd.columns and sorted((r.doc_id or 0, (r.text or "")[:5]) for r in out.collect()) == [(0, "a b c"), (1, "a b c"), (2, ""), (2, "other"), (4, LONG[:5]), (6, "x")]
+    assert near_dup.drop_near_duplicates(odd.limit(0)).count() == 0
+
+
+def test_band_choice():
+    for recall in (0.9, 0.99, 0.9995):
+        b, r = near_dup.choose_bands(0.8, recall)
+        assert 1 - (1 - 0.8**r) ** b >= recall and b * r <= 160
+
+
+def test_components_of_a_long_chain(spark):
+    got = {r.node: r.root for r in components.components(spark.createDataFrame([(i, i + 1) for i in range(200) if i % 50 != 49], "u long, v long")).collect()}
+    assert got == {i: i // 50 * 50 for i in range(200)}
+
+
+# ---- secrets
+
+
+def plain_secrets(x):
+    either = "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token")) + "|[aA][pP][iI]_?[kK][eE][yY]"
+    assign = re.compile(f"""({either})["']?\\x20*[:=]\\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+    return sorted([(m.start(), 0, "assign", m.end()) for m in assign.finditer(x) if len(m.group(2)) >= 6] + [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", x) if len(m.group()) >= 20] + [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", x) if len(m.group()) >= 24])
+
+
+def test_secrets_by_plain_expressions(spark, rows, odd):
+    key = "AKIA" + "A1B2" * 5
+    extra = ["Secret: = x", "token=token=abcdef", "PASSWORD = 'abc'password: secret99", f"é {key} AKIA", "AKIAKIA" + "Z" * 20, "a" * 23, "f" * 24 + "g" + "0" * 30, "paſſword=abcdef1 toKen=abcdef1", "api-key: abcdef api_key='Zz/9+=' ApiKey:abcdefg", "token\n=abcdef", "x" * 50 + "password" * 3 + "=qwerty1"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(extra + [r[1] for r in rows])], "doc_id long, text string")
+    got = secrets.find_secrets(df).withColumn("base", secrets.joined(F.filter("spans", secrets.is_base))).collect()
+    for r in got:
+        want = plain_secrets((extra + [x[1] for x in rows])[r.id])
+        assert r.base == ",".join(f"{k}:{a}:{b}" for a, _, k, b in want)
+    assert secrets.find_secrets(odd).count() == len(ODD) and secrets.find_secrets(odd.limit(0)).count() == 0
+
+
+def test_checksums_decide(spark):
+    body = "abcdefghijklmnopqrstuvwxyz0123"
+    good = body + secrets.base62_crc(body)
+    texts = [f"x ghp_{good} npm_{good}.", f"ghp_{good[:-1]}{'a' if good[-1] != 'a' else 'b'}", "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIx.c2lnbmF0dXJlMTIz", "eyJxxxxxxxxxxxxxxxx.yyyyyyyy.zzzzzzzzz", "-----BEGIN RSA PRIVATE KEY-----\nMIIB\n-----END RSA PRIVATE KEY-----"]
+    assert [[k for _, _, k in secrets.scan(t) if k not in secrets.BASE] for t in texts] == [["github", "npm"], [], ["jwt"], [], ["pem"]]
+
+
+# ---- fingerprints
+
+
+def test_fingerprints_and_edits(spark, rows):
+    got = queries.op7_fingerprint(spark, DATA).orderBy("doc_id").toPandas()
+    texts = [r[1] for r in rows]
+    edited = [a[: len(a) - len(a) // 2] + texts[(i + 1) % len(texts)][: len(a) // 2] for i, a in enumerate(texts)]
+    assert got.doc_id.tolist() == [r[0] for r in rows] and got.n_chars.tolist() == [len(t) for t in texts]
+    assert got.edited_sha256.tolist() == [sha256(t.encode()).hexdigest() for t in edited]
+    share = Counter(c for t in texts for c in set(fingerprints.cells(fingerprints.terms(t)).tolist()))
+    low, high = max(1, math.ceil(fingerprints.LEAST_SHARE * len(texts))), math.floor(fingerprints.MOST_SHARE * len(texts))
+    band = np.zeros(1 << fingerprints.CELL_BITS, dtype=bool)
+    band[[c for c, n in share.items() if low <= n <= high]] = True
+    assert got.fingerprint.tolist() == fingerprints.as_text(fingerprints.fingerprints(texts, band))
+    assert (got.near_edited > got.near_next).mean() > 0.9 and got.near_edited.between(0, 1).all()
+
+
+def test_fingerprints_in_many_blocks(docs, monkeypatch):
+    whole = fingerprints.fingerprint_with_edits(docs).orderBy("id").toPandas()
+    monkeypatch.setattr(fingerprints, "BLOCK_ROWS", 7)
+    assert whole.equals(fingerprints.fingerprint_with_edits(docs).orderBy("id").toPandas())
+
+
+def test_fingerprints_of_odd_rows(odd):
+    got = fingerprints.fingerprint_with_edits(odd)
+    assert got.count() == len(ODD)
+    prints = {(r.id, r.n_chars): r.fingerprint for r in got.collect()}
+    assert set(prints[3, 0]) == {"0"} and fingerprints.fingerprint_with_edits(odd.limit(0)).count() == 0
+    one = fingerprints.fingerprint_with_edits(odd.filter("doc_id = 6")).collect()
+    assert len(one) == 1 and one[0].near_next == 1.0
+    assert fingerprints.fingerprint_documents(odd).count() == len(ODD)
+
+
+# ---- quality rules
+
+
+def plain_counts(t):
+    w = WORD.findall(t or "")
+    tri = Counter(zip(w, w[1:], w[2:], strict=False))
+    places = {k + d for k in range(len(w) - 2) if tri[w[k], w[k + 1], w[k + 2]] > 1 for d in range(3)}
+    lines = [x for x in (t or "").split("\n") if WORD.search(x)]
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t or ""), len(lines) - len(set(lines)), len(places)
+
+
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def test_counts_by_loops(docs, rows, odd):
+    got = {r.id: tuple(r[c] for c in COUNTS) for r in quality_rules.text_counts(docs).collect()}
+    assert got == {i: plain_counts(t) for i, t, *_ in rows}
+    assert sorted(tuple(r[c] for c in COUNTS) for r in quality_rules.text_counts(odd).collect()) == sorted(plain_counts(t) for _, t, *_ in ODD)
+
+
+def test_verdicts_of_odd_rows(odd):
+    got = quality_rules.judge(odd).collect()
+    assert len(got) == len(ODD) and not any(r.kept for r in got if r.base_failed) and all(r.kept is not None for r in got)
+    assert quality_rules.judge(odd.limit(0)).count() == 0
+
+
+def test_covariance_resists_outliers(spark):
+    rng = np.random.default_rng(2)
+    a = np.linalg.cholesky([[1, 0.6, 0], [0.6, 2, 0.3], [0, 0.3, 0.5]])
+    x = rng.normal(size=(4000, 3)) @ a.T + [5, -3, 1]
+    bad = rng.normal(size=(600, 3)) * 0.1 + [15, 15, 15]
+    df = spark.createDataFrame([("g", *map(float, r)) for r in np.concatenate([x, bad])], "grp string, a double, b double, c double")
+    r = quality_rules.mcd(df, {"a": 0.01, "b": 0.01, "c": 0.01}, steps=8).first()
+    low = np.array([[r[f"l_{i}_{j}"] if j <= i else 0.0 for j in range(3)] for i in range(3)])
+    assert [r.m_0, r.m_1, r.m_2] == pytest.approx([5, -3, 1], abs=0.15)
+    # a quarter is left out and an eighth is bad, so the estimate is a little large
+    assert low @ low.T == pytest.approx(a @ a.T, abs=0.75) and quality_rules.consistency(0.75, 3) == pytest.approx(1.9, abs=0.4)
+
+
+def test_chi2_quantiles():
+    assert [round(quality_rules.chi2_quantile(p, d), 3) for p, d in ((0.95, 1), (0.975, 4), (0.5, 3))] == [3.841, 11.143, 2.366]
+
+
+# ---- personal data
+
+
+def test_surrogates(spark):
+    text = "Mr. John Smith, j.smith@mail.example.com, 10.1.2.3; Mrs. Ann Smith at +1 (017) 555-7713 or +1 017-555-7713? Card 4111 1111 1111 1111, 4111111111111111. SSN 123-45-6789. Г-жа Анна Петрова. DE89 3704 0044 0532 0130 00"
+    df = spark.createDataFrame([(1, text), (2, "J.Smith@mail.example.com and Dr. Smith"), (3, "Version 3.0.1 of 2024, no entity here: 12345"), (4, None), (5, "")], "doc_id long, text string").withColumn("n_entities", F.lit("x")).withColumn("key", F.lit(1))
+    got = {r.doc_id: r for r in pii.replace_pii(df, key="k").collect()}
+    one, two = got[1].text, got[2].text
+    assert got[3].text.startswith("Version 3.0.1") and got[3].n_entities == 0 and got[4].text is None and got[5].text == "" and got[1].n_entities == 10
+    for private in ("John", "Smith", "smith", "10.1.2.3", "555-7713", "4111 1111", "123-45-6789", "Анна", "Петрова", "3704"):
+        assert private not in one + two
+    m = re.match(r"Mr\. (\w+) (\w+), (\S+@\S+), (\d+(?:\.\d+){3}); Mrs\. (\w+) (\w+) at (\+1 \(\d{3}\) \d{3}-\d{4}) or (\+1 \d{3}-\d{3}-\d{4})\? Card (\d{4} \d{4} \d{4} \d{4}), (\d{16})\. SSN (\d{3}-\d\d-\d{4})\. Г-жа ([А-Яа-я]+) ([А-Яа-я]+)\. (DE\d\d(?: \d{4}){4} \d\d)$", one)
+    assert m and m[2] == m[6] and m[1][-1] == "n" and m[5][-1] == "a" and m[12][-1] == "а"
+    assert re.sub(r"\D", "", m[7]) == re.sub(r"\D", "", m[8]) and m[9].replace(" ", "") == m[10] and m[10][0] == "4"
+    digits = [int(c) for c in m[10]][::-1]
+    assert sum(c if i % 2 == 0 else 2 * c - 9 * (c > 4) for i, c in enumerate(digits)) % 10 == 0
+    assert two == f"{m[3][0].upper()}.{m[3][2].upper()}{m[3][3:]} and Dr. {m[2]}"
+    assert pii.replace_pii(df, key="other").filter("doc_id = 1").first().text != one and pii.replace_pii(df.limit(0), key="k").count() == 0
+
+
+def test_surrogates_stay_distinct_when_draws_collide(spark):
+    # a hundred names of one syllable pattern, and all two-digit mail names of one domain
+    words = [("person", f"n{chr(97 + i // 26)}{chr(97 + i % 26)}", "m") for i in range(400)] + [("ssn", f"{i:09d}", "s") for i in range(200)] + [("email", f"a{i}@b.cc", "s") for i in range(10)]
+    got = pii.surrogates(spark.createDataFrame(words, "kind string, norm string, gender string"), "k").toPandas()
+    assert len(got) == len(words) and not got.duplicated(["kind", "surrogate"]).any()
+    real = {(k, n) for k, n, _ in words}
+    assert not [1 for r in got.itertuples() if (r.kind, r.surrogate) in real]
+
+
+def test_no_planted_entity_is_left(spark, docs, rows):
+    entity = re.compile(r"\S+@\S+\.com|\+1 \(\d{3}\) \d{3}-\d{4}|\b\d{16}\b|\b\d{1,3}(?:\.\d{1,3}){3}\b")
+    got = {r.doc_id: r for r in queries.op5_pii(spark, DATA).collect()}
+    seen = set()
+    for i, t, *_ in rows:
+        seen |= set(entity.findall(t))
+        assert (got[i].text == t) == (not entity.search(t)) == (got[i].n_entities == 0)
+    left = {x for r in got.values() for x in entity.findall(r.text)}
+    assert len(seen) > 10 and not seen & left and len(left) == len(seen)
+
+
+def test_personal_data_of_odd_rows(odd):
+    out = pii.replace_pii(odd, key="k")
+    assert out.count() == len(ODD) and [c for c in odd.columns if c != "n_entities"] == out.columns[:-1]
+
+
+# ---- classifier
+
+
+def test_classifier_on_held_out_labels(spark):
+    big = "/root/testdata/sf0.01"
+    docs, labels = queries.documents(spark, big), spark.read.parquet(f"{big}/labels.parquet")
+    split = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    got = classifier.classify(docs, labels.filter(split)).withColumnRenamed("id", "doc_id").join(labels.filter(~split), "doc_id").toPandas()
+    bad, clean = got[got.quality == 0], got[(got.quality == 1) & (got.toxic == 0)]
+    assert len(bad) > 15 and (bad.low_quality > 0.5).mean() > 0.85 and clean.kept.mean() > 0.97
+    assert got[got.toxic == 1].toxicity.mean() > got[got.toxic == 0].toxicity.mean() + 0.3
+
+
+def test_label_model_finds_rates():
+    rng = np.random.default_rng(1)
+    bad = rng.random(20_000) < 0.15
+    names, rates = ["a", "b", "c", "good"], {"a": (0.01, 0.7), "b": (0.02, 0.6), "c": (0.01, 0.5), "good": (0.9, 0.05)}
+    votes = sum((rng.random(len(bad)) < np.where(bad, *rates[n][::-1])).astype(int) << i for i, n in enumerate(names))
+    patterns, counts = np.unique(votes, return_counts=True)
+    m = classifier.fit_labels(patterns, counts.astype(float), names, "good")
+    assert m.bad == pytest.approx(0.15, abs=0.02) and m.rates[1][:3] == pytest.approx([0.7, 0.6, 0.5], abs=0.05)
+
+
+def test_classifier_of_odd_rows(spark, odd):
+    got = classifier.classify(odd).collect()
+    assert len(got) == len(ODD) and all(r.kept is not None for r in got)
+    out = classifier.keep_good(odd)
+    assert out.columns == odd.columns and out.count() == sum(r.kept for r in got)
+    assert classifier.classify(odd.limit(0)).count() == 0
