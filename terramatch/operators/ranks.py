@@ -2,34 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors share (spark.checkpoint.dir; where it is unset, as in tests, a new local one)."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="terramatch-shared-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/terramatch/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-
-
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: lineage is cut and a lost executor costs a reread."""
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from ..session import durable
 
 
 def with_position(df: DataFrame, order: list[str], name: str = "pos") -> DataFrame:
     """Adds the row's position, from 0, in the order of unique columns. Ranges are numbered by themselves; their sizes, a row a range,
     are summed in front."""
-    parts = saved(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
+    parts = durable(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
     sizes = parts.groupBy("_range").agg(F.count("*").alias("_n"))
     before = sizes.select("_range", (F.sum("_n").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, 0)) - F.col("_n")).alias("_before"))
     inner = F.row_number().over(W.partitionBy("_range").orderBy(*order)) - 1

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geodesy, keys
 from ..operators import grid, matching, outcomes, permanence, ranks, shapes
-from ..session import ship
+from ..session import durable, ship
 from ..sources import readers, writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -193,10 +193,10 @@ def jon05_misses(spark, d):
 @query()
 def jon06_greedy_pairs(spark, d):
     """Drawn, matched and checked against a sequential version in the tests: starts and order are hashes."""
-    m = ranks.saved(ranks.with_position(mpx(spark, d), ["id"]), "m")
-    k = ranks.saved(matching.sample(kpx(spark, d), 1.0, seed=3), "k")
-    found = ranks.saved(matching.candidate_pairs(k, m, ["h1", "h2"], WIDTHS, seed=3, by="f1"), "found")
-    s = ranks.saved(matching.scaled(m.join(matching.candidate_set(found), "id", "left_semi"), WIDTHS), "s")
+    m = durable(ranks.with_position(mpx(spark, d), ["id"]), "m")
+    k = durable(matching.sample(kpx(spark, d), 1.0, seed=3), "k")
+    found = durable(matching.candidate_pairs(k, m, ["h1", "h2"], WIDTHS, seed=3, by="f1"), "found")
+    s = durable(matching.scaled(m.join(matching.candidate_set(found), "id", "left_semi"), WIDTHS), "s")
     able = matching.scaled(k.join(found.select(F.col("k_id").alias("id")).distinct(), "id", "left_semi"), WIDTHS)
     return matching.greedy_pairs(able, s, ["h1", "h2"], ["f1", "f2"], matching.inverse_covariance(s, ["f1", "f2"]))
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import grid, matching, outcomes, permanence, ranks
 from ..schema import TOLERANCES, hard_columns, stored_years
+from ..session import durable
 
 
 def treated_pixels(layers: dict[str, DataFrame], boundary: DataFrame, hectares: float, x0: int = 0, y0: int = 0) -> DataFrame:
@@ -25,20 +26,20 @@ def potential_matches(pixels: DataFrame, k: DataFrame, start: int, tolerances: d
 def match_repetition(k: DataFrame, m: DataFrame, start: int, seed: int, iteration: int, tolerances: dict[str, float] = TOLERANCES, share: float = matching.SAMPLE_SHARE, required: int = matching.REQUIRED) -> tuple[DataFrame, DataFrame]:
     """(pairs, status) of one repetition: a sample of k, up to `required` candidates for each, greedy pairs. m has columns id and pos."""
     hard, features = hard_columns(start), list(tolerances)
-    drawn = ranks.saved(matching.sample(k, share, seed), "sample")
-    found = ranks.saved(matching.candidate_pairs(drawn, m, hard, tolerances, seed, required, by="elevation"), "candidates")
+    drawn = durable(matching.sample(k, share, seed), "sample")
+    found = durable(matching.candidate_pairs(drawn, m, hard, tolerances, seed, required, by="elevation"), "candidates")
     s = m.join(matching.candidate_set(found), "id", "left_semi")
-    scaled_s = ranks.saved(matching.scaled(s.select("id", *hard, *features), tolerances), "candidate-set")
+    scaled_s = durable(matching.scaled(s.select("id", *hard, *features), tolerances), "candidate-set")
     inverse = matching.inverse_covariance(scaled_s, features)
     able = drawn.join(found.select(F.col("k_id").alias("id")).distinct(), "id", "left_semi")
     pairs = matching.greedy_pairs(matching.scaled(able, tolerances), scaled_s, hard, features, inverse)
-    pairs = ranks.saved(pairs.withColumn("iteration", F.lit(iteration)), "pairs")
+    pairs = durable(pairs.withColumn("iteration", F.lit(iteration)), "pairs")
     return pairs, matching.pair_status(drawn, pairs, found).withColumn("iteration", F.lit(iteration))
 
 
 def match_all(k: DataFrame, m: DataFrame, start: int, end: int, master_seed: int, repetitions: int = matching.REPETITIONS, **options) -> tuple[DataFrame, DataFrame]:
     """(wide pairs with iteration, status) of all repetitions. The loop is over repetitions, never over rows."""
-    m = ranks.saved(ranks.with_position(m, ["y", "x"]), "positions")
+    m = durable(ranks.with_position(m, ["y", "x"]), "positions")
     columns = ["lat", "lng", *(f"luc_{y}" for y in stored_years(start, end)), *options.get("tolerances", TOLERANCES)]
     pairs, status = [], []
     for r in matching.seeds(k.sparkSession, master_seed, repetitions).orderBy("iteration").collect():

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -30,3 +31,29 @@ def ship(spark: SparkSession) -> SparkSession:
         spark.sparkContext.addPyFile(str(file))
         _shipped.add(app)
     return spark
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir; where it is unset, as in tests, a new one that is then set."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found:
+        found = "file://" + tempfile.mkdtemp(prefix="terramatch-shared-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/terramatch/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def durable(df: DataFrame, name: str, partitions: int | None = None) -> DataFrame:
+    """df, written as a Parquet table in the shared folder and read back: lineage is cut, and a lost executor costs a reread."""
+    spark, path = df.sparkSession, new_path(df.sparkSession, name)
+    (df.coalesce(partitions) if partitions else df).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes the durable tables of this application. Frames that were made from them can't be read afterwards."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/terramatch/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.ranks import shared_path
-
 
 def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), mode: str = "overwrite") -> None:
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
@@ -94,7 +93,7 @@ def build_if_missing(spark: SparkSession, path: str, make: Callable[[], DataFram
 def publish(df: DataFrame, path: str) -> None:
     """Writes beside and renames, so that readers of path see all of a table or none."""
     spark = df.sparkSession
-    beside = f"{path.rstrip('/')}.new-{shared_path(spark, 'x').rsplit('-', 1)[-1]}"
+    beside = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
     df.write.parquet(beside)
     source, fs = _path(spark, beside)
     target, _ = _path(spark, path)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from terramatch import schema
 from terramatch.operators import matching, outcomes, ranks
 from terramatch.plans import stages
+from terramatch.session import durable
 
 WIDTHS = {"a": 1.0, "b": 0.5}
 
@@ -43,7 +44,7 @@ def test_bins_and_residual_bands_agree_without_broadcast(two, monkeypatch):
 
 def test_candidates_walk_in_a_circle(two):
     k, m, sk, sm = two
-    placed = ranks.saved(ranks.with_position(sm, ["id"]), "m")
+    placed = durable(ranks.with_position(sm, ["id"]), "m")
     got = matching.candidate_pairs(sk, placed, ["h"], WIDTHS, seed=1, required=2, by="a").toPandas()
     start = {r.id: r.s for r in sk.select("id", F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(len(m))).alias("s")).collect()}
     plain = {(r.k_id, r.m_id) for r in matching.candidate_pairs(sk, placed, ["h"], WIDTHS, seed=1, required=10**6).collect()}
@@ -134,7 +135,7 @@ def test_repetitions_from_pixels_to_additionality(spark):
     near = stages.potential_matches(m, k, 2012)
     assert 0 < near.count() < 1500
     pairs, status = stages.match_all(k, near, 2012, 2014, 42, repetitions=2, share=0.5, required=20)
-    pairs = ranks.saved(pairs, "pairs")
+    pairs = durable(pairs, "pairs")
     counts = {(r.iteration, r.status): r["count"] for r in status.groupBy("iteration", "status").count().collect()}
     for i in (0, 1):
         assert sum(v for (it, _), v in counts.items() if it == i) == 60 and counts[i, "paired"] == pairs.filter(F.col("iteration") == i).count() > 10
