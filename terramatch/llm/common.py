@@ -1,13 +1,14 @@
-"""What the operators of this subpackage share: the shared folder, durable tables and the treatment of white space."""
+"""What the operators of this subpackage share: durable tables and the treatment of white space."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..session import durable, new_path
+
+__all__ = ["WHITE", "WHITE_CHARS", "WORD", "durable", "new_path", "row_key", "text_of", "word_count"]
+
 #: Characters that separate words: space, and tab to carriage return.
 WHITE = "\\x20\\x09-\\x0D"
 WORD = f"[^{WHITE}]+"
@@ -15,33 +16,6 @@ WORD = f"[^{WHITE}]+"
 WHITE_CHARS = " \t\n\x0b\x0c\r"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; where it is unset, as in tests, a new one that is then set."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="terramatch-shared-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/terramatch/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-
-
-def durable(df: DataFrame, name: str, partitions: int | None = None) -> DataFrame:
-    """df, written as a Parquet table in the shared folder and read back: lineage is cut, and a lost executor costs a reread."""
-    spark, path = df.sparkSession, new_path(df.sparkSession, name)
-    (df.coalesce(partitions) if partitions else df).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def release(spark: SparkSession) -> None:
-    """Deletes the durable tables of this application. Frames that were made from them can't be read afterwards."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/terramatch/{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def text_of(name: str) -> Column:
     """A text column; null counts as the empty text."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
