@@ -32,7 +32,9 @@ MOST_WORDS = 500_000
 
 class TermHashes(dict):
     def __missing__(self, word: str) -> int:
-        found = self[word] = xxh3_64_intdigest(word)
+        found = xxh3_64_intdigest(word)
+        if len(word) <= 64:  # longer ones are not kept
+            self[word] = found
         return found
 
 
