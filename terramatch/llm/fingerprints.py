@@ -66,14 +66,15 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def idf_band(docs: DataFrame, text_col: str = "text", least_share: float = LEAST_SHARE, most_share: float = MOST_SHARE) -> np.ndarray:
-    """For each cell, whether its inverse document frequency is in the band. Counts cover all documents; 2**CELL_BITS of them at most
-    come to the driver, and as many bits go out to the tasks."""
-    counted = docs.select(text_of(text_col).alias("text")).mapInArrow(_counted, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-    rows = int(counted.n[counted.cell == -1].sum())
-    counted = counted[counted.cell >= 0]
-    band = np.zeros(1 << CELL_BITS, dtype=bool)
+    """For each cell, whether its inverse document frequency is in the band. Counts cover all documents; the cells inside, 2**CELL_BITS
+    numbers at most, come to the driver as Arrow batches, and as many bits go out to the tasks."""
+    counted = docs.select(text_of(text_col).alias("text")).mapInArrow(_counted, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    counted = durable(counted, "cell-counts")
+    rows = counted.filter("cell = -1").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     low, high = max(1, math.ceil(least_share * rows)), max(1, math.floor(most_share * rows))
-    band[counted.cell.to_numpy(dtype=np.int64)] = ((counted.n >= low) & (counted.n <= high)).to_numpy()
+    inside = counted.filter(F.col("n").between(low, high) & (F.col("cell") >= 0)).select("cell").toArrow()
+    band = np.zeros(1 << CELL_BITS, dtype=bool)
+    band[inside.column("cell").to_numpy()] = True
     return band
 
 
