@@ -7,17 +7,41 @@ its normaliser, pre-tokenizer and model for a word that is new, its encode() for
 from __future__ import annotations
 
 import re
+import unicodedata
 from array import array
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from tokenizers import Tokenizer
 
 #: A space with a character other than white space on both sides: a tokenizer that joins a space to the word after it cuts there.
 INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
-#: Where splitting at each space would differ from splitting at inner spaces.
-ODD_SPACE = re.compile(r"\s | \s|^ | \Z")
-#: Words, and parts of words, that a worker keeps at most. Beyond, the worker starts anew: memory stays bounded, results don't change.
-MOST_WORDS, MOST_PARTS = 600_000, 400_000
+#: Words, and parts of words, that a worker keeps in each of two generations.
+MOST_WORDS, MOST_PARTS = 400_000, 300_000
+#: Longer words are not kept.
+LONGEST = 64
+#: Below this, all letters are such for the pre-tokenizer's Unicode tables as for Python's.
+LATIN_END = "\u0250"
+MARKS = frozenset(".,;:!?")
+
+
+class Kept(dict):
+    """A function's results by argument, in two generations: when the young one is full it becomes the old one, and what is asked
+    for again moves to the new young one. Memory is bounded, results don't change."""
+
+    def __init__(self, make: Callable, most: int) -> None:
+        self.make, self.most, self.old = make, most, {}
+
+    def __missing__(self, key: str) -> bytes | str:
+        found = self.old.get(key)
+        if found is None:
+            found = self.make(key)
+        if isinstance(key, str) and len(key) > LONGEST:
+            return found
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[key] = found
+        return found
 
 
 class Encoder:
@@ -31,52 +55,62 @@ class Encoder:
         probe = plain("Go on, x2 é")
         #: "drop": white space only separates. "join": a space belongs to the word after it. "": texts are encoded whole.
         self.kind = "drop" if plain(" \n") == [] and probe == plain("Go") + plain("on,") + plain("x2") + plain("é") else "join" if probe == plain("Go") + plain(" on,") + plain(" x2") + plain(" é") else ""
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        #: what the pre-tokenizer makes of a single character
+        self.shown = Kept(lambda c: "".join(x for x, _ in self.before.pre_tokenize_str(chr(c))), 1000)
+        #: whether Latin letters, and a mark after them, are parts of their own for this pre-tokenizer
+        self.simple = [x for x, _ in self.before.pre_tokenize_str(" ab,")][-2:] in (["Ġab", ","], ["ab", ","])
+        self.space = "Ġ" if self.kind == "join" else ""
+        self.parts = Kept(self.part, MOST_PARTS)
+        self.words = Kept(self.word, MOST_WORDS)
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def one(self, word: str) -> bytes:
-        """Ids of a piece of text by the library's stages."""
-        if self.normalizer:
-            word = self.normalizer.normalize_str(word)
-        out = []
-        for part, _ in self.before.pre_tokenize_str(word):
-            ids = self.parts.get(part)
-            if ids is None:
-                if len(self.parts) >= MOST_PARTS:
-                    self.parts.clear()
-                ids = self.parts[part] = array("I", [x.id for x in self.model.tokenize(part)]).tobytes()
-            out.append(ids)
-        return b"".join(out)
+    def part(self, part: str) -> bytes:
+        return array("I", [x.id for x in self.model.tokenize(part)]).tobytes()
+
+    def word(self, word: str) -> bytes:
+        """Ids of a word by the library's stages; with kind "join", of the word and the space before it, unless it starts with one itself."""
+        if self.simple:
+            # ASCII letters, and a mark after them
+            if word.isascii() and word.isalpha():
+                return self.parts[self.space + (word if self.normalizer is None else word.lower())]
+            body, mark = word[:-1], word[-1:]
+            if mark not in MARKS:
+                body, mark = word, ""
+            if body.isalpha() and (body.isascii() or max(body) < LATIN_END):
+                if self.normalizer is not None and not body.islower() | body.isascii() or not body.isascii() and not unicodedata.is_normalized("NFC", body):
+                    return self.pieces(self.place(self.normalizer.normalize_str(word) if self.normalizer else word))
+                body = body if self.normalizer is None else body.lower()
+                ids = self.parts[self.space + (body if body.isascii() else body.translate(self.shown))]
+                return ids + self.parts[mark] if mark else ids
+        if not word:
+            return b"" if self.kind == "drop" else self.pieces(" ")
+        return self.pieces(self.place(self.normalizer.normalize_str(word) if self.normalizer else word))
+
+    def place(self, word: str) -> str:
+        """The word as it stands in the text."""
+        return word if self.kind == "drop" else word[1:] if word[:1] == " " else " " + word
+
+    def pieces(self, text: str) -> bytes:
+        return b"".join(self.parts[x] for x, _ in self.before.pre_tokenize_str(text))
 
     def split(self, text: str) -> list[str] | None:
         """Words whose ids, one after another, are the text's; None if the rule doesn't fit."""
         if any(x in text for x in self.added):
             return None
+        flat = text.replace("\n", " ")
         if self.kind == "drop":
-            return text.replace("\n", " ").split(" ")
+            return flat.split(" ")
         if self.kind == "join":
-            # the first word has no space before it: a mark that no split leaves at a word's start tells it from the others
-            first, *rest = INNER_SPACE.split(text) if ODD_SPACE.search(text) else text.split(" ")
+            # where white space is single spaces and line ends, with words around each, every space is an inner one
+            first, *rest = text.split(" ") if " ".join(flat.split()) == flat else INNER_SPACE.split(text)
+            # the first word has no space before it: a space marks it, since no other word starts with one
             return [" " + first, *rest]
         return None
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
-        texts = list(texts)
-        split = [self.split(x) for x in texts]
-        new = set().union(*[x for x in split if x is not None]).difference(self.words)
-        if len(self.words) + len(new) > MOST_WORDS:
-            self.words.clear()
-            new = set().union(*[x for x in split if x is not None])
-        if self.kind == "join":
-            for w in new:
-                self.words[w] = self.one(w[1:] if w[:1] == " " else " " + w)
-        else:
-            for w in new:
-                self.words[w] = self.one(w) if w else b""
-        get = self.words.__getitem__
+        get, split = self.words.__getitem__, map(self.split, texts := list(texts))
         return [self.whole(x) if s is None else b"".join(map(get, s)) for x, s in zip(texts, split, strict=True)]
 
 
