@@ -99,7 +99,7 @@ def word_features(word: str) -> list[int]:
         shape = ("A" if word.isupper() else "Aa" if word[:1].isupper() else "a") + word[len(plain) :]
     else:
         shape = re.sub(r"(.)\1+", r"\1\1", "".join("A" if c.isupper() else "a" if c.isalpha() else "9" if c.isdigit() else c for c in word[:40]))
-    return [_number(plain), _number("shape:" + shape), *(_number(f"start:{plain[:k]}") for k in (3, 4, 5, 6, 7) if len(plain) >= k)]
+    return [_number(plain), _number("shape:" + shape), *(_number(f"start:{plain[:k]}") for k in (4, 5, 6) if len(plain) >= k)]
 
 
 def text_features(words: list[str], distinct: set[str]) -> list[int]:
@@ -184,15 +184,20 @@ def fit_scorer(rows: list[tuple[int, np.ndarray]], target: np.ndarray, rounds: i
     size = 1 << FEATURE_BITS
     if not rows:
         return Scorer(np.zeros(size), -1.0)
-    flat, owner = np.concatenate([x for _, x in rows]), np.repeat(np.arange(len(rows)), [len(x) for _, x in rows])
-    value = np.concatenate([np.append(np.full(len(x) - OWN, 1 / np.sqrt(max(n, 1))), np.ones(OWN)) for n, x in rows])
     weight = target / max(target.sum(), 1) + (1 - target) / max((1 - target).sum(), 1)
+    runs = []  # narrow types, and a few hundred texts at a time: the steps below make wide copies of a run
+    for at in range(0, len(rows), 256):
+        part = rows[at : at + 256]
+        value = np.concatenate([np.append(np.full(len(x) - OWN, 1 / np.sqrt(max(n, 1)), dtype=np.float32), np.ones(OWN, dtype=np.float32)) for n, x in part])
+        runs.append((slice(at, at + len(part)), np.concatenate([x for _, x in part]).astype(np.int32), np.repeat(np.arange(len(part), dtype=np.int32), [len(x) for _, x in part]), value))
     weights, bias, m, v, mb, vb = np.zeros(size), 0.0, np.zeros(size), np.zeros(size), 0.0, 0.0
     for i in range(1, rounds + 1):
-        p = _sigmoid(np.bincount(owner, weights=weights[flat] * value, minlength=len(rows)) + bias)
-        wrong = (p - target) * weight
-        g = np.bincount(flat, weights=wrong[owner] * value, minlength=size) + shrink * weights
-        gb = float(wrong.sum())
+        g, gb = shrink * weights, 0.0
+        for those, flat, owner, value in runs:
+            p = _sigmoid(np.bincount(owner, weights=weights[flat] * value, minlength=those.stop - those.start) + bias)
+            wrong = (p - target[those]) * weight[those]
+            g += np.bincount(flat, weights=wrong[owner] * value, minlength=size)
+            gb += float(wrong.sum())
         m, v, mb, vb = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g, 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         weights = weights - step * (m / (1 - 0.9**i)) / (np.sqrt(v / (1 - 0.99**i)) + 1e-6)
         bias -= step * (mb / (1 - 0.9**i)) / (np.sqrt(vb / (1 - 0.99**i)) + 1e-6)
@@ -206,7 +211,9 @@ class WordScores(dict):
         self.weights = weights
 
     def __missing__(self, word: str) -> complex:
-        found = self[word] = complex(sum(self.weights[x] for x in word_features(word)))
+        found = complex(sum(self.weights[x] for x in word_features(word)))
+        if len(word) <= 64:  # longer ones are not kept
+            self[word] = found
         return found
 
 
@@ -237,8 +244,8 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, *, id_col: str = "doc_
     """Votes of all documents are counted by pattern (some thousand patterns at most); the scorers see train_rows documents.
 
     labels (id_col, toxic) name the toxic ones among train_rows documents with a label. Where there are any, the toxicity scorer
-    trains on them, so that it learns words which the labellers' word lists lack; else it trains on posterior labels as the
-    quality scorer does.
+    trains on them and on documents whose posterior is sure, so that it learns words which the labellers' word lists lack; else
+    it trains on posterior labels as the quality scorer does.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text")).withColumn("tie", F.xxhash64("text"))
     voted = durable(rows.select("text", "tie").mapInArrow(_voted, "tie long, quality int, toxicity int"), "votes")
@@ -246,17 +253,24 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, *, id_col: str = "doc_
     models = {h: fit_labels(patterns[h].to_numpy(dtype=np.int64), patterns["count"].to_numpy(dtype=float), list(HEADS[h]), FOR_GOOD[h]) for h in HEADS}
 
     def sample(of: DataFrame) -> dict:
-        found = of.select("text", "label").mapInArrow(_featured, "distinct int, features array<int>, quality int, toxicity int, label int").toArrow().to_pydict()
-        found["rows"] = [(n, np.array(x, dtype=np.int64)) for n, x in zip(found.pop("distinct"), found.pop("features"), strict=True)]
-        for h in HEADS:
-            found[h] = models[h].posterior((np.array(found[h], dtype=np.int64)[:, None] >> np.arange(len(HEADS[h])) & 1).astype(float)) if found["rows"] else np.zeros(0)
-        return found
+        table = of.select("text", "label").mapInArrow(_featured, "distinct int, features array<int>, quality int, toxicity int, label int").toArrow()
+        out: dict = {"rows": [], "label": table.column("label").to_numpy(), **{h: np.zeros(0) for h in HEADS}}
+        for n, lists in zip(table.column("distinct").chunks, table.column("features").chunks, strict=True):
+            ends, flat = np.asarray(lists.offsets), np.asarray(lists.values)
+            out["rows"] += [(k, flat[a:b]) for k, a, b in zip(n.to_pylist(), ends, ends[1:], strict=False)]
+        for h in HEADS if out["rows"] else ():
+            out[h] = models[h].posterior((np.asarray(table.column(h))[:, None] >> np.arange(len(HEADS[h])) & 1).astype(float))
+        return out
 
     # the documents with the least hashes, as a threshold: no text is sorted
     last = voted.select("tie").distinct().orderBy("tie").limit(train_rows // 2).agg(F.max("tie")).first()[0]
     any_rows = sample(rows.filter(F.col("tie") <= F.lit(last)).dropDuplicates(["tie"]).withColumn("label", F.lit(None).cast("int")))
     scorers = {"quality": fit_scorer(any_rows["rows"], any_rows["quality"])}
-    toxic = {"rows": [], "label": []}
+    # documents whose labellers agree that they are toxic train the toxicity scorer beside the labelled ones
+    sure = [i for i, p in enumerate(any_rows["toxicity"]) if p > 0.9]
+    more, more_p = [any_rows["rows"][i] for i in sure], any_rows["toxicity"][sure]
+    any_rows["rows"] = any_rows["rows"] if labels is None else []
+    toxic: dict = {"rows": [], "label": []}
     if labels is not None:
         known = labels.select(F.col(id_col).cast("long").alias("id"), F.col("toxic").cast("int").alias("label")).dropna().groupBy("id").agg(F.max("label").alias("label"))
         # a bounded sample of the labels by a hash of their ids, which is small enough to be sent round
@@ -264,7 +278,9 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, *, id_col: str = "doc_
         toxic = sample(rows.join(F.broadcast(known), "id"))
     labelled = np.array(toxic["label"], dtype=float)
     use = 0 < labelled.sum() < len(labelled)
-    scorers["toxicity"] = fit_scorer(toxic["rows"], labelled) if use else fit_scorer(any_rows["rows"], any_rows["toxicity"])
+    if not use and labels is not None:
+        return fit(docs, None, id_col=id_col, text_col=text_col, train_rows=train_rows)
+    scorers["toxicity"] = fit_scorer(toxic["rows"] + more, np.concatenate([labelled, more_p])) if use else fit_scorer(any_rows["rows"], any_rows["toxicity"])
     return Classifier(models, scorers)
 
 
@@ -275,7 +291,7 @@ def _scored(batches: Iterator[pa.RecordBatch], weights: np.ndarray, bias: comple
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(scores[:, 0].copy()), pa.array(scores[:, 1].copy())], ["id", "text_hash", "low_quality", "toxicity"])
 
 
-def classify(docs: DataFrame, labels: DataFrame | None = None, *, id_col: str = "doc_id", text_col: str = "text", most_low: float = 0.5, most_toxic: float = 0.35, train_rows: int = TRAIN_ROWS) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame | None = None, *, id_col: str = "doc_id", text_col: str = "text", most_low: float = 0.5, most_toxic: float = 0.5, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """A row a document: id, text_hash, low_quality and toxicity (the scorers' probabilities), kept (neither is over its limit).
 
     Scale: passes over the texts without a shuffle but of vote counts and of bounded samples. One weight table of fixed size (2 MB)
@@ -291,7 +307,7 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, *, id_col: str =
     return scored.select("id", "text_hash", *p, ((F.col("low_quality") <= most_low) & (F.col("toxicity") <= most_toxic)).alias("kept"))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame | None = None, *, id_col: str = "doc_id", text_col: str = "text", most_low: float = 0.5, most_toxic: float = 0.35, train_rows: int = TRAIN_ROWS) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame | None = None, *, id_col: str = "doc_id", text_col: str = "text", most_low: float = 0.5, most_toxic: float = 0.5, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """The rows of docs that classify() keeps, as they are. Only texts go to Python, and nothing is joined."""
     classifier = fit(docs, labels, id_col=id_col, text_col=text_col, train_rows=train_rows)
     weights, bias = classifier.words.weights, classifier.bias
