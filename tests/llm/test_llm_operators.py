@@ -8,6 +8,7 @@ from hashlib import sha256
 
 import duckdb
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -435,6 +436,19 @@ def test_classifier_on_held_out_labels(spark):
     assert got[got.toxic == 1].toxicity.mean() > got[got.toxic == 0].toxicity.mean() + 0.3
 
 
+def test_classifier_finds_held_out_toxic_documents(spark):
+    big = "/root/testdata/sf0.1"
+    docs, labels = queries.documents(spark, big), spark.read.parquet(f"{big}/labels.parquet")
+    split = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    got = classifier.classify(docs, labels.filter(split)).withColumnRenamed("id", "doc_id").join(labels.filter(~split), "doc_id").toPandas()
+    toxic, clean = got[got.toxic == 1], got[(got.quality == 1) & (got.toxic == 0)]
+    assert len(toxic) > 200 and toxic.kept.mean() < 0.04 and clean.kept.mean() > 0.99
+
+
+def test_word_starts_of_three_to_seven_letters():
+    assert {classifier._number(f"start:{'unspeakable'[:k]}") for k in (3, 4, 5, 6, 7)} <= set(classifier.word_features("unspeakable"))
+
+
 def test_label_model_finds_rates():
     rng = np.random.default_rng(1)
     bad = rng.random(20_000) < 0.15
