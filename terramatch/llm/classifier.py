@@ -263,7 +263,7 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, *, id_col: str = "doc_
         return out
 
     # the documents with the least hashes, as a threshold: no text is sorted
-    last = voted.select("tie").distinct().orderBy("tie").limit(train_rows // 2).agg(F.max("tie")).first()[0]
+    last = voted.select("tie").distinct().orderBy("tie").limit(train_rows).agg(F.max("tie")).first()[0]
     any_rows = sample(rows.filter(F.col("tie") <= F.lit(last)).dropDuplicates(["tie"]).withColumn("label", F.lit(None).cast("int")))
     scorers = {"quality": fit_scorer(any_rows["rows"], any_rows["quality"])}
     # documents whose labellers agree that they are toxic train the toxicity scorer beside the labelled ones

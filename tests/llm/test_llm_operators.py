@@ -449,6 +449,14 @@ def test_word_starts_of_three_to_seven_letters():
     assert {classifier._number(f"start:{'unspeakable'[:k]}") for k in (3, 4, 5, 6, 7)} <= set(classifier.word_features("unspeakable"))
 
 
+def test_quality_scorer_trains_on_all_train_rows(docs, monkeypatch):
+    seen, real = [], classifier.fit_scorer
+    monkeypatch.setattr(classifier, "fit_scorer", lambda rows, target: seen.append(len(rows)) or real(rows, target))
+    assert docs.select("text").distinct().count() > 100
+    classifier.fit(docs, train_rows=100)
+    assert seen == [100, 100]
+
+
 def test_label_model_finds_rates():
     rng = np.random.default_rng(1)
     bad = rng.random(20_000) < 0.15
