@@ -37,9 +37,14 @@ def class_shares(counts: DataFrame, check: bool = True) -> DataFrame:
 
 
 def densities(rows: DataFrame, luc: str = "land use class", density: str = "carbon density") -> list[float]:
-    """Six densities by class from a table of a few rows; a class that is missing has 0, one outside the domain is an error."""
+    """Six densities by class from a table of a few rows; a class that is missing has 0, one outside the domain or with several
+    densities is an error."""
     out = [0.0] * len(LandUse)
-    for c, v in rows.select(F.col(f"`{luc}`").cast("int"), F.col(f"`{density}`").cast("double")).limit(1000).collect():
+    given = rows.select(F.col(f"`{luc}`").cast("int").alias("luc"), F.col(f"`{density}`").cast("double").alias("density"))
+    # a row a class: of one row more than there are classes, one is outside the domain
+    for c, n, v in given.groupBy("luc").agg(F.count_distinct("density"), F.max("density")).limit(len(LandUse) + 1).collect():
+        if n > 1:
+            raise ValueError(f"land use class {c} has several densities")
         out[LandUse(c) - 1] = v
     return out
 

@@ -63,14 +63,16 @@ def adjusted_net(net: DataFrame, schedule: DataFrame) -> DataFrame:
 
 
 def interpolate_cost(cost: DataFrame, first: int, last: int) -> DataFrame:
-    """year, value for first..last: linear between the years given, and along the first or last segment beyond them."""
-    given = cost.select(F.col("year").cast("double").alias("y0"), F.col("value").alias("v0"))
+    """year, value for first..last: linear between the years given, and along the first or last segment beyond them.
+    Repeated rows count once; more than HORIZON segments are an error."""
+    given = cost.select(F.col("year").cast("double").alias("y0"), F.col("value").alias("v0")).distinct()
     by = W.orderBy("y0")
     ends = given.select("y0", "v0", F.lead("y0").over(by).alias("y1"), F.lead("v0").over(by).alias("v1"), F.row_number().over(by).alias("i")).filter("y1 IS NOT NULL")
     ends = ends.withColumn("low", F.when(F.col("i") == 1, F.lit(-1e9)).otherwise(F.col("y0"))).withColumn("high", F.when(F.col("i") == F.max("i").over(W.partitionBy()), F.lit(1e9)).otherwise(F.col("y1")))
     years = cost.sparkSession.range(first, last + 1).select(F.col("id").cast("int").alias("year"))
-    # both sides have a row a year at most
-    met = years.join(F.broadcast(ends.limit(HORIZON)), (F.col("year") >= F.col("low")) & (F.col("year") < F.col("high")))
+    # both sides have a row a year at most; a row more than the bound is read, and is an error
+    ends = ends.limit(HORIZON + 1).withColumn("v0", checked(F.count("*").over(W.partitionBy()) <= HORIZON, F.col("v0"), f"the cost series has more than {HORIZON} segments"))
+    met = years.join(F.broadcast(ends), (F.col("year") >= F.col("low")) & (F.col("year") < F.col("high")))
     return met.select("year", (F.col("v0") + (F.col("v1") - F.col("v0")) * (F.col("year") - F.col("y0")) / (F.col("y1") - F.col("y0"))).alias("value"))
 
 

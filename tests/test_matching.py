@@ -142,3 +142,10 @@ def test_repetitions_from_pixels_to_additionality(spark):
     assert pairs.filter("k_luc_2012 <> s_luc_2012 OR k_luc_2007 <> s_luc_2007 OR k_luc_2002 <> s_luc_2002").count() == 0
     got = stages.project_additionality(pairs, 1e6, [100.0, 50, 10, 0, 0, 0], 2014, 2).collect()
     assert len(got) == 13 and all(np.isfinite(r.additionality) for r in got)
+
+
+def test_densities_read_all_rows(spark):
+    rows = spark.range(1500).selectExpr("cast(if(id < 1499, 1, 2) AS int) AS `land use class`", "cast(if(id < 1499, 5, 7) AS double) AS `carbon density`").coalesce(1)
+    assert outcomes.densities(rows)[:2] == [5.0, 7.0]
+    with pytest.raises(ValueError, match="several"):
+        outcomes.densities(spark.createDataFrame([(1, 1.0), (1, 2.0)], "`land use class` int, `carbon density` double"))

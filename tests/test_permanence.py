@@ -61,6 +61,15 @@ def test_interpolation_runs_on_at_both_ends(spark):
     assert [got[y] for y in (2005, 2010, 2015, 2020, 2025, 2035)] == pytest.approx([5, 10, 15, 20, 35, 65])
 
 
+def test_interpolation_loses_no_segment(spark):
+    series = lambda n: spark.range(n).selectExpr("cast(id AS int) AS year", "cast(id AS double) AS value")
+    assert p.interpolate_cost(series(p.HORIZON + 1), 0, 4100).count() == 4101
+    with pytest.raises(Exception, match="segments"):
+        p.interpolate_cost(series(p.HORIZON + 2), 0, 4100).collect()
+    again = series(2000).unionByName(series(2000)).unionByName(series(2000))
+    assert p.interpolate_cost(again, 0, 2100).filter("value = year").count() == 2101
+
+
 def plain_ep(add, leak, cost, current, project_end, horizon, first=2012):
     """The same by loops."""
     d = [a - b for a, b in zip(add, leak, strict=True)]
