@@ -17,10 +17,21 @@ def edges(ring: Column) -> Column:
     return F.zip_with(ring, after, lambda a, b: F.struct(a["x"].alias("x0"), a["y"].alias("y0"), b["x"].alias("x1"), b["y"].alias("y1")))
 
 
-def contains(ring: Column, x: Column, y: Column) -> Column:
-    """Whether a ring contains a point, by crossings of a ray to the right; a point on a lower or left edge is inside, on the others not."""
+def all_edges(ring: Column, holes: Column | None = None) -> Column:
+    """Edges of a ring and of its holes."""
+    return edges(ring) if holes is None else F.concat(edges(ring), F.flatten(F.transform(F.coalesce(holes, F.array()), edges)))
+
+
+def holes_of(polygons: DataFrame) -> list[str]:
+    """The column of holes, if there is one."""
+    return [c for c in polygons.columns if c == "holes"]
+
+
+def contains(ring: Column, x: Column, y: Column, holes: Column | None = None) -> Column:
+    """Whether a ring contains a point and no hole does, by crossings of a ray to the right; a point on a lower or left edge is inside, on the
+    others not."""
     crosses = lambda e: ((e["y0"] > y) != (e["y1"] > y)) & (x < (e["x1"] - e["x0"]) * (y - e["y0"]) / (e["y1"] - e["y0"]) + e["x0"])
-    return F.size(F.filter(edges(ring), crosses)) % 2 == 1
+    return F.size(F.filter(all_edges(ring, holes), crosses)) % 2 == 1
 
 
 def box(ring: Column) -> dict[str, Column]:
@@ -57,7 +68,11 @@ def modal_zone(polygons: DataFrame) -> DataFrame:
 def area_m2(polygons: DataFrame) -> DataFrame:
     """One row: the area of all polygons in square metres, projected to their modal zone."""
     zone = F.broadcast(modal_zone(polygons))  # a row of one number
-    return polygons.join(zone).select(F.abs(shoelace(to_utm(F.col("ring"), F.pmod(F.col("epsg"), F.lit(100))))).alias("a")).agg(F.coalesce(F.sum("a"), F.lit(0.0)).alias("area_m2"))
+    size = lambda ring: F.abs(shoelace(to_utm(ring, F.pmod(F.col("epsg"), F.lit(100)))))
+    a = size(F.col("ring"))
+    if holes_of(polygons):
+        a = a - F.aggregate(F.coalesce("holes", F.array()), F.lit(0.0), lambda t, hole: t + size(hole))
+    return polygons.join(zone).select(a.alias("a")).agg(F.coalesce(F.sum("a"), F.lit(0.0)).alias("area_m2"))
 
 
 def cells_of(polygons: DataFrame, size: float) -> DataFrame:
@@ -68,18 +83,19 @@ def cells_of(polygons: DataFrame, size: float) -> DataFrame:
 
 
 def points_in_polygons(points: DataFrame, polygons: DataFrame, size: float = 1.0) -> DataFrame:
-    """points (x, y, ...) joined to polygons (polygon_id, ring): an equi-join on coarse cells, then the exact test. A point in several gets
-    a row for each."""
-    cells = small(cells_of(polygons.select("polygon_id", "ring"), size))
+    """points (x, y, ...) joined to polygons (polygon_id, ring, holes if any): an equi-join on coarse cells, then the exact test. A point in
+    several gets a row for each."""
+    holes = holes_of(polygons)
+    cells = small(cells_of(polygons.select("polygon_id", "ring", *[F.col(c).alias("_holes") for c in holes]), size))
     keyed = points.withColumn("cx", F.floor(F.col("x") / size).cast("int")).withColumn("cy", F.floor(F.col("y") / size).cast("int"))
-    met = keyed.join(cells, ["cx", "cy"]).filter(contains(F.col("ring"), F.col("x"), F.col("y")))
-    return met.drop("cx", "cy", "ring")
+    met = keyed.join(cells, ["cx", "cy"]).filter(contains(F.col("ring"), F.col("x"), F.col("y"), F.col("_holes") if holes else None))
+    return met.drop("cx", "cy", "ring", "_holes")
 
 
 def rasterise(pixels: DataFrame, polygons: DataFrame, value: str, origin: tuple[float, float], step: tuple[float, float], size: float = 1.0) -> DataFrame:
     """x, y, value: pixels whose centres lie in a polygon, with an attribute of it; where polygons overlap, the largest value."""
     centres = pixels.select(F.col("x").alias("px"), F.col("y").alias("py"), (origin[0] + (F.col("x") + 0.5) * step[0]).alias("x"), (origin[1] + (F.col("y") + 0.5) * step[1]).alias("y"))
-    met = points_in_polygons(centres, polygons.select("polygon_id", "ring"), size).join(small(polygons.select("polygon_id", F.col(value).alias("value"))), "polygon_id")
+    met = points_in_polygons(centres, polygons.select("polygon_id", "ring", *holes_of(polygons)), size).join(small(polygons.select("polygon_id", F.col(value).alias("value"))), "polygon_id")
     return met.groupBy(F.col("px").alias("x"), F.col("py").alias("y")).agg(F.max("value").alias("value"))
 
 
@@ -95,19 +111,19 @@ def edges_cross(e: Column, f: Column) -> Column:
     return (d1 * d2 <= 0) & (d3 * d4 <= 0) & ~((d1 == 0) & (d2 == 0))
 
 
-def intersects(a: Column, b: Column) -> Column:
-    """Whether two rings share a point: an edge of one meets one of the other, or one contains the other."""
+def intersects(a: Column, b: Column, a_holes: Column | None = None, b_holes: Column | None = None) -> Column:
+    """Whether two rings, less their holes, share a point: an edge of one meets one of the other, or one contains the other."""
     first = lambda r: F.get(r, 0)
-    crossing = F.exists(edges(a), lambda e: F.exists(edges(b), lambda f: edges_cross(e, f)))
-    return boxes_meet(box(a), box(b)) & (crossing | contains(a, first(b)["x"], first(b)["y"]) | contains(b, first(a)["x"], first(a)["y"]))
+    crossing = F.exists(all_edges(a, a_holes), lambda e: F.exists(all_edges(b, b_holes), lambda f: edges_cross(e, f)))
+    return boxes_meet(box(a), box(b)) & (crossing | contains(a, first(b)["x"], first(b)["y"], a_holes) | contains(b, first(a)["x"], first(a)["y"], b_holes))
 
 
 def spatial_join(a: DataFrame, b: DataFrame, size: float = 1.0) -> DataFrame:
     """a_id, b_id of polygons (polygon_id, ring) that intersect: candidates by coarse cells, made distinct, then the exact test."""
-    left = cells_of(a.select(F.col("polygon_id").alias("a_id"), "ring"), size).withColumnRenamed("ring", "a_ring")
-    right = small(cells_of(b.select(F.col("polygon_id").alias("b_id"), "ring"), size).withColumnRenamed("ring", "b_ring"))
+    left = cells_of(a.select(F.col("polygon_id").alias("a_id"), "ring", *[F.col(c).alias("a_holes") for c in holes_of(a)]), size).withColumnRenamed("ring", "a_ring")
+    right = small(cells_of(b.select(F.col("polygon_id").alias("b_id"), "ring", *[F.col(c).alias("b_holes") for c in holes_of(b)]), size).withColumnRenamed("ring", "b_ring"))
     met = left.join(right, ["cx", "cy"]).dropDuplicates(["a_id", "b_id"])
-    return met.filter(intersects(F.col("a_ring"), F.col("b_ring"))).select("a_id", "b_id")
+    return met.filter(intersects(F.col("a_ring"), F.col("b_ring"), *[F.col(f"{side}_holes") if holes_of(df) else None for side, df in (("a", a), ("b", b))])).select("a_id", "b_id")
 
 
 def _half_hull(points: list[tuple[float, float]]) -> list[tuple[float, float]]:

@@ -34,7 +34,7 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | str) -> Dat
 
 
 def read_geojson(spark: SparkSession, path: str, properties: T.StructType | str) -> DataFrame:
-    """properties, geometry_type, polygon_id and ring, a row an outer ring of a Polygon or MultiPolygon; holes are left out.
+    """properties, geometry_type, polygon_id, ring and holes, a row an outer ring of a Polygon or MultiPolygon with its inner rings.
 
     Coordinates are parsed as text, since their depth differs by type."""
     props = properties.simpleString() if isinstance(properties, T.StructType) else f"struct<{properties}>"
@@ -43,9 +43,10 @@ def read_geojson(spark: SparkSession, path: str, properties: T.StructType | str)
     parts = F.when(F.col("geometry_type") == "MultiPolygon", F.from_json("text", "array<array<array<array<double>>>>")).otherwise(F.array(F.from_json("text", "array<array<array<double>>>")))
     rings = one.withColumn("parts", parts).select("*", F.posexplode("parts").alias("part", "rings")).drop("text", "parts")
     point = lambda p: F.struct(F.get(p, 0).alias("x"), F.get(p, 1).alias("y"))
-    ring = F.transform(F.get(F.col("rings"), 0), point)
-    open_ring = F.when((F.size(ring) > 1) & (F.get(ring, 0) == F.get(ring, F.size(ring) - 1)), F.slice(ring, 1, F.size(ring) - 1)).otherwise(ring)
-    return rings.withColumn("ring", open_ring).withColumn("polygon_id", F.concat_ws("-", "feature", "part")).drop("rings")
+    opened = lambda r: F.when((F.size(r) > 1) & (F.get(r, 0) == F.get(r, F.size(r) - 1)), F.slice(r, 1, F.size(r) - 1)).otherwise(r)
+    ring = lambda r: opened(F.transform(r, point))
+    holes = F.when(F.size("rings") > 1, F.transform(F.slice("rings", 2, F.size("rings") - 1), ring)).otherwise(F.array())
+    return rings.withColumn("ring", ring(F.get(F.col("rings"), 0))).withColumn("holes", holes).withColumn("polygon_id", F.concat_ws("-", "feature", "part")).drop("rings")
 
 
 def with_file_metadata(df: DataFrame) -> DataFrame:

@@ -187,3 +187,20 @@ def test_schema_helpers(spark):
     assert schema.first_luc_year(df) == 2000 and schema.with_prefix(df, "k_luc") == ["k_luc_2001", "k_luc_2000"]
     with pytest.raises(ValueError):
         schema.conform(df, schema.SERIES)
+
+
+def test_holes_of_a_boundary_are_outside(spark, tmp_path):
+    square = lambda x, y, side: [[x, y], [x + side, y], [x + side, y + side], [x, y + side], [x, y]]
+    features = [[square(3.0, 0.0, 0.04), square(3.01, 0.01, 0.02)], [square(3.015, 0.015, 0.005)]]
+    text = json.dumps({"type": "FeatureCollection", "features": [{"type": "Feature", "properties": {"name": str(i)}, "geometry": {"type": "Polygon", "coordinates": c}} for i, c in enumerate(features)]})
+    (tmp_path / "holes.geojson").write_text(text)
+    df = readers.read_geojson(spark, str(tmp_path / "holes.geojson"), "name: string")
+    outer = df.filter("name = '0'")
+    points = spark.createDataFrame([(1, 3.005, 0.005), (2, 3.012, 0.012), (3, 3.035, 0.02)], "pid int, x double, y double")
+    assert {r.pid for r in shapes.points_in_polygons(points, outer).collect()} == {1, 3}
+    full = shapes.area_m2(outer.drop("holes")).first().area_m2
+    assert shapes.area_m2(outer).first().area_m2 == pytest.approx(0.75 * full, rel=1e-3)
+    assert shapes.spatial_join(outer, df.filter("name = '1'")).count() == 0
+    pixels = spark.range(4).selectExpr("cast(id AS int) AS x", "1 AS y")
+    got = shapes.rasterise(pixels, outer.withColumn("v", F.lit(1)), "v", (3.0, 0.0), (0.01, 0.01))
+    assert {r.x for r in got.collect()} == {0, 3}
