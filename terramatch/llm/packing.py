@@ -64,11 +64,11 @@ def place(demands: np.ndarray, limits: np.ndarray) -> list[list[int]]:
     return bins
 
 
-@dataclass
+@dataclass(slots=True)
 class Piece:
     doc: int
     start: int
-    ids: bytes  # four bytes an id
+    ids: bytes | memoryview  # four bytes an id
     doc_tokens: int
 
     @property
@@ -158,7 +158,6 @@ SCHEMA = "id long, start long, length long, ids_crc32 long, doc_tokens long, seq
 
 
 def _packed(batches: Iterator[pa.RecordBatch], path: str, end_id: int, tokens: int, segments: int, loss: int) -> Iterator[pa.RecordBatch]:
-    end = np.uint32(end_id).tobytes()
     packer = Packer(tokens, segments, loss, first_sequence=TaskContext.get().partitionId() << 32)
     doc_ids: dict[int, int | None] = {}
 
@@ -171,15 +170,17 @@ def _packed(batches: Iterator[pa.RecordBatch], path: str, end_id: int, tokens: i
 
     number = 0
     for batch in batches:
-        ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for lo, hi in groups_of(texts, 8_000_000):
-            docs = []
-            for a, b in groups_of(texts[lo:hi]):
-                for i, encoded in enumerate(encoder(path).encode(texts[lo + a : lo + b]), lo + a):
-                    doc_ids[number] = ids[i]
-                    docs.append(Piece(number, 0, encoded + end, len(encoded) // 4 + 1))
-                    number += 1
+        row_ids, texts = batch.column(0).to_pylist(), batch.column(1)
+        for lo, hi in groups_of(texts):
+            offsets, ids = encoder(path).encode(texts.slice(lo, hi - lo), end_id)
+            raw, cuts, docs = memoryview(ids).cast("B"), offsets.tolist(), []
+            for row_id, a, b in zip(row_ids[lo:hi], cuts, cuts[1:], strict=False):
+                doc_ids[number] = row_id
+                docs.append(Piece(number, 0, raw[4 * a : 4 * b], b - a))
+                number += 1
             yield out(packer.pack(docs))
+            for p in packer.waiting:  # these outlive the run's array
+                p.ids = bytes(p.ids)
     yield out(packer.finish())
 
 

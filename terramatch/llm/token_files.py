@@ -18,17 +18,14 @@ from .tokenization import encoder, groups_of
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
-    end, block, at = np.uint32(end_id).tobytes(), TaskContext.get().partitionId(), 0
+    block, at = TaskContext.get().partitionId(), 0
     for batch in batches:
-        ids, texts = batch.column(0), batch.column(1).to_pylist()
+        row_ids, texts = batch.column(0), batch.column(1)
         for lo, hi in groups_of(texts):
-            docs = [x + end for x in encoder(path).encode(texts[lo:hi])]
-            n = np.array([len(x) // 4 for x in docs], dtype=np.int64)
-            values = pa.array(np.frombuffer(b"".join(docs), dtype=np.int32))
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), values)
-            starts = at + np.cumsum(n) - n
-            at += int(n.sum())
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(hi - lo, block, dtype=np.int32)), ids.slice(lo, hi - lo), pa.array(starts), pa.array(n), lists], ["block", "id", "start_in_block", "n_tokens", "ids"])
+            offsets, ids = encoder(path).encode(texts.slice(lo, hi - lo), end_id)
+            lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.view(np.int32)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(hi - lo, block, dtype=np.int32)), row_ids.slice(lo, hi - lo), pa.array(at + offsets[:-1]), pa.array(np.diff(offsets)), lists], ["block", "id", "start_in_block", "n_tokens", "ids"])
+            at += len(ids)
 
 
 def write_tokens(docs: DataFrame, path: str, *, vocabulary: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", stripe_mb: int = 64, index_rows: int = 1000) -> None:
