@@ -9,8 +9,9 @@ from .common import durable
 
 
 def _smallest(arcs: DataFrame) -> DataFrame:
-    """u, m: the smallest of u and its neighbours. Combined on the map side, so a node with very many neighbours is no hot task."""
-    return arcs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    """u, m: the smallest of u and its neighbours. Combined on the map side, so a node with very many neighbours is no hot task. It is
+    written, so that its join with the arcs has a shuffle of its own on both sides, or none; then Spark splits a node with very many arcs."""
+    return durable(arcs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "smallest")
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:

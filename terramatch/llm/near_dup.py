@@ -13,15 +13,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from .common import durable, text_of
+from .common import WorkerTable, durable, text_of
 from .components import components
 
 #: Documents, and n-grams, of a chunk on average: a unit of verification holds two chunks.
-CHUNK_DOCS, CHUNK_GRAMS = 1024, 1_000_000
-#: Candidate components of up to so many chunks are compared chunk by chunk; larger ones bucket by bucket.
-MOST_CHUNKS = 16
+CHUNK_DOCS, CHUNK_GRAMS = 512, 500_000
+#: n-grams of a unit that are compared at once.
+SLICE_GRAMS = 500_000
+#: Candidate components of up to so many chunks are compared chunk by chunk, larger ones bucket by bucket. Either way the same pairs
+#: count, those that share a band; it only changes how often a document is sent.
+MOST_CHUNKS = 32
 #: Words whose hashes a worker keeps; it then starts anew.
-MOST_WORDS = 500_000
+MOST_WORDS = 250_000
 
 
 def choose_bands(threshold: float, recall: float, most_hashes: int = 160) -> tuple[int, int]:
@@ -43,7 +46,7 @@ class WordHashes(dict):
         return found
 
 
-_words = WordHashes()
+_words = WorkerTable(WordHashes)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -57,9 +60,10 @@ def grams(text: str, n: int) -> np.ndarray:
     words = text.lower().split()
     if not words:
         return np.empty(0, dtype=np.uint64)
-    if len(_words) > MOST_WORDS:
-        _words.clear()
-    h = np.fromiter(map(_words.__getitem__, words), dtype=np.uint64, count=len(words))
+    known = _words.get()
+    if len(known) > MOST_WORDS:
+        known.clear()
+    h = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
     width = min(n, len(h))
     out = np.full(len(h) - width + 1, width, dtype=np.uint64)
     for i in range(width):
@@ -102,94 +106,103 @@ def _gram_sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, type=pa.binary())], ["node", "grams"])
 
 
+def _slices(sets: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(n-grams, owners) of sorted sets, for one range of n-gram hashes after another, some SLICE_GRAMS each."""
+    sizes = np.array([len(x) for x in sets], dtype=np.int64)
+    parts = int(-(-sizes.sum() // SLICE_GRAMS))
+    bounds = [np.uint64((i << 64) // parts) for i in range(1, parts)]
+    cuts = np.stack([np.concatenate([[0], np.searchsorted(x, bounds), [len(x)]]) for x in sets]).astype(np.int64)
+    for j in range(parts):
+        yield np.concatenate([x[a:b] for x, a, b in zip(sets, cuts[:, j], cuts[:, j + 1], strict=True)]), np.repeat(np.arange(len(sets)), cuts[:, j + 1] - cuts[:, j])
+
+
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray] | None) -> np.ndarray:
     """Sizes of the intersections of all sets of left with all of right, or of left with itself; a block of shared n-grams at a time."""
-    sets = left if right is None else left + right
-    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-    everything = np.concatenate(sets)
-    _, gram, count = np.unique(everything, return_inverse=True, return_counts=True)
-    shared = count[gram] > 1
-    # n-grams get their numbers in the order of the first set that has them, so a block touches few sets
-    order = np.flatnonzero(shared)
-    values, first = np.unique(gram[order], return_index=True)
-    rank = np.empty(len(count), dtype=np.int64)
-    rank[values[np.argsort(first, kind="stable")]] = np.arange(len(values))
-    column, row = rank[gram[order]], owner[order]
-    by_column = np.argsort(column, kind="stable")
-    column, row = column[by_column], row[by_column]
     out = np.zeros((len(left), len(left) if right is None else len(right)), dtype=np.float32)
-    for at in range(0, len(values), 1024):
-        lo, hi = np.searchsorted(column, (at, at + 1024))
-        present, place = np.unique(row[lo:hi], return_inverse=True)
-        block = np.zeros((len(present), 1024), dtype=np.float32)
-        block[place, column[lo:hi] - at] = 1
-        if right is None:
-            out[np.ix_(present, present)] += block @ block.T
-        else:
-            mine = present < len(left)
-            out[np.ix_(present[mine], present[~mine] - len(left))] += block[mine] @ block[~mine].T
+    for everything, owner in _slices(left if right is None else left + right):
+        _, gram, count = np.unique(everything, return_inverse=True, return_counts=True)
+        # n-grams get their numbers in the order of the first set that has them, so a block touches few sets
+        order = np.flatnonzero(count[gram] > 1)
+        values, first = np.unique(gram[order], return_index=True)
+        rank = np.empty(len(count), dtype=np.int64)
+        rank[values[np.argsort(first, kind="stable")]] = np.arange(len(values))
+        column, row = rank[gram[order]], owner[order]
+        by_column = np.argsort(column, kind="stable")
+        column, row = column[by_column], row[by_column]
+        for at in range(0, len(values), 1024):
+            lo, hi = np.searchsorted(column, (at, at + 1024))
+            present, place = np.unique(row[lo:hi], return_inverse=True)
+            block = np.zeros((len(present), 1024), dtype=np.float32)
+            block[place, column[lo:hi] - at] = 1
+            if right is None:
+                out[np.ix_(present, present)] += block @ block.T
+            else:
+                mine = present < len(left)
+                out[np.ix_(present[mine], present[~mine] - len(left))] += block[mine] @ block[~mine].T
     return out
 
 
-def _unit_links(nodes: np.ndarray, side: np.ndarray, sets: list[np.ndarray], bands: list[np.ndarray], band: int, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _unit_links(nodes: np.ndarray, side: np.ndarray, sets: list[np.ndarray], bands: np.ndarray, band: int, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(nodes with links, their numbers of links, a linked or equal node that stands for their component within the unit).
 
-    With band >= 0 a pair counts only if no band before it has put the two together: then another unit counts it.
+    A pair counts if its sets are near and it shares a band. With band >= 0 the unit is a bucket of that band, and a pair counts
+    only if no band before has put the two together: then another unit counts it.
     """
     a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    size = np.array([len(x) for x in sets], dtype=np.float64)
-    left, right = [sets[i] for i in a], [sets[i] for i in b] if len(b) else None
-    inter = _overlaps(left, right).astype(np.float64)
-    union = size[a][:, None] + size[b if len(b) else a][None, :] - inter
-    near = (inter >= threshold * union - 1e-9) & (inter > 0)
-    if band > 0:
-        first, second = np.stack([bands[i][:band] for i in a]), np.stack([bands[i][:band] for i in (b if len(b) else a)])
-        for j in range(band):
-            near &= first[:, j][:, None] != second[:, j][None, :]
-    if right is None:
+    if not len(b):
+        b = a
+    size = np.array([len(x) for x in sets], dtype=np.float32)
+    inter = _overlaps([sets[i] for i in a], None if b is a else [sets[i] for i in b])
+    near = (inter >= threshold * (size[a][:, None] + size[b][None, :] - inter).astype(np.float64) - 1e-9) & (inter > 0)
+    del inter
+    met = np.zeros_like(near)
+    for j in range(bands.shape[1] if band < 0 else band):
+        met |= bands[a, j][:, None] == bands[b, j][None, :]
+    near &= met if band < 0 else ~met
+    if b is a:
         np.fill_diagonal(near, False)
-        links, low = near.sum(axis=1), nodes[a].copy()
-        while True:
-            new = np.minimum(low, np.where(near, low[None, :], np.iinfo(np.int64).max).min(axis=1))
-            if (new == low).all():
-                break
-            low = new
-        hit = np.flatnonzero(links)
-        return nodes[a][hit], links[hit], low[hit]
-    links = np.concatenate([near.sum(axis=1), near.sum(axis=0)])
+    links = near.sum(axis=1) if b is a else np.concatenate([near.sum(axis=1), near.sum(axis=0)])
     la, lb, most = nodes[a].copy(), nodes[b].copy(), np.iinfo(np.int64).max
     while True:
         na = np.minimum(la, np.where(near, lb[None, :], most).min(axis=1))
-        nb = np.minimum(lb, np.where(near, na[:, None], most).min(axis=0))
+        nb = na if b is a else np.minimum(lb, np.where(near, na[:, None], most).min(axis=0))
         if (na == la).all() and (nb == lb).all():
             break
         la, lb = na, nb
-    both, low, hit = np.concatenate([nodes[a], nodes[b]]), np.concatenate([la, lb]), np.flatnonzero(links)
+    both, low = (nodes[a], la) if b is a else (np.concatenate([nodes[a], nodes[b]]), np.concatenate([la, lb]))
+    hit = np.flatnonzero(links)
     return both[hit], links[hit], low[hit]
 
 
 def _verified(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by unit (key, x, y); a unit may go over several batches."""
-
-    def close(rows: list[tuple]) -> pa.RecordBatch:
-        _, _, _, band, side, node, sets, bands = zip(*rows, strict=True)
-        out = _unit_links(np.array(node), np.array(side), [np.frombuffer(x, dtype=np.uint64) for x in sets], [np.array(x) for x in bands], band[0], threshold)
+    """Rows come sorted by unit (key, x, y); a unit may go over several batches. What waits for the rest of its unit stays in Arrow."""
+
+    def close(held: list[pa.RecordBatch]) -> pa.RecordBatch | None:
+        x, y, side, node = (np.concatenate([np.asarray(r.column(i)) for r in held]) for i in (1, 2, 4, 5))
+        # whether there is anything to compare; the other chunk of a unit may have no row
+        if len(side) < 2 or x[0] != y[0] and side[0] == side[-1]:
+            return None
+        sets = [np.frombuffer(g.as_buffer(), dtype=np.uint64) for r in held for g in r.column(6)]
+        bands = np.concatenate([np.asarray(r.column(7).flatten()) for r in held]).reshape(len(side), -1)
+        out = _unit_links(node, side, sets, bands, held[0].column(3)[0].as_py(), threshold)
         return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in out], ["node", "links", "low"])
 
-    def full(rows: list[tuple]) -> bool:
-        """Whether there is anything to compare; the other chunk of a unit may have no row."""
-        return len(rows) > 1 and (rows[0][1] == rows[0][2] or rows[0][4] != rows[-1][4])
-
-    held: list[tuple] = []
+    held: list[pa.RecordBatch] = []
+    last: tuple | None = None
     for batch in batches:
-        for row in zip(*(batch.column(i).to_pylist() for i in range(8)), strict=True):
-            if held and held[0][:3] != row[:3]:
-                if full(held):
-                    yield close(held)
+        keys = [np.asarray(batch.column(i)) for i in range(3)]
+        new = np.ones(batch.num_rows, dtype=bool)
+        new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+        starts = [*np.flatnonzero(new).tolist(), batch.num_rows]
+        for a, b in zip(starts, starts[1:], strict=False):
+            unit = tuple(int(k[a]) for k in keys)
+            if held and unit != last:
+                if (out := close(held)) is not None:
+                    yield out
                 held = []
-            held.append(row)
-    if full(held):
-        yield close(held)
+            held, last = [*held, batch.slice(a, b - a)], unit
+    if held and (out := close(held)) is not None:
+        yield out
 
 
 def _units(members: DataFrame, key: str) -> DataFrame:
@@ -211,8 +224,8 @@ def jaccard_links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     members are compared once. Nodes that share buckets form candidate components, and each node's full set is sent once to
     its component's unit, where all pairs are compared as blocks of a matrix product. A component of several chunks has a unit
     for each two chunks, so its work is spread; one of over MOST_CHUNKS chunks is compared bucket by bucket, and a pair counts
-    in the first band in which it meets. No pair is a row, and no partner is left out for a group's size. A pair at the
-    threshold meets with the stated recall, one above it with more.
+    in the first band in which it meets. In both ways those pairs count that share a band, so results don't depend on a group's
+    size. No pair is a row, and no partner is left out. A pair at the threshold meets with the stated recall, one above it with more.
 
     Defined results: a null or empty text has no n-grams; such documents are copies of one another and link with nothing else.
     Rows of one id with different sets are documents of their own; the rows of a class with the smallest (id, text hash) are its keeper,
@@ -263,10 +276,15 @@ def _whole(row_id: Column) -> Column:
 
 
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options: float) -> DataFrame:
-    """The rows of docs that stay: one of each class, the one with the smallest id (null last, then the smallest hash of the text)."""
+    """The rows of docs that stay: one of each class, the one with the smallest id (null last, then the smallest hash of the text).
+
+    Defined results: as for jaccard_links. Documents without words are one class, of which one row stays. Of rows equal in id and
+    text the one whose other columns come first as JSON stays. All columns stay as they are; an empty table gives an empty one.
+    """
     links = jaccard_links(docs, id_col=id_col, text_col=text_col, **options)
     stay = links.filter(F.col("id").eqNullSafe(F.col("keeper.id")) & (F.col("text_hash") == F.col("keeper.text_hash")))
     stay = durable(stay.select(_whole(F.col("id")).alias("_keep_id"), F.col("text_hash").alias("_keep_hash")).distinct(), "keepers")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _whole(F.col(id_col).cast("long")).alias("_keep_id"), F.xxhash64(text_of(text_col)).alias("_keep_hash"))
+    others = F.to_json(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c not in (id_col, text_col)]))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _whole(F.col(id_col).cast("long")).alias("_keep_id"), F.xxhash64(text_of(text_col)).alias("_keep_hash"), others.alias("_order"))
     # rows equal in id and text are one document, of which one row stays; the join's partitioning serves the grouping too
-    return rows.join(stay, ["_keep_id", "_keep_hash"]).groupBy("_keep_id", "_keep_hash").agg(F.any_value("row").alias("row")).select("row.*")
+    return rows.join(stay, ["_keep_id", "_keep_hash"]).groupBy("_keep_id", "_keep_hash").agg(F.min_by("row", "_order").alias("row")).select("row.*")
