@@ -22,9 +22,9 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     its lines everywhere but in the largest id that has it. All columns of docs stay; columns named n_lines, n_dropped or
     kept_text give way to the results.
 
-    Scale: keys are hashed (128 bits) and made distinct within a document before anything moves, counts are combined on the map side,
-    and a key that a third of all documents share arrives as one partial row a task. Texts move once, as arrays of lines, to meet
-    the positions that go; the join is not hinted, so Spark sends the small side round instead where its size allows.
+    Scale: keys are hashed (128 bits) and made distinct within a document before anything moves, and counts are combined on the map
+    side. The lines of a key that a third of all documents share are split by adaptive execution where they meet its keeper. Texts
+    move once, as arrays of lines, to meet the positions that go; no join is hinted, so Spark sends a small side round instead.
 
     Defined results: a null or empty text is one empty line; rows with one id are parts of one document, counted once; a null id
     is one document, smaller than all others; equal rows get equal results; an empty table gives an empty one.
@@ -42,6 +42,8 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         .groupBy("h").agg(F.count("*").alias("n"), F.max("id").alias("keeper"))
         .filter(F.col("n") >= least_docs).select("h", "keeper")
     )
+    # as a table of its own it meets the lines with a shuffle on both sides, or none: then Spark splits a line that very many documents have
+    shared = durable(shared, "shared-lines")
     gone = long_lines.join(shared, "h").filter(F.col("id").isNull() | (F.col("id") != F.col("keeper")))
     gone = gone.groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("gone"))
     met = rows.join(gone, "key", "left")
