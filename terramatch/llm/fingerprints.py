@@ -14,20 +14,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from .common import durable, text_of
+from .common import WorkerTable, durable, text_of
 
-#: Terms fall into so many cells by their hash, and document frequency is counted a cell: the table has this size for any corpus.
-CELL_BITS = 20
-#: A cell is in the band if from LEAST_SHARE to MOST_SHARE of all documents have a term in it.
+#: A term is in the band if from LEAST_SHARE to MOST_SHARE of all documents have it.
 LEAST_SHARE, MOST_SHARE = 0.0005, 0.25
+#: Term hashes that a task gathers before it makes them distinct.
+GATHERED = 4_000_000
 #: Subsets of the lexicon: at level j each holds a 2**-j part of it, and there are min(2**j, WIDTH) disjoint ones.
 LEVELS, WIDTH = 13, 16
 WIDTHS = [min(1 << j, WIDTH) for j in range(LEVELS)]
 #: A level tells texts apart by degrees only where its subsets hold few terms of a text: where some of them hold none.
 MOST_USED = 0.9
 #: Blocks of consecutive documents; the heads of all blocks go to the driver, so their number is bounded.
-BLOCK_ROWS, MOST_BLOCKS = 2000, 50_000
-MOST_WORDS = 500_000
+BLOCK_ROWS, MOST_BLOCKS = 500, 200_000
+MOST_WORDS = 250_000
 
 
 class TermHashes(dict):
@@ -38,44 +38,66 @@ class TermHashes(dict):
         return found
 
 
-_terms = TermHashes()
+_terms = WorkerTable(TermHashes)
 
 
 def terms(text: str) -> np.ndarray:
-    """Sorted distinct hashes of a text's words in lower case."""
-    if len(_terms) > MOST_WORDS:
-        _terms.clear()
+    """Distinct 64-bit hashes of a text's words in lower case."""
+    known = _terms.get()
+    if len(known) > MOST_WORDS:
+        known.clear()
     words = set(text.lower().split())
-    out = np.fromiter(map(_terms.__getitem__, words), dtype=np.uint64, count=len(words))
-    out.sort()
-    return out
+    return np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
+
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Terms and the numbers of a task's documents that have them."""
+    seen, n, held, size = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64), [], 0
 
-def cells(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+    def merged() -> tuple[np.ndarray, np.ndarray]:
+        new, counts = np.unique(np.concatenate(held), return_counts=True)
+        both, where = np.unique(np.concatenate([seen, new]), return_inverse=True)
+        total = np.zeros(len(both), dtype=np.int64)
+        np.add.at(total, where, np.concatenate([n, counts]))
+        return both, total
 
+    def out(seen: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(seen.view(np.int64)), pa.array(n)], ["term", "n"])
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts, rows = np.zeros(1 << CELL_BITS, dtype=np.int64), 0
     for batch in batches:
-        rows += batch.num_rows
         for x in batch.column(0):
-            counts[np.unique(cells(terms(x.as_py())))] += 1
-    seen = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(np.append(seen, -1)), pa.array(np.append(counts[seen], rows))], ["cell", "n"])
+            held.append(terms(x.as_py()))
+            size += len(held[-1])
+            if size > GATHERED:
+                seen, n = merged()
+                held, size = [], 0
+                if len(seen) > GATHERED:
+                    yield out(seen, n)
+                    seen, n = seen[:0], n[:0]
+    if held:
+        seen, n = merged()
+    for at in range(0, len(seen), 1_000_000):
+        yield out(seen[at : at + 1_000_000], n[at : at + 1_000_000])
 
 
 def idf_band(docs: DataFrame, text_col: str = "text", least_share: float = LEAST_SHARE, most_share: float = MOST_SHARE) -> np.ndarray:
-    """For each cell, whether its inverse document frequency is in the band. Counts cover all documents; the cells inside, 2**CELL_BITS
-    numbers at most, come to the driver as Arrow batches, and as many bits go out to the tasks."""
-    counted = docs.select(text_of(text_col).alias("text")).mapInArrow(_counted, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    counted = durable(counted, "cell-counts")
-    rows = counted.filter("cell = -1").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    """Sorted hashes of the terms whose inverse document frequency is in the band. Counts cover all terms of all documents.
+
+    A document with k distinct terms adds k to the counts, and each term of the band takes least_share of all documents, so the
+    band has at most mean(k) / least_share terms for a corpus of any size: some 500,000 numbers for documents of 250 distinct words.
+    They come to the driver as Arrow batches and go out to the tasks.
+    """
+    rows = docs.count()
     low, high = max(1, math.ceil(least_share * rows)), max(1, math.floor(most_share * rows))
-    inside = counted.filter(F.col("n").between(low, high) & (F.col("cell") >= 0)).select("cell").toArrow()
-    band = np.zeros(1 << CELL_BITS, dtype=bool)
-    band[inside.column("cell").to_numpy()] = True
-    return band
+    counted = docs.select(text_of(text_col).alias("text")).mapInArrow(_counted, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    inside = counted.filter(F.col("n").between(low, high)).select("term").toArrow()
+    return np.sort(inside.column("term").to_numpy().astype(np.int64).view(np.uint64))
+
+
+def in_band(hashes: np.ndarray, band: np.ndarray) -> np.ndarray:
+    if not len(band):
+        return np.zeros(len(hashes), dtype=bool)
+    return band[np.minimum(np.searchsorted(band, hashes), len(band) - 1)] == hashes
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -85,27 +107,26 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(texts: list[str], band: np.ndarray) -> np.ndarray:
-    """A row a text, a hash of 8 bits a subset; 0 stands for a subset without any of the text's terms.
+    """A row a text, a hash of 16 bits a subset; 0 stands for a subset without any of the text's terms.
 
     A text with no term in the band is fingerprinted by all its terms.
     """
-    kept = []
-    for x in texts:
-        t = terms(x)
-        inside = t[band[cells(t)]]
-        kept.append(inside if len(inside) else t)
-    owner, flat = np.repeat(np.arange(len(texts)), [len(x) for x in kept]), np.concatenate(kept) if kept else np.empty(0, dtype=np.uint64)
-    out, at = np.zeros((len(texts), sum(WIDTHS)), dtype=np.uint8), 0
+    found = [terms(x) for x in texts]
+    owner, flat = np.repeat(np.arange(len(texts)), [len(x) for x in found]), np.concatenate(found) if found else np.empty(0, dtype=np.uint64)
+    kept = in_band(flat, band)
+    kept |= (np.bincount(owner[kept], minlength=len(texts)) == 0)[owner]
+    owner, flat = owner[kept], flat[kept]
+    out, at = np.zeros((len(texts), sum(WIDTHS)), dtype=np.uint16), 0
     value = _mixed(flat)
     for level, width in enumerate(WIDTHS):
         part = (_mixed(flat ^ np.uint64(0x5851F42D4C957F2D * (level + 1) % 2**64)) & np.uint64((1 << level) - 1)).astype(np.int64)
         inside = part < width
         slot = owner[inside] * width + part[inside]
-        # terms are distinct and sorted, so a sequence and the sum of its scrambled hashes stand for the same set
+        # terms are distinct, so the sum of their scrambled hashes stands for the sorted sequence of them
         total = np.zeros(len(texts) * width, dtype=np.uint64)
         np.add.at(total, slot, value[inside])
         count = np.bincount(slot, minlength=len(total))
-        h = (_mixed(total + np.uint64(level + 1)) >> np.uint64(56)).astype(np.uint8)
+        h = (_mixed(total + np.uint64(level + 1)) >> np.uint64(48)).astype(np.uint16)
         out[:, at : at + width] = np.where(count > 0, np.maximum(h, 1), 0).reshape(len(texts), width)
         at += width
     return out
@@ -124,12 +145,11 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def as_text(prints: np.ndarray) -> list[str]:
-    """Two hexadecimal digits a subset."""
-    return [row.tobytes().hex() for row in prints]
+    """Four hexadecimal digits a subset."""
+    return [row.tobytes().hex() for row in prints.astype(">u2")]
 
 
-def _printed(batches: Iterator[pa.RecordBatch], bits: bytes) -> Iterator[pa.RecordBatch]:
-    band = np.unpackbits(np.frombuffer(bits, dtype=np.uint8)).astype(bool)
+def _printed(batches: Iterator[pa.RecordBatch], band: np.ndarray) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         prints = fingerprints([x.as_py() for x in batch.column(1)], band)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(as_text(prints))], ["id", "fingerprint"])
@@ -141,16 +161,15 @@ def fingerprint_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     Defined results: a null text is the empty one, whose fingerprint is all zeros; equal texts have equal fingerprints; a null id
     stays null; an empty table gives an empty one. Further columns are left out.
     """
-    bits = np.packbits(idf_band(docs, text_col)).tobytes()
-    return docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text")).mapInArrow(partial(_printed, bits=bits), "id long, fingerprint string")
+    band = idf_band(docs, text_col)
+    return docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text")).mapInArrow(partial(_printed, band=band), "id long, fingerprint string")
 
 
 EDITED = "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
-def _with_next(batches: Iterator[pa.RecordBatch], bits: bytes) -> Iterator[pa.RecordBatch]:
-    """Rows (block, id, is null, text, is a guest) come sorted; a block ends with its guest, the first document of the next block."""
-    band = np.unpackbits(np.frombuffer(bits, dtype=np.uint8)).astype(bool)
+def _with_next(batches: Iterator[pa.RecordBatch], band: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows (block, id, text, is a guest) come sorted; a block ends with its guest, the first document of the next block."""
 
     def out(ids: list[int | None], texts: list[str]) -> pa.RecordBatch:
         edited = [a[: len(a) - len(a) // 2] + b[: len(a) // 2] for a, b in zip(texts, texts[1:], strict=False)]
@@ -180,7 +199,8 @@ def fingerprint_with_edits(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     """Fingerprints of all documents and of their edited texts (a half replaced by the start of the next document), and likenesses.
 
     Scale: ids are cut into blocks of consecutive documents at boundaries taken from a narrow table; texts shuffle once, by block,
-    and the first document of a block goes to the block before it as well. At most MOST_BLOCKS boundaries reach the driver.
+    and the first document of a block goes to the block before it as well. At most MOST_BLOCKS boundaries reach the driver; beyond
+    MOST_BLOCKS * BLOCK_ROWS documents blocks get longer, with the same results, and a block streams through its task.
 
     Defined results: as for fingerprint_documents; documents follow one another by id, null first, then by a hash of the text; the
     first follows the last, so a single document follows itself.
@@ -208,5 +228,5 @@ def fingerprint_with_edits(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     home = F.struct(F.col("block"), F.lit(False).alias("guest"))
     away = F.struct(F.pmod(F.col("block") - 1, F.lit(max(1, len(heads)))).alias("block"), F.lit(True).alias("guest"))
     both = placed.withColumn("to", F.explode(F.when(F.col("at") % 2 == 1, F.array(home, away)).otherwise(F.array(home)))).select("to.block", "id", "text", "to.guest", "key", "tie")
-    bits = np.packbits(idf_band(docs, text_col)).tobytes()
-    return both.repartition("block").sortWithinPartitions("block", "guest", "key", "tie").select("block", "id", "text", "guest").mapInArrow(partial(_with_next, bits=bits), EDITED)
+    band = idf_band(docs, text_col)
+    return both.repartition("block").sortWithinPartitions("block", "guest", "key", "tie").select("block", "id", "text", "guest").mapInArrow(partial(_with_next, band=band), EDITED)
