@@ -22,6 +22,8 @@ TRAIN_ROWS = 6000
 MOST_WORDS = 400_000
 
 SYMBOL = re.compile(r"[#*$%&|<>{}\\^~]")
+#: What may hide a word at its ends.
+ENDS = "#*$%&|<>{}\\^~.,;:!?\"'()"
 LONE = frozenset("|*#$%&<>{}\\^~-+=")
 #: Words that insult; fixed values of a labeller.
 INSULTS = frozenset("bastard clown coward cretin dimwit dumb dumbass fool freak idiot idiotic idiots imbecile loser losers lowlife moron moronic morons nitwit parasite pig scum scumbag stupid trash vermin".split())
@@ -29,6 +31,9 @@ INSULTS = frozenset("bastard clown coward cretin dimwit dumb dumbass fool freak
 CONTEMPT = frozenset("contemptible despicable disgusting filthy hateful loathsome pathetic repulsive revolting sickening useless worthless wretched".split())
 
 
+#: Frequent words of the language of the two lists above; fixed values.
+COMMON = frozenset("the of and to that is for was with are".split())
+
 MARKS = ("", ".", ",", ";", ":", "!", "?")
 
 
@@ -56,7 +61,10 @@ class Text:
         self.pairs = len(set(zip(self.words, self.words[1:], strict=False))) if 2 * len(self.distinct) < self.n + 2 else self.n
         self.ends = text.count(". ") + text.count(".\n") + text.count("? ") + text.count("! ") + text.endswith((".", "?", "!"))
         lower = self.distinct if text.islower() else set(map(str.lower, self.distinct))
+        if self.symbols or "!!" in text:
+            lower = {w.strip(ENDS) for w in lower}
         self.insults, self.contempt = len(INSULT_FORMS & lower), len(CONTEMPT_FORMS & lower)
+        self.known_language = len(COMMON & lower) > 2
 
 
 #: Labellers of low quality: each votes when its condition holds. The last one votes for prose.
@@ -75,9 +83,15 @@ TOXICITY: dict[str, Callable[[Text], bool]] = {
     "insults": lambda t: t.insults > 0,
     "contempt": lambda t: t.contempt > 0,
     "dense": lambda t: t.insults + t.contempt >= 2,
-    "clean": lambda t: t.insults + t.contempt == 0,
+    "clean": lambda t: t.insults + t.contempt == 0 and t.known_language,
 }
+#: Heads whose labellers all abstain where none of them fires: word lists say nothing about a text in another language.
+ABSTAIN = {"quality": False, "toxicity": True}
 HEADS = {"quality": QUALITY, "toxicity": TOXICITY}
+#: The column that says for each head what the given label is.
+GIVEN = ("low", "toxic")
+#: Documents without a label train the toxicity scorer beside the labelled ones from this posterior on.
+SURE = 0.9
 #: The labeller of each head that speaks for the good class.
 FOR_GOOD = {"quality": "prose", "toxicity": "clean"}
 
@@ -122,14 +136,14 @@ OWN = 3  # features of a text itself
 def _voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         both = np.array([votes(x.as_py()) for x in batch.column(0)], dtype=np.int32).reshape(-1, 2)
-        yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["tie", *HEADS])
+        yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["id", "tie", *HEADS])
 
 
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = [x.as_py() for x in batch.column(0)]
         both, found = np.array([votes(x) for x in texts], dtype=np.int32).reshape(-1, 2), [features(x) for x in texts]
-        yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in found], type=pa.int32()), pa.array([x for _, x in found], type=pa.list_(pa.int32())), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy()), batch.column(1)], ["distinct", "features", *HEADS, "label"])
+        yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in found], type=pa.int32()), pa.array([x for _, x in found], type=pa.list_(pa.int32())), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy()), batch.column(1), batch.column(2)], ["distinct", "features", *HEADS, *GIVEN])
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -138,36 +152,52 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 @dataclass
 class LabelModel:
-    """Rates at which labellers fire on bad and on good documents, and the share of bad ones."""
+    """Rates at which labellers fire on bad and on good documents, at which given labels say bad, and the share of bad ones."""
 
     rates: np.ndarray  # 2 x labellers: good, bad
     bad: float
+    given: np.ndarray  # good, bad
+    abstain: bool = False  # whether a row in which none fires says nothing
 
-    def posterior(self, fired: np.ndarray) -> np.ndarray:
-        """P(bad) of rows of 0 and 1."""
+    def posterior(self, fired: np.ndarray, given: np.ndarray | None = None) -> np.ndarray:
+        """P(bad) of rows of 0 and 1. given: 1 and 0 where a label says bad or good; NaN where none is given, which counts for nothing."""
         log = [fired @ np.log(r) + (1 - fired) @ np.log(1 - r) for r in self.rates]
-        return _sigmoid(log[1] - log[0] + np.log(self.bad) - np.log(1 - self.bad))
+        votes = fired.any(axis=1) if self.abstain else 1.0
+        odds = votes * (log[1] - log[0]) + np.log(self.bad) - np.log(1 - self.bad)
+        if given is not None:
+            says = [np.where(given > 0, np.log(g), np.log(1 - g)) for g in self.given]
+            odds = odds + np.where(np.isnan(given), 0.0, says[1] - says[0])
+        return _sigmoid(odds)
+
 
+def fired_of(patterns: np.ndarray, labellers: int) -> np.ndarray:
+    return (patterns[:, None] >> np.arange(labellers) & 1).astype(float)
 
-def fit_labels(patterns: np.ndarray, counts: np.ndarray, labellers: list[str], for_good: str, rounds: int = 50) -> LabelModel:
-    """Expectation-maximisation over the vote patterns of all documents and their counts.
 
-    It starts from: bad if any labeller of bad fires. A labeller is never believed to be worse than chance, which keeps the classes
-    from changing places.
+def fit_labels(patterns: np.ndarray, counts: np.ndarray, labellers: list[str], for_good: str, rounds: int = 50, given: np.ndarray | None = None, abstain: bool = False) -> LabelModel:
+    """Expectation-maximisation over the vote patterns of all documents and their counts. Given labels are one more labeller, which
+    votes for few documents.
+
+    It starts from: bad if any labeller of bad fires, or a label says so. A labeller is never believed to be worse than chance, which
+    keeps the classes from changing places.
     """
-    fired = (patterns[:, None] >> np.arange(len(labellers)) & 1).astype(float)
+    fired = fired_of(patterns, len(labellers))
+    given = np.full(len(patterns), np.nan) if given is None else given
     good = np.array([x == for_good for x in labellers])
-    q, weight = np.where(fired[:, ~good].any(axis=1), 0.9, 0.05), counts / max(1, counts.sum())
-    model = LabelModel(np.full((2, len(labellers)), 0.5), 0.5)
+    q, weight = np.where(fired[:, ~good].any(axis=1) | (given > 0), 0.9, 0.05), counts / max(1, counts.sum())
+    voted, labelled, says = weight * (fired.any(axis=1) | (not abstain)), weight * ~np.isnan(given), np.nan_to_num(given)
+    few = 0.0001 * max(labelled.sum(), 1e-9)
+    model = LabelModel(np.full((2, len(labellers)), 0.5), 0.5, np.array([0.5, 0.5]), abstain)
     for _ in range(rounds):
-        mass = np.array([((1 - q) * weight).sum(), (q * weight).sum()])
+        mass = np.array([((1 - q) * voted).sum(), (q * voted).sum()])
         # as if ten thousandths of each class had voted by halves
-        rates = np.stack([((1 - q) * weight) @ fired, (q * weight) @ fired])
+        rates = np.stack([((1 - q) * voted) @ fired, (q * voted) @ fired])
         rates = np.clip((rates + 0.0005) / (mass[:, None] + 0.001), 1e-4, 1 - 1e-4)
         low, high = np.minimum(*rates), np.maximum(*rates)
         rates = np.stack([np.where(good, high, low), np.where(good, low, high)])
-        model = LabelModel(rates, float(np.clip(mass[1], 1e-3, 0.6)))
-        q = model.posterior(fired)
+        given_rates = np.array([((1 - q) * labelled) @ says + few / 2, (q * labelled) @ says + few / 2]) / (np.array([((1 - q) * labelled).sum(), (q * labelled).sum()]) + few)
+        model = LabelModel(rates, float(np.clip((q * weight).sum(), 1e-3, 0.6)), np.sort(np.clip(given_rates, 1e-3, 1 - 1e-3)), abstain)
+        q = model.posterior(fired, given)
     return model
 
 
@@ -180,8 +210,9 @@ class Scorer:
 
 
 def fit_scorer(rows: list[tuple[int, np.ndarray]], target: np.ndarray, rounds: int = 60, step: float = 0.5, shrink: float = 1e-4) -> Scorer:
-    """Logistic regression on soft labels by gradient steps with moments (Kingma and Ba, 2015); both classes weigh the same."""
-    size = 1 << FEATURE_BITS
+    """Logistic regression on posterior labels, each the more probable class, by gradient steps with moments (Kingma and Ba, 2015); both
+    classes weigh the same."""
+    size, target = 1 << FEATURE_BITS, (target > 0.5).astype(float)
     if not rows:
         return Scorer(np.zeros(size), -1.0)
     weight = target / max(target.sum(), 1) + (1 - target) / max((1 - target).sum(), 1)
@@ -240,47 +271,57 @@ class Classifier:
         return np.stack([_sigmoid(out.real), _sigmoid(out.imag)], axis=1)
 
 
+def _known(labels: DataFrame, id_col: str) -> DataFrame:
+    """id and, for each head, 1 where a label says bad, 0 where it says good, null where there is none. One row an id; of labels that
+    disagree the one for bad counts."""
+    said = {"low": 1 - F.col("quality").cast("int") if "quality" in labels.columns else F.lit(None).cast("int"), "toxic": F.col("toxic").cast("int") if "toxic" in labels.columns else F.lit(None).cast("int")}
+    rows = labels.select(F.col(id_col).cast("long").alias("id"), *[x.alias(c) for c, x in said.items()]).filter("id IS NOT NULL AND (low IS NOT NULL OR toxic IS NOT NULL)")
+    return rows.groupBy("id").agg(*[F.max(c).alias(c) for c in GIVEN])
+
+
 def fit(docs: DataFrame, labels: DataFrame | None = None, *, id_col: str = "doc_id", text_col: str = "text", train_rows: int = TRAIN_ROWS) -> Classifier:
-    """Votes of all documents are counted by pattern (some thousand patterns at most); the scorers see train_rows documents.
+    """Votes of all documents are counted by pattern (some thousand patterns at most) and given label; the scorers see train_rows
+    documents each, drawn by hashes, with their posterior labels.
+
+    labels (id_col, and quality or toxic or both) are a further labeller of expectation-maximisation. Where there are any, the toxicity
+    scorer trains on train_rows documents with a label and on those of the other train_rows whose posterior is over SURE: word
+    lists know one language only, so without a label a document's posterior says little unless its words are in them.
 
-    labels (id_col, toxic) name the toxic ones among train_rows documents with a label. Where there are any, the toxicity scorer
-    trains on them and on documents whose posterior is sure, so that it learns words which the labellers' word lists lack; else
-    it trains on posterior labels as the quality scorer does.
+    Defined results: null ids, null labels and labels of unknown ids count for nothing; labels of one class are used as they are;
+    without rows, the scorers keep everything.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text")).withColumn("tie", F.xxhash64("text"))
-    voted = durable(rows.select("text", "tie").mapInArrow(_voted, "tie long, quality int, toxicity int"), "votes")
-    patterns = voted.groupBy(*HEADS).count().toPandas()
-    models = {h: fit_labels(patterns[h].to_numpy(dtype=np.int64), patterns["count"].to_numpy(dtype=float), list(HEADS[h]), FOR_GOOD[h]) for h in HEADS}
+    voted = durable(rows.select("text", "id", "tie").mapInArrow(_voted, "id long, tie long, quality int, toxicity int"), "votes")
+    blank = [F.lit(None).cast("int").alias(c) for c in GIVEN]
+    # a row a labelled document, of which there are few
+    known = None if labels is None else durable(_known(labels, id_col), "labels")
+    said = voted.select(*HEADS, *blank) if known is None else voted.join(known, "id", "left").select(*HEADS, *GIVEN)
+    patterns = said.groupBy(*HEADS, *GIVEN).count().toPandas()
+    models = {h: fit_labels(patterns[h].to_numpy(dtype=np.int64), patterns["count"].to_numpy(dtype=float), list(HEADS[h]), FOR_GOOD[h], given=patterns[g].to_numpy(dtype=float), abstain=ABSTAIN[h]) for h, g in zip(HEADS, GIVEN, strict=True)}
 
     def sample(of: DataFrame) -> dict:
-        table = of.select("text", "label").mapInArrow(_featured, "distinct int, features array<int>, quality int, toxicity int, label int").toArrow()
-        out: dict = {"rows": [], "label": table.column("label").to_numpy(), **{h: np.zeros(0) for h in HEADS}}
+        table = of.select("text", *GIVEN).mapInArrow(_featured, "distinct int, features array<int>, quality int, toxicity int, low int, toxic int").toArrow()
+        out: dict = {"rows": []}
         for n, lists in zip(table.column("distinct").chunks, table.column("features").chunks, strict=True):
             ends, flat = np.asarray(lists.offsets), np.asarray(lists.values)
             out["rows"] += [(k, flat[a:b]) for k, a, b in zip(n.to_pylist(), ends, ends[1:], strict=False)]
-        for h in HEADS if out["rows"] else ():
-            out[h] = models[h].posterior((np.asarray(table.column(h))[:, None] >> np.arange(len(HEADS[h])) & 1).astype(float))
+        for h, g in zip(HEADS, GIVEN, strict=True):
+            out[h] = models[h].posterior(fired_of(np.asarray(table.column(h)), len(HEADS[h])), table.column(g).to_numpy().astype(float)) if out["rows"] else np.zeros(0)
         return out
 
     # the documents with the least hashes, as a threshold: no text is sorted
     last = voted.select("tie").distinct().orderBy("tie").limit(train_rows).agg(F.max("tie")).first()[0]
-    any_rows = sample(rows.filter(F.col("tie") <= F.lit(last)).dropDuplicates(["tie"]).withColumn("label", F.lit(None).cast("int")))
-    scorers = {"quality": fit_scorer(any_rows["rows"], any_rows["quality"])}
-    # documents whose labellers agree that they are toxic train the toxicity scorer beside the labelled ones
-    sure = [i for i, p in enumerate(any_rows["toxicity"]) if p > 0.9]
-    more, more_p = [any_rows["rows"][i] for i in sure], any_rows["toxicity"][sure]
-    any_rows["rows"] = any_rows["rows"] if labels is None else []
-    toxic: dict = {"rows": [], "label": []}
-    if labels is not None:
-        known = labels.select(F.col(id_col).cast("long").alias("id"), F.col("toxic").cast("int").alias("label")).dropna().groupBy("id").agg(F.max("label").alias("label"))
+    drawn = sample(rows.filter(F.col("tie") <= F.lit(last)).dropDuplicates(["tie"]).select("text", *blank))
+    scorers = {"quality": fit_scorer(drawn["rows"], drawn["quality"])}
+    toxic = drawn
+    if known is not None and not known.isEmpty():
         # a bounded sample of the labels by a hash of their ids, which is small enough to be sent round
-        known = known.orderBy(F.xxhash64("id"), "id").limit(train_rows)
-        toxic = sample(rows.join(F.broadcast(known), "id"))
-    labelled = np.array(toxic["label"], dtype=float)
-    use = 0 < labelled.sum() < len(labelled)
-    if not use and labels is not None:
-        return fit(docs, None, id_col=id_col, text_col=text_col, train_rows=train_rows)
-    scorers["toxicity"] = fit_scorer(toxic["rows"] + more, np.concatenate([labelled, more_p])) if use else fit_scorer(any_rows["rows"], any_rows["toxicity"])
+        some = known.filter("toxic IS NOT NULL").orderBy(F.xxhash64("id"), "id").limit(train_rows)
+        toxic = sample(rows.join(F.broadcast(some), "id"))
+        sure = [i for i, p in enumerate(drawn["toxicity"]) if p > SURE]
+        toxic = {"rows": toxic["rows"] + [drawn["rows"][i] for i in sure], "toxicity": np.concatenate([toxic["toxicity"], drawn["toxicity"][sure]])}
+    del drawn
+    scorers["toxicity"] = fit_scorer(toxic["rows"], toxic["toxicity"])
     return Classifier(models, scorers)
 
 
@@ -308,7 +349,10 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, *, id_col: str =
 
 
 def keep_good(docs: DataFrame, labels: DataFrame | None = None, *, id_col: str = "doc_id", text_col: str = "text", most_low: float = 0.5, most_toxic: float = 0.35, train_rows: int = TRAIN_ROWS) -> DataFrame:
-    """The rows of docs that classify() keeps, as they are. Only texts go to Python, and nothing is joined."""
+    """The rows of docs that classify() keeps, as they are, repeated ones and null ids too. Only texts go to Python, and nothing is joined.
+
+    Defined results: as for classify(); an empty table gives an empty one.
+    """
     classifier = fit(docs, labels, id_col=id_col, text_col=text_col, train_rows=train_rows)
     weights, bias = classifier.words.weights, classifier.bias
 
