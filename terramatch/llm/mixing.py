@@ -79,17 +79,35 @@ def mix_plan(keyed: DataFrame, weights: Sequence[float], most_epochs: float) ->
     ends = sums.filter(F.col("until") > F.col("rest")).groupBy("source").agg(F.min(F.struct("range", (F.col("until") - F.col("size")).alias("before"))).alias("end"))
     plan = plan.join(ends.select(F.col("source").alias("end_source"), F.col("end.range").alias("end_range"), "end.before"), F.col("source").eqNullSafe(F.col("end_source")), "left").drop("end_source")
     plan = durable(plan, "mix-plan", 1)
+    # equal rows are one row with a count here, however many they are
+    inside = _ranged(keyed, plan).filter(F.col("range") == F.col("end_range")).groupBy("source", "rest", "before", "key", "id", "size").agg(F.count("*").alias("rows"))
     order = W.partitionBy("source").orderBy("key", "id", "size").rowsBetween(W.unboundedPreceding, 0)
-    inside = _ranged(keyed, plan).filter(F.col("range") == F.col("end_range")).withColumn("middle", F.col("before") + F.sum("size").over(order) - F.col("size") / 2)
-    last = inside.filter(F.col("middle") <= F.col("rest")).groupBy("source").agg(F.max(F.struct("key", "id", "size")).alias("last"))
+    ahead = F.col("before") + F.sum(F.col("size") * F.col("rows")).over(order) - F.col("size") * F.col("rows")
+    # as many of them as fit by more than a half
+    fit = F.when(F.col("size") == 0, F.when(ahead <= F.col("rest"), F.col("rows")).otherwise(0)).otherwise(F.floor((F.col("rest") - ahead) / F.col("size") + 0.5))
+    inside = inside.withColumn("fit", F.least(F.greatest(fit, F.lit(0)), F.col("rows")).cast("long")).filter("fit > 0")
+    last = inside.groupBy("source").agg(F.max(F.when(F.col("fit") == F.col("rows"), F.struct("key", "id", "size"))).alias("last"), F.max(F.when(F.col("fit") < F.col("rows"), F.struct(F.struct("key", "id", "size").alias("row"), "fit"))).alias("split"))
     return durable(plan.join(last.withColumnRenamed("source", "last_source"), F.col("source").eqNullSafe(F.col("last_source")), "left").drop("last_source", "before"), "mix-plan", 1)
 
 
-def _copies() -> Column:
-    inside = F.coalesce(F.struct("key", "id", "size") <= F.col("last"), F.lit(False))
+def _with_copies(keyed: DataFrame, plan: DataFrame) -> DataFrame:
+    """keyed with its source's plan and copies, the number of times that the mix takes a row."""
+    # the task that reads a row, before any join: the same whenever the table is read
+    met, one = _ranged(keyed.withColumn("task", F.spark_partition_id()), plan), F.struct("key", "id", "size")
+    inside = F.coalesce(one <= F.col("last"), F.lit(False))
     selected = F.col("end_range").isNull() | (F.col("range") < F.col("end_range")) | ((F.col("range") == F.col("end_range")) & inside)
     # a budget of nothing selects nothing, also where no range exceeds it
-    return F.col("epochs") + (selected & (F.col("rest") > 0)).cast("long")
+    copies = F.col("epochs") + (selected & (F.col("rest") > 0)).cast("long")
+    if plan.filter("split IS NOT NULL").isEmpty():
+        return met.withColumn("copies", copies).drop("task")
+    # of equal rows at the end of a budget the first ones are taken: numbered task by task, with the numbers of rows of the tasks before
+    equal = (F.col("range") == F.col("end_range")) & one.eqNullSafe(F.col("split.row"))
+    tied = met.filter(equal).withColumn("number", F.row_number().over(W.partitionBy("source", "task").orderBy("task")))
+    sizes = met.filter(equal).groupBy("source", "task").agg(F.count("*").alias("n"))
+    sizes = sizes.select(F.col("source").alias("n_source"), F.col("task").alias("n_task"), (F.sum("n").over(W.partitionBy("source").orderBy("task").rowsBetween(W.unboundedPreceding, 0)) - F.col("n")).alias("n_before"))
+    tied = tied.join(durable(sizes, "mix-ties", 1), F.col("source").eqNullSafe(F.col("n_source")) & (F.col("task") == F.col("n_task")))
+    tied = tied.withColumn("copies", F.col("epochs") + (F.col("number") + F.col("n_before") <= F.col("split.fit")).cast("long")).drop("number", "n_source", "n_task", "n_before")
+    return met.filter(~F.coalesce(equal, F.lit(False))).withColumn("copies", copies).unionByName(tied).drop("task")
 
 
 def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", quality: Column | None = None, weights: Sequence[float] = (5, 2, 1), most_epochs: float = 3, seed: int = 20) -> DataFrame:
@@ -102,19 +120,23 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     Scale: see mix_plan. Documents meet a table of one row a source; no text moves.
 
     Defined results: a null or empty text has size 0 and takes no words; a null source is a source of its own; a null id is hashed as an
-    empty one; equal rows are selected together or not at all; an empty table gives an empty one. Further columns are left out.
+    empty one; of rows with one id and size, as many are taken as fit; an empty table gives an empty one. Further columns are left out.
     """
     keyed = durable(_sized(docs, id_col, text_col, source_col, quality, seed), "mix-keys")
-    met = _ranged(keyed, mix_plan(keyed, weights, most_epochs)).withColumn("copies", _copies())
+    met = _with_copies(keyed, mix_plan(keyed, weights, most_epochs))
     return met.select(F.col("id").alias(id_col), "size", "source", "source_size", "target", "epochs", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def mixed_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", quality: Column | None = None, weights: Sequence[float] = (5, 2, 1), most_epochs: float = 3, seed: int = 20) -> DataFrame:
-    """The rows of docs, each as many times as mix() takes it; all columns stay."""
-    keyed = durable(_sized(docs, id_col, text_col, source_col, quality, seed), "mix-keys")
-    plan = mix_plan(keyed, weights, most_epochs)
-    rows = _sized(docs, id_col, text_col, source_col, quality, seed, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    met = _ranged(rows, plan).withColumn("copies", _copies())
+    """The rows of docs, each as many times as mix() takes it; all columns stay.
+
+    Scale: rows are written once beside their keys, so that words are counted once; the plan's steps read the keys alone.
+
+    Defined results: as for mix(). A document without words stays as often as its source is taken whole; where a source has no words at
+    all its documents are not taken.
+    """
+    keyed = durable(_sized(docs, id_col, text_col, source_col, quality, seed, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")), "mix-rows")
+    met = _with_copies(keyed, mix_plan(keyed.drop("row"), weights, most_epochs))
     return met.filter("copies > 0").select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("row.*")
 
 
