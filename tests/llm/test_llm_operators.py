@@ -1,7 +1,9 @@
 """The training-data operators against brute force, and on odd tables."""
 
 import math
+import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from hashlib import sha256
@@ -9,6 +11,7 @@ from hashlib import sha256
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -115,6 +118,16 @@ def test_lines_of_odd_rows(spark):
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
 
 
+def test_equal_rows_are_taken_as_far_as_they_fit(spark):
+    """A source of a hundred equal rows beside one of a hundred distinct ones: both come within half a document of their targets."""
+    rows = [(7, "one two three four", "a")] * 100 + [(100 + i, "one two three four", "b") for i in range(100)] + [(None, None, "a")] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    got = mixing.mix(df).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.count("*").alias("n")).collect()
+    assert sorted(r.n for r in got) == [100, 103] and all(abs(r.taken - r.target) <= 2 for r in got)
+    whole = mixing.mixed_rows(df).groupBy("source").agg((4 * F.count("text")).alias("taken")).collect()
+    assert {r.source: r.taken for r in whole} == {r.source: r.taken for r in got}
+
+
 # ---- tokens
 
 
@@ -123,14 +136,33 @@ def test_encoder_is_the_library(name, rows):
     plain, quick = Tokenizer.from_file(public_tokenizers.path(name)), tokenization.Encoder(public_tokenizers.path(name))
     assert quick.kind
     odd = ["", " ", "  a  b", "a \n b", "\n", " x", "x ", "a\tb", "İx ΣΑΣ é é", "it's I'LL x's", "don't, 'tis", "a1b2", "ªº ǅ ǆ", "<|endoftext|> x", "a  \n\n  b c", "x.\nY z", "日本 語", "a​b", "\x1c a", "a\x85b \xa0 c", "ſ K ÅÉ", "Été. ÉTÉ, É", "été", "a.b,c!d", "... ,,", "ab,, ab.,"]
-    for t in odd + [r[1] for r in rows[:80]] + [LONG]:
-        want = np.array(plain.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        assert quick.encode([t])[0] == want == quick.encode([t])[0]
+    rng = random.Random(1)
+    odd += ["".join(rng.choice("aB cé\n ,.!?'s 12\t Яб Ωσ  \u3000\xa0 \u0301<|endoftext|>x\0\x1c\r É") for _ in range(rng.randrange(40))) for _ in range(2000)]
+    texts = odd + [r[1] for r in rows[:80]] + [LONG]
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    for end in (None, 7):
+        offsets, ids = quick.encode(texts, end)
+        assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:], strict=False)] == [w + [7] * (end == 7) for w in want]
+    part = pa.array(["x y", None, *texts[:300]]).slice(2)
+    offsets, ids = quick.encode(part)
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:], strict=False)] == want[:300]
+    assert [x.tolist() for x in quick.encode([])] == [[0], []] and [x.tolist() for x in quick.encode(["", ""], 3)] == [[0, 1, 2], [3, 3]]
 
 
 def test_kept_words_are_bounded():
-    kept = tokenization.Kept(str.upper, 10)
-    assert [kept[str(i % 25)] for i in range(200)] == [str(i % 25) for i in range(200)] and len(kept) <= 10 and len(kept.old) <= 10
+    kept = tokenization.Kept(10)
+    for i in range(200):
+        keys = [str(j % 25) for j in range(i, i + 3)]
+        found = kept.get(keys)
+        assert all(x in (None, k.encode()) for k, x in zip(keys, found, strict=True))
+        kept.keep(keys, [k.encode() for k in keys])
+        assert len(kept.young) <= 10 and len(kept.old) <= 10 and kept.get(keys) == [k.encode() for k in keys]
+
+
+def test_a_worker_has_one_table():
+    first, second = common.WorkerTable(dict), common.WorkerTable(list)
+    first.get()["a"] = 1
+    assert first.get() == {"a": 1} and second.get() == [] and first.table is None and first.get() == {}
 
 
 def plain_ids(name, text, end):
@@ -246,7 +278,7 @@ def near(spark):
     return spark.createDataFrame(out, "doc_id long, text string"), out
 
 
-@pytest.mark.parametrize("docs_a_chunk,most_chunks", [(1024, 16), (16, 16), (16, 0)])
+@pytest.mark.parametrize("docs_a_chunk,most_chunks", [(512, 32), (16, 32), (16, 0)])
 def test_links_are_brute_force(near, monkeypatch, docs_a_chunk, most_chunks):
     monkeypatch.setattr(near_dup, "CHUNK_DOCS", docs_a_chunk)
     monkeypatch.setattr(near_dup, "MOST_CHUNKS", most_chunks)
@@ -255,6 +287,18 @@ def test_links_are_brute_force(near, monkeypatch, docs_a_chunk, most_chunks):
     assert got == plain_links(texts)
 
 
+def test_pairs_count_alike_in_groups_of_any_size(near, monkeypatch):
+    """With few bands many pairs share none; which ones count must not depend on how a group is compared."""
+    got = []
+    monkeypatch.setattr(near_dup, "choose_bands", lambda *_: (2, 12))
+    for docs_a_chunk, most_chunks in ((1024, 16), (16, 16), (16, 0)):
+        monkeypatch.setattr(near_dup, "CHUNK_DOCS", docs_a_chunk)
+        monkeypatch.setattr(near_dup, "MOST_CHUNKS", most_chunks)
+        monkeypatch.setattr(near_dup, "SLICE_GRAMS", 300 if docs_a_chunk == 16 else 500_000)
+        got.append(sorted(near_dup.jaccard_links(near[0]).select("id", "class_id", "n_links", "n_copies").collect()))
+    assert got[0] == got[1] == got[2]
+
+
 def test_one_of_each_class_stays(near, odd):
     df, texts = near
     want = {c for c, _, _ in plain_links(texts).values()}
@@ -302,21 +346,82 @@ def test_checksums_decide(spark):
     assert [[k for _, _, k in secrets.scan(t) if k not in secrets.BASE] for t in texts] == [["github", "npm"], [], ["jwt"], [], ["pem"]]
 
 
+def test_web_tokens_in_long_runs():
+    """Linear in the text, and the same spans as trying each place."""
+    def plain(x):
+        out, at = [], 0
+        while m := re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{4,}\.[A-Za-z0-9_-]{8,}").search(x, at):
+            at = m.end()
+            out += [(m.start(), m.end(), "jwt")] if secrets._jwt_checks(m) else []
+        return out
+
+    good = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIx.c2lnbmF0dXJlMTIz"
+    rng = random.Random(3)
+    for _ in range(300):
+        x = "".join(rng.choice(["eyJ", "eyj", "a", ".", " ", "abcd", "b" * 9, good, "EYJ"]) for _ in range(30))
+        assert [s for s in secrets.scan(x) if s[2] == "jwt"] == plain(x)
+    start = time.process_time()
+    assert secrets.scan("eyJ" * 1_000_000) == [] and secrets.scan("eyJaaaaaaaaa." * 200_000 + "x") == []
+    assert time.process_time() - start < 30
+
+
+def test_extended_keys_by_their_checksum():
+    key = "xprv9s21ZrQH143K3QTDL4LXw2F7HEK3wJUD2nW2nRk4stbPy6cq3jPPqjiChkVvvNKmPGJxWUtg6LnF5kejMRNNU3TGtRBeJgk33yuGBxrMPHi"  # a published test vector
+    assert [s[2] for s in secrets.scan(f"key {key}.")] == ["xprv"] and secrets.scan(f"key {key[:-1]}j.") == []
+
+
 # ---- fingerprints
 
 
-def test_fingerprints_and_edits(spark, rows):
+def test_fingerprints_and_edits(spark, docs, rows):
     got = queries.op7_fingerprint(spark, DATA).orderBy("doc_id").toPandas()
     texts = [r[1] for r in rows]
     edited = [a[: len(a) - len(a) // 2] + texts[(i + 1) % len(texts)][: len(a) // 2] for i, a in enumerate(texts)]
     assert got.doc_id.tolist() == [r[0] for r in rows] and got.n_chars.tolist() == [len(t) for t in texts]
     assert got.edited_sha256.tolist() == [sha256(t.encode()).hexdigest() for t in edited]
-    share = Counter(c for t in texts for c in set(fingerprints.cells(fingerprints.terms(t)).tolist()))
+    assert got.near_edited.between(0, 1).all() and (got.near_edited > got.near_next).mean() > 0.9
+    # term frequencies by plain counting
+    words = [set(t.lower().split()) for t in texts]
+    share = Counter(w for ws in words for w in ws)
     low, high = max(1, math.ceil(fingerprints.LEAST_SHARE * len(texts))), math.floor(fingerprints.MOST_SHARE * len(texts))
-    band = np.zeros(1 << fingerprints.CELL_BITS, dtype=bool)
-    band[[c for c, n in share.items() if low <= n <= high]] = True
-    assert got.fingerprint.tolist() == fingerprints.as_text(fingerprints.fingerprints(texts, band))
-    assert (got.near_edited > got.near_next).mean() > 0.9 and got.near_edited.between(0, 1).all()
+    hash_of = {w: int(fingerprints.terms(w)[0]) for w in share}
+    assert fingerprints.idf_band(docs).tolist() == sorted(hash_of[w] for w, n in share.items() if low <= n <= high)
+    # a text's likeness to its edited form from the strings alone: equal hashes among subsets in use, at levels with room
+    cut = lambda x: [x[4 * i : 4 * i + 4] for i in range(len(x) // 4)]
+    for r in got.itertuples():
+        a, b, at, used, same = cut(r.fingerprint), cut(r.edited_fingerprint), 0, 0, 0
+        for width in fingerprints.WIDTHS:
+            u = sum(x != "0000" or y != "0000" for x, y in zip(a[at : at + width], b[at : at + width], strict=True))
+            if u <= 0.9 * width or at + width == len(a) and not used:
+                used, same = used + u, same + sum(x == y != "0000" for x, y in zip(a[at : at + width], b[at : at + width], strict=True))
+            at += width
+        assert r.near_edited == pytest.approx(same / used if used else float(a == b))
+
+
+def test_a_subset_hashes_its_own_terms_of_the_band():
+    """I-Match by its definition: the words outside the band change nothing, and a word of the band changes the subsets that hold it alone."""
+    lexicon = [f"term{i}" for i in range(400)]
+    band = np.sort(np.concatenate([fingerprints.terms(w) for w in lexicon]))
+    base = lexicon[:120]
+    plain = fingerprints.fingerprints([" ".join(base)], band)[0]
+    shuffled = fingerprints.fingerprints([" ".join([*base[::-1], *base[:9], *(f"rare{i}" for i in range(50))]).upper()], band)[0]
+    assert (plain == shuffled).all()
+    holds = {w: fingerprints.fingerprints([w], band)[0] > 0 for w in lexicon}
+    starts = np.cumsum([0, *fingerprints.WIDTHS[:-1]])
+    for level, (at, width) in enumerate(zip(starts, fingerprints.WIDTHS, strict=True)):
+        # subsets of a level are disjoint and hold a 2**-level part of the lexicon each
+        member = np.array([holds[w][at : at + width] for w in lexicon])
+        assert member.sum(axis=1).max() <= 1 and member.sum() == pytest.approx(400 * width / 2**level, abs=5 * math.sqrt(400 * width / 2**level) + 1)
+    for w in base[:40]:
+        without = fingerprints.fingerprints([" ".join(x for x in base if x != w)], band)[0]
+        assert ((without != plain) == holds[w]).all()
+    assert ((plain > 0) == np.any([holds[w] for w in base], axis=0)).all()
+
+
+def test_terms_are_counted_in_runs(docs, monkeypatch):
+    whole = fingerprints.idf_band(docs)
+    monkeypatch.setattr(fingerprints, "GATHERED", 500)
+    assert fingerprints.idf_band(docs).tolist() == whole.tolist()
 
 
 def test_fingerprints_in_many_blocks(docs, monkeypatch):
@@ -361,17 +466,78 @@ def test_verdicts_of_odd_rows(odd):
     assert quality_rules.judge(odd.limit(0)).count() == 0
 
 
+def robust(x, floors, share=quality_rules.SHARE):
+    """Minimum covariance determinant by its definition: concentration steps from medians, then all rows within the reweighting quantile."""
+    d = x.shape[1]
+    floor = np.diag(np.array(floors) ** 2)
+    m = np.median(x, axis=0)
+    c = np.diag(np.maximum(1.4826 * np.median(abs(x - m), axis=0), floors) ** 2)
+    dist = lambda: np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m)
+    for _ in range(50):
+        inner = x[dist() <= np.quantile(dist(), share, method="inverted_cdf")]
+        m, c = inner.mean(axis=0), quality_rules.consistency(share, d) * np.cov(inner.T, bias=True) + floor
+    inner = x[dist() <= quality_rules.chi2_quantile(0.975, d)]
+    return inner.mean(axis=0), quality_rules.consistency(0.975, d) * np.cov(inner.T, bias=True) + floor
+
+
+def covariance(r, d):
+    return np.array([[r[f"c_{max(i, j)}_{min(i, j)}"] for j in range(d)] for i in range(d)])
+
+
 def test_covariance_resists_outliers(spark):
     rng = np.random.default_rng(2)
     a = np.linalg.cholesky([[1, 0.6, 0], [0.6, 2, 0.3], [0, 0.3, 0.5]])
     x = rng.normal(size=(4000, 3)) @ a.T + [5, -3, 1]
     bad = rng.normal(size=(600, 3)) * 0.1 + [15, 15, 15]
-    df = spark.createDataFrame([("g", *map(float, r)) for r in np.concatenate([x, bad])], "grp string, a double, b double, c double")
-    r = quality_rules.mcd(df, {"a": 0.01, "b": 0.01, "c": 0.01}, steps=8).first()
-    low = np.array([[r[f"l_{i}_{j}"] if j <= i else 0.0 for j in range(3)] for i in range(3)])
-    assert [r.m_0, r.m_1, r.m_2] == pytest.approx([5, -3, 1], abs=0.15)
-    # a quarter is left out and an eighth is bad, so the estimate is a little large
-    assert low @ low.T == pytest.approx(a @ a.T, abs=0.75) and quality_rules.consistency(0.75, 3) == pytest.approx(1.9, abs=0.4)
+    both = np.concatenate([x, bad])
+    df = spark.createDataFrame([("g", *map(float, r)) for r in both], "grp string, a double, b double, c double")
+    r = quality_rules.mcd(df, {"a": 0.01, "b": 0.01, "c": 0.01}).first()
+    mean, cov = robust(both, [0.01] * 3)
+    assert [r.m_0, r.m_1, r.m_2] == pytest.approx(mean, abs=0.01) and covariance(r, 3) == pytest.approx(cov, abs=0.03)
+    # and near to what the inner sample was drawn from
+    assert mean == pytest.approx([5, -3, 1], abs=0.08) and cov == pytest.approx(a @ a.T, abs=0.15)
+
+
+def test_consistency_by_drawing():
+    x = np.sort((np.random.default_rng(3).normal(size=(400_000, 3)) ** 2).sum(axis=1))
+    for share in (0.5, 0.75, 0.975):
+        assert quality_rules.consistency(share, 3) == pytest.approx(3 / x[: int(share * len(x))].mean(), rel=0.01)
+
+
+def test_verdicts_by_matrices(spark):
+    """kept, from own counts, own robust estimates of each group, and own blending with what is around it."""
+    big = "/root/testdata/sf0.01"
+    docs = queries.documents(spark, big)
+    got = {r.id: r for r in quality_rules.judge(docs).collect()}
+    rows = []
+    for i, t, lang, source in docs.select("doc_id", "text", "lang", "source").collect():
+        n, chars, symbols, dup, again = plain_counts(t)
+        if not (n < 50 or 100 * again > 50 * n):
+            rows.append((i, lang, source, math.log(chars / n), math.log1p(100 * symbols / chars), math.log1p(dup), math.sqrt(again / n)))
+    assert {r[0] for r in rows} == {i for i, r in got.items() if not r.base_failed}
+    x = np.array([r[3:] for r in rows])
+    floors = list(quality_rules.STATISTICS.values())
+    k = quality_rules.PRIOR_ROWS
+
+    def blend(own, n, wide):
+        w = n / (n + k)
+        apart = own[0] - wide[0]
+        return w * own[0] + (1 - w) * wide[0], w * own[1] + (1 - w) * wide[1] + w * (1 - w) * np.outer(apart, apart)
+
+    everything, differ = robust(x, floors), 0
+    for lang in {r[1] for r in rows}:
+        of_lang = np.array([r[1] == lang for r in rows])
+        around = blend(robust(x[of_lang], floors), of_lang.sum(), everything)
+        for source in {r[2] for r in rows if r[1] == lang}:
+            mine = np.array([r[1] == lang and r[2] == source for r in rows])
+            if mine.sum() < 8:
+                continue
+            m, c = blend(robust(x[mine], floors), mine.sum(), around)
+            for j in np.flatnonzero(mine):
+                d = math.sqrt((x[j] - m) @ np.linalg.inv(c) @ (x[j] - m))
+                assert got[rows[j][0]].distance == pytest.approx(d, rel=0.25, abs=0.3)
+                differ += got[rows[j][0]].kept != (d * d <= quality_rules.chi2_quantile(1 - quality_rules.REJECTED, 4))
+    assert differ <= 0.01 * len(rows)
 
 
 def test_chi2_quantiles():
@@ -407,6 +573,26 @@ def test_surrogates_stay_distinct_when_draws_collide(spark):
     assert not [1 for r in got.itertuples() if (r.kind, r.surrogate) in real]
 
 
+def test_forms_with_no_room_get_longer(spark):
+    """All addresses of one letter at one domain, all numbers of two digits and all short names, each against the others."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = [("email", f"{a}@{b}.co", "s") for a in letters for b in letters] + [("card", f"{i:02d}", "s") for i in range(100)] + [("phone", f"{i:02d}", "s") for i in range(100)] + [("person", a + b, "n") for a in letters for b in letters]
+    got = pii.surrogates(spark.createDataFrame(words, "kind string, norm string, gender string"), "k").toPandas()
+    assert len(got) == len(words) and not got.duplicated(["kind", "surrogate"]).any() and not {(k, n) for k, n, _ in words} & set(zip(got.kind, got.surrogate, strict=True))
+    df = spark.createDataFrame([(i, f"mail {letters[i % 26]}@{letters[i // 26]}.co please") for i in range(26 * 26)], "doc_id long, text string")
+    out = [re.fullmatch(r"mail (\w+@\w+\.co) please", r.text)[1] for r in pii.replace_pii(df, key="k").collect()]
+    assert len(set(out)) == len(out) and not set(out) & {w for _, w, _ in words}
+
+
+def test_a_named_person_is_replaced_everywhere_in_the_text(spark):
+    texts = ["Mrs. Ann Smith came. Smith spoke, and Ann-Marie not; Smithson neither. Dr Smith!", "Smith alone stays", "a \x01 b Mr. Tom Poe at x@y.org, Poe", "017 555 7713, 3782 822463 10005"]
+    out = [r.text for r in pii.replace_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), key="k").orderBy("doc_id").collect()]
+    m = re.fullmatch(r"Mrs\. (\w+) (\w+) came\. (\w+) spoke, and (\w+)-Marie not; Smithson neither\. Dr (\w+)!", out[0])
+    assert m and m[2] == m[3] == m[5] != "Smith" and m[1] == m[4] != "Ann" and out[1] == texts[1]
+    assert out[2].startswith("a \x01 b Mr. ") and "Tom" not in out[2] and "x@y.org" not in out[2]
+    assert re.fullmatch(r"\d{3} \d{3} \d{4}, 3\d{3} \d{6} \d{5}", out[3]) and "7713" not in out[3] and "10005" not in out[3]
+
+
 def test_no_planted_entity_is_left(spark, docs, rows):
     entity = re.compile(r"\S+@\S+\.com|\+1 \(\d{3}\) \d{3}-\d{4}|\b\d{16}\b|\b\d{1,3}(?:\.\d{1,3}){3}\b")
     got = {r.doc_id: r for r in queries.op5_pii(spark, DATA).collect()}
@@ -464,12 +650,31 @@ def test_label_model_finds_rates():
     votes = sum((rng.random(len(bad)) < np.where(bad, *rates[n][::-1])).astype(int) << i for i, n in enumerate(names))
     patterns, counts = np.unique(votes, return_counts=True)
     m = classifier.fit_labels(patterns, counts.astype(float), names, "good")
+    # the same, document by document, with a given label for some
+    given = np.where(rng.random(len(bad)) < 0.1, np.where(bad, rng.random(len(bad)) < 0.9, rng.random(len(bad)) < 0.05).astype(float), np.nan)
+    fired = np.stack([votes >> i & 1 for i in range(4)], axis=1)
+    q = np.where(fired[:, :3].any(axis=1) | (given == 1), 0.9, 0.05)
+    for _ in range(50):
+        bad_rates, good_rates = (q[:, None] * fired).sum(axis=0) / q.sum(), ((1 - q)[:, None] * fired).sum(axis=0) / (1 - q).sum()
+        has = ~np.isnan(given)
+        says_bad, says_good = (q * (given == 1)).sum() / (q * has).sum(), ((1 - q) * (given == 1)).sum() / ((1 - q) * has).sum()
+        like = lambda r, s: np.prod(np.where(fired == 1, r, 1 - r), axis=1) * np.where(has, np.where(given == 1, s, 1 - s), 1)
+        up, down = q.mean() * like(bad_rates, says_bad), (1 - q.mean()) * like(good_rates, says_good)
+        q = up / (up + down)
+    both = np.unique(np.stack([votes, np.nan_to_num(given, nan=2)]), axis=1, return_counts=True)
+    label = np.where(both[0][1] == 2, np.nan, both[0][1])
+    w = classifier.fit_labels(both[0][0].astype(np.int64), both[1].astype(float), names, "good", given=label)
+    assert w.rates == pytest.approx(np.stack([good_rates, bad_rates]), abs=0.01) and w.given == pytest.approx([says_good, says_bad], abs=0.01) and w.given == pytest.approx([0.05, 0.9], abs=0.03)
+    assert w.posterior(fired.astype(float), given) == pytest.approx(q, abs=0.05)
     assert m.bad == pytest.approx(0.15, abs=0.02) and m.rates[1][:3] == pytest.approx([0.7, 0.6, 0.5], abs=0.05)
 
 
 def test_classifier_of_odd_rows(spark, odd):
     got = classifier.classify(odd).collect()
     assert len(got) == len(ODD) and all(r.kept is not None for r in got)
+    labels = spark.createDataFrame([(1, 0, 1), (1, 1, 0), (2, None, 1), (3, 1, None), (None, 0, 1), (99, 0, 0)], "doc_id long, quality int, toxic int")
+    assert all(r.kept is not None for r in classifier.classify(odd, labels).collect()) and classifier.classify(odd, labels.limit(0)).count() == len(ODD)
+    assert classifier.classify(odd, labels.filter("toxic = 1").drop("quality")).count() == len(ODD) and classifier.classify(odd.limit(0), labels).count() == 0
     out = classifier.keep_good(odd)
     assert out.columns == odd.columns and out.count() == sum(r.kept for r in got)
     assert classifier.classify(odd.limit(0)).count() == 0
