@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from .common import durable, text_of
+from .common import durable, release_memory, text_of
 
 FEATURE_BITS = 18
 #: Documents on which the scorer is trained, the ones with the least hashes of their texts: a random sample of this size for any corpus.
@@ -287,8 +287,8 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, *, id_col: str = "doc_
     scorer trains on train_rows documents with a label and on those of the other train_rows whose posterior is over SURE: word
     lists know one language only, so without a label a document's posterior says little unless its words are in them.
 
-    Defined results: null ids, null labels and labels of unknown ids count for nothing; labels of one class are used as they are;
-    without rows, the scorers keep everything.
+    Defined results: null ids, null labels and labels of unknown ids count for nothing; with labels of one class only, the toxicity
+    scorer trains as without labels; without rows, the scorers keep everything.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text")).withColumn("tie", F.xxhash64("text"))
     voted = durable(rows.select("text", "id", "tie").mapInArrow(_voted, "id long, tie long, quality int, toxicity int"), "votes")
@@ -313,15 +313,20 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, *, id_col: str = "doc_
     last = voted.select("tie").distinct().orderBy("tie").limit(train_rows).agg(F.max("tie")).first()[0]
     drawn = sample(rows.filter(F.col("tie") <= F.lit(last)).dropDuplicates(["tie"]).select("text", *blank))
     scorers = {"quality": fit_scorer(drawn["rows"], drawn["quality"])}
-    toxic = drawn
-    if known is not None and not known.isEmpty():
-        # a bounded sample of the labels by a hash of their ids, which is small enough to be sent round
-        some = known.filter("toxic IS NOT NULL").orderBy(F.xxhash64("id"), "id").limit(train_rows)
-        toxic = sample(rows.join(F.broadcast(some), "id"))
-        sure = [i for i, p in enumerate(drawn["toxicity"]) if p > SURE]
-        toxic = {"rows": toxic["rows"] + [drawn["rows"][i] for i in sure], "toxicity": np.concatenate([toxic["toxicity"], drawn["toxicity"][sure]])}
+    if known is None or tuple(known.agg(F.min("toxic"), F.max("toxic")).first()) != (0, 1):
+        scorers["toxicity"] = fit_scorer(drawn["rows"], drawn["toxicity"])
+        return Classifier(models, scorers)
+    # copies, so that only one sample is held at a time
+    sure = [(drawn["rows"][i][0], drawn["rows"][i][1].copy()) for i in np.flatnonzero(drawn["toxicity"] > SURE)]
+    sure_p = drawn["toxicity"][drawn["toxicity"] > SURE]
     del drawn
-    scorers["toxicity"] = fit_scorer(toxic["rows"], toxic["toxicity"])
+    release_memory()
+    # a bounded sample of the labels by a hash of their ids, which is small enough to be sent round
+    some = known.filter("toxic IS NOT NULL").orderBy(F.xxhash64("id"), "id").limit(train_rows)
+    toxic = sample(rows.join(F.broadcast(some), "id"))
+    scorers["toxicity"] = fit_scorer(toxic["rows"] + sure, np.concatenate([toxic["toxicity"], sure_p]))
+    del toxic
+    release_memory()
     return Classifier(models, scorers)
 
 
