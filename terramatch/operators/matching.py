@@ -11,18 +11,37 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.keys import uniform, within
+from ..functions.keys import within
+from ..session import durable
 from .ranks import with_position
 
 #: Share of treated pixels in a repetition, candidates for each, repetitions.
 SAMPLE_SHARE, REQUIRED, REPETITIONS = 0.1, 100, 100
-#: A build side of at most so many rows is sent round; a larger one is shuffled.
-BROADCAST_ROWS = 200_000
+#: A build side of at most so many rows and bytes is sent round; a larger one is shuffled.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
+#: Positions that the walk for candidates looks at first, for each candidate wanted: a hundredth of the pool is expected to match.
+SPAN_EACH = 100
 
 
-def small(df: DataFrame, most_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df, marked for broadcast if a bounded look at it shows that it has at most most_rows rows."""
-    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
+def bytes_of(value: Column, kind: T.DataType) -> Column:
+    """About the bytes of a value: 8 for a number, the length of a text, the sum over a list's or record's parts."""
+    if isinstance(kind, T.ArrayType):
+        fixed = isinstance(kind.elementType, T.StructType) and all(not isinstance(f.dataType, (T.ArrayType, T.StructType, T.StringType)) for f in kind.elementType)
+        if fixed or not isinstance(kind.elementType, (T.ArrayType, T.StructType, T.StringType)):
+            width = 8 * (len(kind.elementType) if fixed else 1)
+            return F.coalesce(F.size(value) * width, F.lit(8))
+        return F.coalesce(F.aggregate(value, F.lit(0).cast("long"), lambda a, x: a + bytes_of(x, kind.elementType).cast("long")), F.lit(8))
+    if isinstance(kind, T.StructType):
+        return reduce(lambda a, b: a + b, [bytes_of(value[f.name], f.dataType) for f in kind], F.lit(8))
+    return F.coalesce(F.octet_length(value), F.lit(0)) + 8 if isinstance(kind, (T.StringType, T.BinaryType)) else F.lit(8)
+
+
+def small(df: DataFrame, most_rows: int | None = None) -> DataFrame:
+    """df, marked for broadcast if a bounded look at it shows that it has at most most_rows rows and BROADCAST_BYTES bytes."""
+    most_rows = BROADCAST_ROWS if most_rows is None else most_rows
+    size = reduce(lambda a, b: a + b, [bytes_of(F.col(f"`{f.name}`"), f.dataType) for f in df.schema]).cast("long")
+    n, total = df.limit(most_rows + 1).agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    return F.broadcast(df) if n <= most_rows and total <= BROADCAST_BYTES else df
 
 
 def band_condition(m: str, k: str, widths: dict[str, float]) -> Column:
@@ -61,26 +80,61 @@ def sample(k: DataFrame, share: float, seed: int, key: str = "id") -> DataFrame:
     return drawn.filter(F.col("draw") < n)
 
 
+def samples(k: DataFrame, share: float, seeds_of: DataFrame, key: str = "id") -> DataFrame:
+    """The samples of all repetitions (iteration, seed) at once: the rows of sample() for each seed, with iteration. All repetitions have the
+    same number of rows, so one numbering of all of them gives each its own."""
+    n = k.count()
+    each = k.join(F.broadcast(seeds_of)).withColumn("_u", F.xxhash64(F.col("seed").cast("int"), F.col(key)))  # a row a repetition
+    drawn = with_position(each, ["iteration", "_u", key], "draw").drop("_u")
+    before = seeds_of.select("iteration", (F.row_number().over(W.orderBy("iteration")) - 1).alias("_before"))
+    placed = drawn.join(F.broadcast(before), "iteration").withColumn("draw", F.col("draw") - F.col("_before") * n).drop("_before")
+    return placed.filter(F.col("draw") < F.round(F.lit(share) * n).cast("long"))
+
+
 def seeds(spark, master: int, n: int = REPETITIONS) -> DataFrame:
     """iteration, seed: distinct seeds for all repetitions from one."""
     return spark.range(n).select(F.col("id").cast("int").alias("iteration"), (F.pmod(F.xxhash64(F.lit(master), "id"), F.lit(1_000_000)) * n + F.col("id")).alias("seed"))
 
 
-def candidate_pairs(k: DataFrame, m: DataFrame, hard: list[str], widths: dict[str, float], seed: int, required: int = REQUIRED, key: str = "id", by: str | None = None) -> DataFrame:
-    """k_id, m_id, rank: for each row of k its first `required` matches in m, walking m's positions (column pos, from 0) in a circle from a
-    start that depends on seed and key. A window per row of k; Spark keeps only the first `required` before its shuffle."""
-    n = m.count()
-    start = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(max(n, 1)))
-    left = k.select(F.col(key).alias("k_id"), *hard, *widths, start.alias("start"))
-    right = m.select(F.col(key).alias("m_id"), "pos", *hard, *widths)
-    keys = list(hard)
+def candidate_pairs(k: DataFrame, m: DataFrame, hard: list[str], widths: dict[str, float], seed: int = 0, required: int = REQUIRED, key: str = "id", by: str | None = None, start: Column | None = None, span: int | None = None) -> DataFrame:
+    """k_id, m_id, step, rank: for each row of k its first `required` matches in m, walking m's positions (column pos, from 0) in a circle
+    from `start`, by default a hash of seed and key.
+
+    The walk goes in rounds. A round looks at the next positions of the rows that still lack candidates, as many as all rounds before
+    together, so a row forms at most a few times `required` pairs, however many matches it has. k meets m on the hard attributes and on
+    blocks of positions, of which a round has about eight, and on bins of attribute `by` if one is named. The number of rounds is the
+    logarithm of the pool over the first span; each writes what it found and what is left to look for.
+    """
+    m = m.select(F.col(key).alias("m_id"), "pos", *hard, *widths)
+    n = max(m.count(), 1)
+    low, high = 0, min(n, span or SPAN_EACH * required)
+    left = k.select(F.col(key).alias("k_id"), *hard, *widths, F.pmod(F.xxhash64(F.lit(seed), F.col(key)) if start is None else start, F.lit(n)).cast("long").alias("start"), F.lit(0).cast("long").alias("have"))
     if by:
-        left = left.withColumn("_bin", F.explode(F.array(*[F.floor(F.col(by) / widths[by]) + i for i in (-1, 0, 1)])))
-        right, keys = right.withColumn("_bin", F.floor(F.col(by) / widths[by])), [*hard, "_bin"]
-    on = reduce(lambda a, b: a & b, [F.col(f"m.{c}") == F.col(f"k.{c}") for c in keys], band_condition("m", "k", widths))
-    met = right.alias("m").join(small(left).alias("k"), on).select("k_id", "m_id", F.pmod(F.col("pos") - F.col("start"), F.lit(n)).alias("step"))
-    ranked = met.withColumn("rank", F.row_number().over(W.partitionBy("k_id").orderBy("step", "m_id")))
-    return ranked.filter(F.col("rank") <= required).select("k_id", "m_id", "rank")
+        m = m.withColumn("_bin", F.floor(F.col(by) / widths[by]))
+    found: DataFrame | None = None
+    while True:
+        block = max(1, (high - low) // 8)
+        a, b = F.col("start") + low, F.col("start") + high
+        here = F.when(a < n, F.sequence(F.floor(a / block), F.floor((F.least(b, F.lit(n)) - 1) / block))).otherwise(F.array().cast("array<long>"))
+        past = F.when(b > n, F.sequence(F.floor(F.greatest(a - n, F.lit(0)) / block), F.floor((b - n - 1) / block))).otherwise(F.array().cast("array<long>"))
+        seeking = left.withColumn("_block", F.explode(F.array_union(here, past)))
+        if by:
+            seeking = seeking.withColumn("_bin", F.explode(F.array(*[F.floor(F.col(by) / widths[by]) + i for i in (-1, 0, 1)])))
+        keys = [*hard, "_block", *(["_bin"] if by else [])]
+        on = reduce(lambda x, y: x & y, [F.col(f"m.{c}") == F.col(f"k.{c}") for c in keys], band_condition("m", "k", widths))
+        met = m.withColumn("_block", F.floor(F.col("pos") / block)).alias("m").join(small(seeking).alias("k"), on)
+        met = met.select("k_id", "m_id", "have", F.pmod(F.col("pos") - F.col("start"), F.lit(n)).alias("step")).filter((F.col("step") >= low) & (F.col("step") < high))
+        ranked = met.withColumn("rank", F.col("have") + F.row_number().over(W.partitionBy("k_id").orderBy("step", "m_id")))
+        new = durable(ranked.filter(F.col("rank") <= required).select("k_id", "m_id", "step", "rank"), "candidates")
+        found = new if found is None else found.unionByName(new)
+        if high >= n:
+            return found
+        got = new.groupBy("k_id").agg(F.max("rank").alias("_got"))
+        left = left.join(got, "k_id", "left").withColumn("have", F.coalesce("_got", "have")).drop("_got").filter(F.col("have") < required)
+        left = durable(left, "seeking")
+        if left.isEmpty():
+            return found
+        low, high = high, min(n, 2 * high)
 
 
 def candidate_set(pairs: DataFrame) -> DataFrame:
@@ -98,24 +152,33 @@ def scaled(df: DataFrame, widths: dict[str, float]) -> DataFrame:
     return df.withColumns({c: F.col(c) / F.lit(float(w)) for c, w in widths.items()})
 
 
-def covariance(df: DataFrame, columns: list[str]) -> DataFrame:
-    """a, b, cov: sample covariances of all pairs, the upper triangle, from one pass."""
+def covariance(df: DataFrame, columns: list[str], by: tuple[str, ...] = ()) -> DataFrame:
+    """a, b, cov: sample covariances of all pairs, the upper triangle, from one pass; for each group of `by` if given."""
     pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    row = df.agg(*[F.covar_samp(columns[i], columns[j]).alias(f"c_{i}_{j}") for i, j in pairs])
+    row = df.groupBy(*by).agg(*[F.covar_samp(columns[i], columns[j]).alias(f"c_{i}_{j}") for i, j in pairs])
     cells = F.array(*[F.struct(F.lit(columns[i]).alias("a"), F.lit(columns[j]).alias("b"), F.col(f"c_{i}_{j}").alias("cov")) for i, j in pairs])
-    return row.select(F.explode(cells).alias("c")).select("c.*")
+    return row.select(*by, F.explode(cells).alias("c")).select(*by, "c.*")
 
 
-def inverse_covariance(df: DataFrame, columns: list[str]) -> np.ndarray:
-    """On the driver, from d (d + 1) / 2 numbers. A singular matrix is an error that names it."""
+def _inverse(rows: pd.DataFrame, columns: list[str]) -> np.ndarray:
     place, out = {c: i for i, c in enumerate(columns)}, np.zeros((len(columns),) * 2)
-    for a, b, v in covariance(df, columns).toPandas().itertuples(index=False):
+    for a, b, v in rows[["a", "b", "cov"]].itertuples(index=False):
         out[place[a], place[b]] = out[place[b], place[a]] = np.nan if v is None else v
     if not np.isfinite(out).all() or np.linalg.matrix_rank(out) < len(columns):
         raise ValueError("the covariance of the candidates is singular: a feature is constant, or candidates are fewer than features")
     return np.linalg.inv(out)
 
 
+def inverse_covariance(df: DataFrame, columns: list[str]) -> np.ndarray:
+    """On the driver, from d (d + 1) / 2 numbers. A singular matrix is an error that names it."""
+    return _inverse(covariance(df, columns).toPandas(), columns)
+
+
+def inverse_covariances(df: DataFrame, columns: list[str], by: str) -> dict[int, np.ndarray]:
+    """inverse_covariance() of each group of `by`, a repetition: d (d + 1) / 2 numbers each come to the driver."""
+    return {int(k): _inverse(rows, columns) for k, rows in covariance(df, columns, (by,)).toPandas().groupby(by)}
+
+
 def mahalanobis(a: list[Column], b: list[Column], inverse: np.ndarray) -> Column:
     """Squared distance as an expression: code generation covers it and no row goes to Python."""
     d = [x - y for x, y in zip(a, b, strict=True)]
@@ -133,41 +196,42 @@ def greedy_places(k: np.ndarray, s: np.ndarray, inverse: np.ndarray) -> np.ndarr
     return out
 
 
-def greedy_pairs(k: DataFrame, s: DataFrame, hard: list[str], columns: list[str], inverse: np.ndarray, order: str = "draw", key: str = "id") -> DataFrame:
-    """k_id, s_id, distance: each k in order takes the nearest s of its hard group that no earlier k took.
+def greedy_pairs(k: DataFrame, s: DataFrame, hard: list[str], columns: list[str], inverse: np.ndarray | dict[int, np.ndarray], order: str = "draw", key: str = "id", by: str | None = None) -> DataFrame:
+    """k_id, s_id, distance: each k in order takes the nearest s of its hard group that no earlier k took. With `by`, all repetitions at once:
+    a repetition is part of the group, has an inverse covariance of its own, and comes with the pairs.
 
     A k only ever takes an s of its own hard group, so groups are independent, given one covariance for all. A group is one task,
     because its steps follow one another; it is bounded by the sample and by `required` candidates a sampled row, and only
     keys and features of it are held. Equal distances go to the smaller s.
     """
 
-    def match(ks: pd.DataFrame, ss: pd.DataFrame) -> pd.DataFrame:
+    groups = [*([by] if by else []), *hard]
+
+    def match(of: tuple, ks: pd.DataFrame, ss: pd.DataFrame) -> pd.DataFrame:
         ks, ss = ks.sort_values([order, key]), ss.sort_values(key)
         a, b = ks[columns].to_numpy(float), ss[columns].to_numpy(float)
-        got = greedy_places(a, b, inverse)
+        matrix = inverse[int(of[0])] if by else inverse
+        got = greedy_places(a, b, matrix)
         hit = got >= 0
         d = a[hit] - b[got[hit]]
-        return pd.DataFrame({"k_id": ks[key].to_numpy()[hit], "s_id": ss[key].to_numpy()[got[hit]], "distance": np.einsum("ij,jk,ik->i", d, inverse, d)})
+        out = {"k_id": ks[key].to_numpy()[hit], "s_id": ss[key].to_numpy()[got[hit]], "distance": np.einsum("ij,jk,ik->i", d, matrix, d)}
+        return pd.DataFrame(({by: np.full(hit.sum(), of[0])} if by else {}) | out)
 
-    schema = T.StructType([T.StructField("k_id", k.schema[key].dataType), T.StructField("s_id", s.schema[key].dataType), T.StructField("distance", T.DoubleType())])
-    left, right = k.select(key, order, *hard, *columns), s.select(key, *hard, *columns)
-    return left.groupBy(*hard).cogroup(right.groupBy(*hard)).applyInPandas(match, schema)
+    schema = T.StructType([*([T.StructField(by, k.schema[by].dataType)] if by else []), T.StructField("k_id", k.schema[key].dataType), T.StructField("s_id", s.schema[key].dataType), T.StructField("distance", T.DoubleType())])
+    left, right = k.select(key, order, *groups, *columns), s.select(key, *groups, *columns)
+    return left.groupBy(*groups).cogroup(right.groupBy(*groups)).applyInPandas(match, schema)
 
 
-def pair_status(k: DataFrame, pairs: DataFrame, candidates: DataFrame, key: str = "id") -> DataFrame:
+def pair_status(k: DataFrame, pairs: DataFrame, candidates: DataFrame, key: str = "id", by: tuple[str, ...] = ()) -> DataFrame:
     """key and status of every sampled row: paired, no_candidate, or unmatched (its candidates all went to others)."""
-    done = pairs.select(F.col("k_id").alias(key), F.lit(True).alias("_paired"))
-    some = candidates.select(F.col("k_id").alias(key)).distinct().withColumn("_some", F.lit(True))
-    out = k.select(key).join(done, key, "left").join(some, key, "left")
-    return out.select(key, F.when(F.col("_paired"), "paired").when(F.col("_some"), "unmatched").otherwise("no_candidate").alias("status"))
+    done = pairs.select(*by, F.col("k_id").alias(key), F.lit(True).alias("_paired"))
+    some = candidates.select(*by, F.col("k_id").alias(key)).distinct().withColumn("_some", F.lit(True))
+    out = k.select(*by, key).join(done, [*by, key], "left").join(some, [*by, key], "left")
+    return out.select(*by, key, F.when(F.col("_paired"), "paired").when(F.col("_some"), "unmatched").otherwise("no_candidate").alias("status"))
 
 
-def wide_pairs(pairs: DataFrame, k: DataFrame, s: DataFrame, columns: list[str], key: str = "id") -> DataFrame:
+def wide_pairs(pairs: DataFrame, k: DataFrame, s: DataFrame, columns: list[str], key: str = "id", by: tuple[str, ...] = ()) -> DataFrame:
     """Columns of both sides of a pair under k_ and s_."""
     left = k.select(F.col(key).alias("k_id"), *[F.col(c).alias(f"k_{c}") for c in columns])
     right = s.select(F.col(key).alias("s_id"), *[F.col(c).alias(f"s_{c}") for c in columns])
-    return pairs.join(left, "k_id").join(right, "s_id").select(*left.columns, *right.columns)
-
-
-def random_start(key: Column, seed: int, n: int) -> Column:
-    return F.floor(uniform(seed, key) * n).cast("long")
+    return pairs.join(left, "k_id").join(right, "s_id").select(*by, *left.columns, *right.columns)

@@ -30,8 +30,7 @@ def holes_of(polygons: DataFrame) -> list[str]:
 def contains(ring: Column, x: Column, y: Column, holes: Column | None = None) -> Column:
     """Whether a ring contains a point and no hole does, by crossings of a ray to the right; a point on a lower or left edge is inside, on the
     others not."""
-    crosses = lambda e: ((e["y0"] > y) != (e["y1"] > y)) & (x < (e["x1"] - e["x0"]) * (y - e["y0"]) / (e["y1"] - e["y0"]) + e["x0"])
-    return F.size(F.filter(all_edges(ring, holes), crosses)) % 2 == 1
+    return odd_crossings(all_edges(ring, holes), x, y)
 
 
 def box(ring: Column) -> dict[str, Column]:
@@ -82,14 +81,28 @@ def cells_of(polygons: DataFrame, size: float) -> DataFrame:
     return polygons.withColumn("cx", F.explode(span("west", "east"))).withColumn("cy", F.explode(span("south", "north")))
 
 
+def odd_crossings(sides: Column, x: Column, y: Column) -> Column:
+    """Whether a ray to the right from a point crosses an odd number of edges."""
+    crosses = lambda e: ((e["y0"] > y) != (e["y1"] > y)) & (x < (e["x1"] - e["x0"]) * (y - e["y0"]) / (e["y1"] - e["y0"]) + e["x0"])
+    return F.size(F.filter(sides, crosses)) % 2 == 1
+
+
+def edges_by_cell(polygons: DataFrame, size: float) -> DataFrame:
+    """polygon_id, cx, cy, sides: of a polygon's edges, for each coarse cell that its box touches, those that a ray to the right from within
+    the cell can cross: in the cell's rows, and not to its left. A ring is not sent as a whole to each of its cells."""
+    holes = F.col("holes") if holes_of(polygons) else None
+    cells = cells_of(polygons.select("polygon_id", "ring", all_edges(F.col("ring"), holes).alias("sides")), size)
+    south, north, west = F.col("cy") * size, (F.col("cy") + 1) * size, F.col("cx") * size
+    near = lambda e: (F.greatest(e["y0"], e["y1"]) >= south) & (F.least(e["y0"], e["y1"]) <= north) & (F.greatest(e["x0"], e["x1"]) >= west)
+    return cells.select("polygon_id", "cx", "cy", F.filter("sides", near).alias("sides")).filter(F.size("sides") > 0)
+
+
 def points_in_polygons(points: DataFrame, polygons: DataFrame, size: float = 1.0) -> DataFrame:
     """points (x, y, ...) joined to polygons (polygon_id, ring, holes if any): an equi-join on coarse cells, then the exact test. A point in
     several gets a row for each."""
-    holes = holes_of(polygons)
-    cells = small(cells_of(polygons.select("polygon_id", "ring", *[F.col(c).alias("_holes") for c in holes]), size))
     keyed = points.withColumn("cx", F.floor(F.col("x") / size).cast("int")).withColumn("cy", F.floor(F.col("y") / size).cast("int"))
-    met = keyed.join(cells, ["cx", "cy"]).filter(contains(F.col("ring"), F.col("x"), F.col("y"), F.col("_holes") if holes else None))
-    return met.drop("cx", "cy", "ring", "_holes")
+    met = keyed.join(small(edges_by_cell(polygons, size)), ["cx", "cy"]).filter(odd_crossings(F.col("sides"), F.col("x"), F.col("y")))
+    return met.drop("cx", "cy", "sides")
 
 
 def rasterise(pixels: DataFrame, polygons: DataFrame, value: str, origin: tuple[float, float], step: tuple[float, float], size: float = 1.0) -> DataFrame:

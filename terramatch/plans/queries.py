@@ -153,11 +153,6 @@ SEMI = f"SELECT m.id, m.h1, m.h2, m.f1, m.f2 FROM mpx m WHERE EXISTS (SELECT 1 F
 
 @query(SEMI)
 def jon02_band_semi_join(spark, d):
-    return matching.band_semi_join(mpx(spark, d), kpx(spark, d), ["h1", "h2"], WIDTHS)
-
-
-@query(SEMI)
-def jon02_band_semi_join_binned(spark, d):
     return matching.band_semi_join_binned(mpx(spark, d), kpx(spark, d), ["h1", "h2"], WIDTHS, by="f1")
 
 
@@ -168,12 +163,8 @@ def jon04_relative_band(spark, d):
 
 def _candidates(spark, d):
     # starts are given by the key, so that SQL can state them
-    m = ranks.with_position(mpx(spark, d), ["id"])
-    k, n = kpx(spark, d), m.count()
-    left = k.select(F.col("id").alias("k_id"), "h1", "h2", "f1", "f2", F.pmod(F.col("id") * 7919, F.lit(max(n, 1))).alias("start"))
-    met = m.alias("m").join(matching.small(left).alias("k"), (F.col("m.h1") == F.col("k.h1")) & (F.col("m.h2") == F.col("k.h2")) & matching.band_condition("m", "k", WIDTHS))
-    ranked = met.select("k_id", F.col("m.id").alias("m_id"), F.pmod(F.col("pos") - F.col("start"), F.lit(n)).alias("step"))
-    return ranked.withColumn("rank", F.row_number().over(matching.W.partitionBy("k_id").orderBy("step"))).filter(F.col("rank") <= matching.REQUIRED)
+    m = durable(ranks.with_position(mpx(spark, d), ["id"]), "m")
+    return matching.candidate_pairs(kpx(spark, d), m, ["h1", "h2"], WIDTHS, by="f1", start=F.col("id") * 7919)
 
 
 CANDIDATES = f"""mp AS (SELECT *, row_number() OVER (ORDER BY id) - 1 AS pos, count(*) OVER () AS n FROM mpx),
@@ -195,7 +186,7 @@ def jon06_greedy_pairs(spark, d):
     """Drawn, matched and checked against a sequential version in the tests: starts and order are hashes."""
     m = durable(ranks.with_position(mpx(spark, d), ["id"]), "m")
     k = durable(matching.sample(kpx(spark, d), 1.0, seed=3), "k")
-    found = durable(matching.candidate_pairs(k, m, ["h1", "h2"], WIDTHS, seed=3, by="f1"), "found")
+    found = matching.candidate_pairs(k, m, ["h1", "h2"], WIDTHS, seed=3, by="f1")
     s = durable(matching.scaled(m.join(matching.candidate_set(found), "id", "left_semi"), WIDTHS), "s")
     able = matching.scaled(k.join(found.select(F.col("k_id").alias("id")).distinct(), "id", "left_semi"), WIDTHS)
     return matching.greedy_pairs(able, s, ["h1", "h2"], ["f1", "f2"], matching.inverse_covariance(s, ["f1", "f2"]))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,31 +21,23 @@ def potential_matches(pixels: DataFrame, k: DataFrame, start: int, tolerances: d
     return matching.band_semi_join_binned(pixels, k, hard_columns(start), tolerances, by="elevation")
 
 
-def match_repetition(k: DataFrame, m: DataFrame, start: int, seed: int, iteration: int, tolerances: dict[str, float] = TOLERANCES, share: float = matching.SAMPLE_SHARE, required: int = matching.REQUIRED) -> tuple[DataFrame, DataFrame]:
-    """(pairs, status) of one repetition: a sample of k, up to `required` candidates for each, greedy pairs. m has columns id and pos."""
+def match_all(k: DataFrame, m: DataFrame, start: int, end: int, master_seed: int, repetitions: int = matching.REPETITIONS, tolerances: dict[str, float] = TOLERANCES, share: float = matching.SAMPLE_SHARE, required: int = matching.REQUIRED) -> tuple[DataFrame, DataFrame]:
+    """(wide pairs with iteration, status) of all repetitions at once: in each a sample of k, up to `required` candidates for each row, and greedy
+    pairs. A repetition is a column and part of each key, so the plan is the same for one and for a hundred, and their groups run side by side.
+    """
     hard, features = hard_columns(start), list(tolerances)
-    drawn = durable(matching.sample(k, share, seed), "sample")
-    found = durable(matching.candidate_pairs(drawn, m, hard, tolerances, seed, required, by="elevation"), "candidates")
-    s = m.join(matching.candidate_set(found), "id", "left_semi")
-    scaled_s = durable(matching.scaled(s.select("id", *hard, *features), tolerances), "candidate-set")
-    inverse = matching.inverse_covariance(scaled_s, features)
-    able = drawn.join(found.select(F.col("k_id").alias("id")).distinct(), "id", "left_semi")
-    pairs = matching.greedy_pairs(matching.scaled(able, tolerances), scaled_s, hard, features, inverse)
-    pairs = durable(pairs.withColumn("iteration", F.lit(iteration)), "pairs")
-    return pairs, matching.pair_status(drawn, pairs, found).withColumn("iteration", F.lit(iteration))
-
-
-def match_all(k: DataFrame, m: DataFrame, start: int, end: int, master_seed: int, repetitions: int = matching.REPETITIONS, **options) -> tuple[DataFrame, DataFrame]:
-    """(wide pairs with iteration, status) of all repetitions. The loop is over repetitions, never over rows."""
     m = durable(ranks.with_position(m, ["y", "x"]), "positions")
-    columns = ["lat", "lng", *(f"luc_{y}" for y in stored_years(start, end)), *options.get("tolerances", TOLERANCES)]
-    pairs, status = [], []
-    for r in matching.seeds(k.sparkSession, master_seed, repetitions).orderBy("iteration").collect():
-        got, how = match_repetition(k, m, start, r.seed, r.iteration, **options)
-        pairs.append(matching.wide_pairs(got, k, m, columns).withColumn("iteration", F.lit(r.iteration)))
-        status.append(how)
-    union = lambda parts: reduce(lambda a, b: a.unionByName(b), parts)
-    return union(pairs), union(status)
+    drawn = matching.samples(k, share, durable(matching.seeds(k.sparkSession, master_seed, repetitions), "seeds", 1))
+    drawn = durable(drawn.withColumn("one", F.struct("iteration", "id")), "samples")
+    found = matching.candidate_pairs(drawn.drop("id").withColumnRenamed("one", "id"), m, hard, tolerances, required=required, by="elevation", start=F.xxhash64(F.col("seed").cast("int"), F.col("id.id")))
+    found = durable(found.select("k_id.iteration", F.col("k_id.id").alias("k_id"), "m_id"), "candidates")
+    wanted = found.select("iteration", F.col("m_id").alias("id")).distinct()
+    s = durable(matching.scaled(wanted.join(m, "id").select("iteration", "id", *hard, *features), tolerances), "candidate-sets")
+    able = drawn.join(found.select("iteration", F.col("k_id").alias("id")).distinct(), ["iteration", "id"], "left_semi")
+    pairs = matching.greedy_pairs(matching.scaled(able, tolerances), s, hard, features, matching.inverse_covariances(s, features, "iteration"), by="iteration")
+    pairs = durable(pairs, "pairs")
+    columns = ["lat", "lng", *(f"luc_{y}" for y in stored_years(start, end)), *tolerances]
+    return matching.wide_pairs(pairs, k, m, columns, by=("iteration",)), matching.pair_status(drawn, pairs, found, by=("iteration",))
 
 
 def project_additionality(pairs: DataFrame, area_m2: float, density: list[float], end: int, repetitions: int) -> DataFrame:
