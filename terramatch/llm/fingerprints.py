@@ -18,6 +18,8 @@ from .common import WorkerTable, durable, text_of
 
 #: A term is in the band if from LEAST_SHARE to MOST_SHARE of all documents have it.
 LEAST_SHARE, MOST_SHARE = 0.0005, 0.25
+#: A term is 62 bits of a hash: 14 of them name its bucket, 48 stand in the bucket's list.
+KEPT_BITS, BUCKETS = 2**64 - 4, 1 << 14
 #: Term hashes that a task gathers before it makes them distinct.
 GATHERED = 4_000_000
 #: Subsets of the lexicon: at level j each holds a 2**-j part of it, and there are min(2**j, WIDTH) disjoint ones.
@@ -32,7 +34,7 @@ MOST_WORDS = 250_000
 
 class TermHashes(dict):
     def __missing__(self, word: str) -> int:
-        found = xxh3_64_intdigest(word)
+        found = xxh3_64_intdigest(word) & KEPT_BITS
         if len(word) <= 64:  # longer ones are not kept
             self[word] = found
         return found
@@ -50,34 +52,66 @@ def terms(text: str) -> np.ndarray:
     return np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Terms and the numbers of a task's documents that have them."""
-    seen, n, held, size = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64), [], 0
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct terms of (terms, numbers), sorted, with the sums of their numbers."""
+    found, where = np.unique(np.concatenate([x for x, _ in parts]), return_inverse=True)
+    total = np.zeros(len(found), dtype=np.int64)
+    np.add.at(total, where, np.concatenate([n for _, n in parts]))
+    return found, total
+
 
-    def merged() -> tuple[np.ndarray, np.ndarray]:
-        new, counts = np.unique(np.concatenate(held), return_counts=True)
-        both, where = np.unique(np.concatenate([seen, new]), return_inverse=True)
-        total = np.zeros(len(both), dtype=np.int64)
-        np.add.at(total, where, np.concatenate([n, counts]))
-        return both, total
+def _packed(found: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """A row a bucket that has terms: six bytes a term, four bytes a number."""
+    bucket = (found >> np.uint64(50)).astype(np.int32)
+    cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=BUCKETS))
+    low = np.ascontiguousarray((found >> np.uint64(2) & np.uint64(2**48 - 1)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
+    lists = [pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer((cuts * width).astype(np.int32)), pa.py_buffer(data)]) for width, data in ((6, low), (4, n.astype("<u4")))]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[cuts[:-1]]), *lists], ["bucket", "terms", "n"])
 
-    def out(seen: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(seen.view(np.int64)), pa.array(n)], ["term", "n"])
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Terms and the numbers of a task's documents that have them, packed by bucket: a task sends a third of the bytes of single rows."""
+    seen, held, size = (np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)), [], 0
     for batch in batches:
         for x in batch.column(0):
             held.append(terms(x.as_py()))
             size += len(held[-1])
             if size > GATHERED:
-                seen, n = merged()
-                held, size = [], 0
-                if len(seen) > GATHERED:
-                    yield out(seen, n)
-                    seen, n = seen[:0], n[:0]
+                seen, held, size = _added([seen, np.unique(np.concatenate(held), return_counts=True)]), [], 0
+                if len(seen[0]) > GATHERED:
+                    yield _packed(*seen)
+                    seen = seen[0][:0], seen[1][:0]
     if held:
-        seen, n = merged()
-    for at in range(0, len(seen), 1_000_000):
-        yield out(seen[at : at + 1_000_000], n[at : at + 1_000_000])
+        seen = _added([seen, np.unique(np.concatenate(held), return_counts=True)])
+    if len(seen[0]):
+        yield _packed(*seen)
+
+
+def _within(batches: Iterator[pa.RecordBatch], low: int, high: int) -> Iterator[pa.RecordBatch]:
+    """Terms whose sums are from low to high. Rows come sorted by bucket; lists of one bucket are added up as they come, so memory is
+    that of its distinct terms."""
+    now, parts, size = None, [], 0
+
+    def out() -> pa.RecordBatch:
+        found, n = _added(parts)
+        inside = (n >= low) & (n <= high)
+        return pa.RecordBatch.from_arrays([pa.array(found[inside].view(np.int64))], ["term"])
+
+    for batch in batches:
+        for bucket, x, n in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+            if bucket != now:
+                if parts:
+                    yield out()
+                now, parts, size = bucket, [], 0
+            raw = np.zeros((len(x.as_buffer()) // 6, 8), dtype=np.uint8)
+            raw[:, :6] = np.frombuffer(x.as_buffer(), dtype=np.uint8).reshape(-1, 6)
+            parts.append(((raw.view("<u8").ravel() | np.uint64(bucket) << np.uint64(48)) << np.uint64(2), np.frombuffer(n.as_buffer(), dtype="<u4").astype(np.int64)))
+            size += len(raw)
+            if size > GATHERED:
+                parts = [_added(parts)]
+                size = 0
+    if parts:
+        yield out()
 
 
 def idf_band(docs: DataFrame, text_col: str = "text", least_share: float = LEAST_SHARE, most_share: float = MOST_SHARE) -> np.ndarray:
@@ -89,8 +123,8 @@ def idf_band(docs: DataFrame, text_col: str = "text", least_share: float = LEAST
     """
     rows = docs.count()
     low, high = max(1, math.ceil(least_share * rows)), max(1, math.floor(most_share * rows))
-    counted = docs.select(text_of(text_col).alias("text")).mapInArrow(_counted, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    inside = counted.filter(F.col("n").between(low, high)).select("term").toArrow()
+    counted = docs.select(text_of(text_col).alias("text")).mapInArrow(_counted, "bucket int, terms binary, n binary")
+    inside = counted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(partial(_within, low=low, high=high), "term long").toArrow()
     return np.sort(inside.column("term").to_numpy().astype(np.int64).view(np.uint64))
 
 
@@ -229,4 +263,5 @@ def fingerprint_with_edits(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     away = F.struct(F.pmod(F.col("block") - 1, F.lit(max(1, len(heads)))).alias("block"), F.lit(True).alias("guest"))
     both = placed.withColumn("to", F.explode(F.when(F.col("at") % 2 == 1, F.array(home, away)).otherwise(F.array(home)))).select("to.block", "id", "text", "to.guest", "key", "tie")
     band = idf_band(docs, text_col)
-    return both.repartition("block").sortWithinPartitions("block", "guest", "key", "tie").select("block", "id", "text", "guest").mapInArrow(partial(_with_next, band=band), EDITED)
+    # four blocks a partition, so that none gets many more than others
+    return both.repartition(max(1, len(heads) // 4), "block").sortWithinPartitions("block", "guest", "key", "tie").select("block", "id", "text", "guest").mapInArrow(partial(_with_next, band=band), EDITED)
