@@ -52,8 +52,9 @@ def metres_per_degree(lat: Column) -> tuple[Column, Column]:
     return math.pi / 180 * SEMI_MAJOR * F.cos(F.radians(lat)) / F.sqrt(w), math.pi / 180 * SEMI_MAJOR * (1 - e2) / F.pow(w, F.lit(1.5))
 
 
-def utm_forward(lat: Column, lng: Column, zone: Column) -> tuple[Column, Column]:
-    """Easting and northing by Krüger's series to the third order (Karney, 2011): millimetres within a zone."""
+def utm_forward(lat: Column, lng: Column, zone: Column, south: Column | None = None) -> tuple[Column, Column]:
+    """Easting and northing by Krüger's series to the third order (Karney, 2011): millimetres within a zone. south: whether northings get the
+    southern false origin, by default where the latitude is negative; shapes across the equator need one origin for all points."""
     n = FLATTENING / (2 - FLATTENING)
     a = SEMI_MAJOR / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
     alpha = (n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16, 13 * n**2 / 48 - 3 * n**3 / 5, 61 * n**3 / 240)
@@ -66,7 +67,26 @@ def utm_forward(lat: Column, lng: Column, zone: Column) -> tuple[Column, Column]
     for j, x in enumerate(alpha, 1):
         east = east + x * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
         north = north + x * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
-    return FALSE_EAST + UTM_SCALE * a * east, UTM_SCALE * a * north + F.when(lat < 0, FALSE_NORTH).otherwise(0.0)
+    return FALSE_EAST + UTM_SCALE * a * east, UTM_SCALE * a * north + F.when(lat < 0 if south is None else south, FALSE_NORTH).otherwise(0.0)
+
+
+def utm_inverse(east: Column, north: Column, zone: Column, south: Column) -> tuple[Column, Column]:
+    """Latitude and longitude by the inverse of utm_forward, to the same order. south: whether northings have the southern false origin."""
+    n = FLATTENING / (2 - FLATTENING)
+    a = SEMI_MAJOR / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    beta = (n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96, n**2 / 48 + n**3 / 15, 17 * n**3 / 480)
+    delta = (2 * n - 2 * n**2 / 3 - 2 * n**3, 7 * n**2 / 3 - 8 * n**3 / 5, 56 * n**3 / 15)
+    xi = (north - F.when(south, FALSE_NORTH).otherwise(0.0)) / (UTM_SCALE * a)
+    eta = (east - FALSE_EAST) / (UTM_SCALE * a)
+    x, y = xi, eta
+    for j, b in enumerate(beta, 1):
+        x = x - b * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
+        y = y - b * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
+    chi = F.asin(F.sin(x) / F.cosh(y))
+    lat = chi
+    for j, d in enumerate(delta, 1):
+        lat = lat + d * F.sin(2 * j * chi)
+    return F.degrees(lat), zone * 6.0 - 183.0 + F.degrees(F.atan2(F.sinh(y), F.cos(x)))
 
 
 def hectares(square_metres: Column) -> Column:

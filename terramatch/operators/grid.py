@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .filters import aligned
+
 #: Kernel radius in rows; lattice steps for small and for large projects, and the area in hectares between them.
 FOCAL_RADIUS = 33
 FINE_STEP, COARSE_STEP, LARGE_HECTARES = 7, 33, 250_000.0
@@ -28,8 +30,10 @@ def crop(pixels: DataFrame, west: int, north: int, east: int, south: int) -> Dat
     return pixels.filter((F.col("x") >= west) & (F.col("x") < east) & (F.col("y") >= north) & (F.col("y") < south))
 
 
-def co_grid(layers: dict[str, DataFrame]) -> DataFrame:
-    """x, y and a column a layer, for pixels that all layers have. Equi-joins on one key: layers written in buckets of (x, y) don't shuffle."""
+def co_grid(layers: dict[str, DataFrame], strict: bool = False) -> DataFrame:
+    """x, y and a column a layer, for pixels that all layers have; with strict, layers of other pixels are an error. Equi-joins on one key: layers
+    written in buckets of (x, y) don't shuffle."""
+    layers = aligned(layers) if strict else layers
     parts = [df.select("x", "y", F.col("value").alias(name)) for name, df in layers.items()]
     return reduce(lambda a, b: a.join(b, ["x", "y"]), parts)
 
@@ -93,8 +97,9 @@ def half_widths(radius: int, ratio: float) -> dict[int, int]:
     return {dy: math.floor(ratio * math.sqrt(radius**2 - dy**2) + 1e-9) for dy in range(-radius, radius + 1)}
 
 
-def focal_coverage(pixels: DataFrame, classes: list[int], radius: int = FOCAL_RADIUS, ratio: Column | float = 1.0, block: int = 256) -> DataFrame:
-    """x, y and share_<class>: the share of each class among all cells of an elliptical kernel, whether or not the grid has them.
+def focal_coverage(pixels: DataFrame, classes: list[int], radius: int = FOCAL_RADIUS, ratio: Column | float = 1.0, block: int = 256, by: tuple[str, ...] = ()) -> DataFrame:
+    """x, y and share_<class>: the share of each class among all cells of an elliptical kernel, whether or not the grid has them. `by` names
+    columns, as a year, whose values are grids of their own.
 
     In each target row within the radius a source cell counts for one run of targets: it adds at the run's start and subtracts after
     its end, and running sums along the row give the counts, so a kernel costs its height and not its area. Rows are cut into
@@ -104,23 +109,23 @@ def focal_coverage(pixels: DataFrame, classes: list[int], radius: int = FOCAL_RA
     ratio = ratio if isinstance(ratio, Column) else F.lit(float(ratio))
     flags = [F.when(F.col("value") == c, 1).otherwise(0).alias(f"c{c}") for c in classes]
     half = lambda dy: F.floor(ratio * F.sqrt(F.lit(float(radius * radius)) - dy * dy) + 1e-9)
-    cells = pixels.select("x", "y", *flags)
-    targets = cells.select("x", F.col("y").alias("ty"), *[f"c{c}" for c in classes]).withColumn("dy", F.explode(F.sequence(F.lit(-radius), F.lit(radius)))).withColumn("y", F.col("ty") + F.col("dy"))
+    cells = pixels.select(*by, "x", "y", *flags)
+    targets = cells.select(*by, "x", F.col("y").alias("ty"), *[f"c{c}" for c in classes]).withColumn("dy", F.explode(F.sequence(F.lit(-radius), F.lit(radius)))).withColumn("y", F.col("ty") + F.col("dy"))
     spans = targets.withColumn("h", half(F.col("dy")).cast("int"))
     # the cell at x counts for targets from x - h to x + h: +1 at the start, -1 after the end, summed along the row of targets
     hit = spans.filter(reduce(lambda a, b: a | b, [F.col(f"c{c}") > 0 for c in classes]))
-    edge = hit.select("y", F.explode(F.array(F.struct((F.col("x") - F.col("h")).alias("x"), F.lit(1).alias("s")), F.struct((F.col("x") + F.col("h") + 1).alias("x"), F.lit(-1).alias("s")))).alias("e"), *[f"c{c}" for c in classes])
-    edges = edge.groupBy("y", F.col("e.x").alias("x")).agg(*[F.sum(F.col(f"c{c}") * F.col("e.s")).alias(f"c{c}") for c in classes])
-    points = edges.withColumn("t", F.lit(0)).unionByName(pixels.select("x", "y", *[F.lit(0).cast("long").alias(f"c{c}") for c in classes], F.lit(1).alias("t")))
+    edge = hit.select(*by, "y", F.explode(F.array(F.struct((F.col("x") - F.col("h")).alias("x"), F.lit(1).alias("s")), F.struct((F.col("x") + F.col("h") + 1).alias("x"), F.lit(-1).alias("s")))).alias("e"), *[f"c{c}" for c in classes])
+    edges = edge.groupBy(*by, "y", F.col("e.x").alias("x")).agg(*[F.sum(F.col(f"c{c}") * F.col("e.s")).alias(f"c{c}") for c in classes])
+    points = edges.withColumn("t", F.lit(0)).unionByName(pixels.select(*by, "x", "y", *[F.lit(0).cast("long").alias(f"c{c}") for c in classes], F.lit(1).alias("t")))
     strip = points.withColumn("b", F.floor(F.col("x") / block))
     # prefix sums within blocks, and of block totals: a row of any length is no single task
-    inner = W.partitionBy("y", "b").orderBy("x", "t").rowsBetween(W.unboundedPreceding, 0)
-    within = strip.select("x", "y", "b", "t", *[F.sum(f"c{c}").over(inner).alias(f"c{c}") for c in classes])
-    before = W.partitionBy("y").orderBy("b").rowsBetween(W.unboundedPreceding, -1)
-    totals = strip.groupBy("y", "b").agg(*[F.sum(f"c{c}").alias(f"n{c}") for c in classes]).select("y", "b", *[F.coalesce(F.sum(f"n{c}").over(before), F.lit(0)).alias(f"n{c}") for c in classes])
+    inner = W.partitionBy(*by, "y", "b").orderBy("x", "t").rowsBetween(W.unboundedPreceding, 0)
+    within = strip.select(*by, "x", "y", "b", "t", *[F.sum(f"c{c}").over(inner).alias(f"c{c}") for c in classes])
+    before = W.partitionBy(*by, "y").orderBy("b").rowsBetween(W.unboundedPreceding, -1)
+    totals = strip.groupBy(*by, "y", "b").agg(*[F.sum(f"c{c}").alias(f"n{c}") for c in classes]).select(*by, "y", "b", *[F.coalesce(F.sum(f"n{c}").over(before), F.lit(0)).alias(f"n{c}") for c in classes])
     kernel = F.aggregate(F.transform(F.sequence(F.lit(-radius), F.lit(radius)), lambda dy: 2 * F.floor(ratio * F.sqrt(F.lit(float(radius * radius)) - dy * dy) + 1e-9) + 1), F.lit(0).cast("long"), lambda a, b: a + b)
-    met = within.filter("t = 1").join(totals, ["y", "b"])
-    return met.select("x", "y", *[((F.col(f"c{c}") + F.col(f"n{c}")) / kernel).alias(f"share_{c}") for c in classes])
+    met = within.filter("t = 1").join(totals, [*by, "y", "b"])
+    return met.select(*by, "x", "y", *[((F.col(f"c{c}") + F.col(f"n{c}")) / kernel).alias(f"share_{c}") for c in classes])
 
 
 def resample_nearest(pixels: DataFrame, targets: DataFrame, scale_x: float, scale_y: float) -> DataFrame:

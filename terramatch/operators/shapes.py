@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.geodesy import utm_epsg, utm_forward
+from ..functions.geodesy import utm_epsg, utm_forward, utm_inverse
+from ..session import durable
+from .filters import found
 from .matching import small
 
+
 def edges(ring: Column) -> Column:
     """(x0, y0, x1, y1) of all edges, the closing one included."""
     after = F.concat(F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 1, F.lit(1)))
@@ -48,10 +53,10 @@ def centroid(ring: Column) -> tuple[Column, Column]:
     return at("x"), at("y")
 
 
-def to_utm(ring: Column, zone: Column) -> Column:
-    """A ring in degrees, projected; the hemisphere is that of its first point."""
+def to_utm(ring: Column, zone: Column, south: Column) -> Column:
+    """A ring in degrees, projected."""
     def project(p: Column) -> Column:
-        east, north = utm_forward(p["y"], p["x"], zone)
+        east, north = utm_forward(p["y"], p["x"], zone, south)
         return F.struct(east.alias("x"), north.alias("y"))
 
     return F.transform(ring, project)
@@ -64,14 +69,21 @@ def modal_zone(polygons: DataFrame) -> DataFrame:
     return counts.orderBy(F.desc("count"), "epsg").limit(1).select("epsg")
 
 
+def zone_of(polygons: DataFrame) -> tuple[Column, Column]:
+    """Number and hemisphere (whether southern) of the modal zone, as constants: one number comes to the driver. No polygons have zone 1."""
+    row = modal_zone(polygons).first()
+    epsg = row[0] if row else 32601
+    return F.lit(epsg % 100), F.lit(epsg >= 32700)
+
+
 def area_m2(polygons: DataFrame) -> DataFrame:
     """One row: the area of all polygons in square metres, projected to their modal zone."""
-    zone = F.broadcast(modal_zone(polygons))  # a row of one number
-    size = lambda ring: F.abs(shoelace(to_utm(ring, F.pmod(F.col("epsg"), F.lit(100)))))
+    zone, south = zone_of(polygons)
+    size = lambda ring: F.abs(shoelace(to_utm(ring, zone, south)))
     a = size(F.col("ring"))
     if holes_of(polygons):
         a = a - F.aggregate(F.coalesce("holes", F.array()), F.lit(0.0), lambda t, hole: t + size(hole))
-    return polygons.join(zone).select(a.alias("a")).agg(F.coalesce(F.sum("a"), F.lit(0.0)).alias("area_m2"))
+    return polygons.select(a.alias("a")).agg(F.coalesce(F.sum("a"), F.lit(0.0)).alias("area_m2"))
 
 
 def cells_of(polygons: DataFrame, size: float) -> DataFrame:
@@ -107,7 +119,7 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, size: float = 1.0
 
 def rasterise(pixels: DataFrame, polygons: DataFrame, value: str, origin: tuple[float, float], step: tuple[float, float], size: float = 1.0) -> DataFrame:
     """x, y, value: pixels whose centres lie in a polygon, with an attribute of it; where polygons overlap, the largest value."""
-    centres = pixels.select(F.col("x").alias("px"), F.col("y").alias("py"), (origin[0] + (F.col("x") + 0.5) * step[0]).alias("x"), (origin[1] + (F.col("y") + 0.5) * step[1]).alias("y"))
+    centres = pixel_centres(pixels, origin, step)
     met = points_in_polygons(centres, polygons.select("polygon_id", "ring", *holes_of(polygons)), size).join(small(polygons.select("polygon_id", F.col(value).alias("value"))), "polygon_id")
     return met.groupBy(F.col("px").alias("x"), F.col("py").alias("y")).agg(F.max("value").alias("value"))
 
@@ -131,6 +143,60 @@ def intersects(a: Column, b: Column, a_holes: Column | None = None, b_holes: Col
     return boxes_meet(box(a), box(b)) & (crossing | contains(a, first(b)["x"], first(b)["y"], a_holes) | contains(b, first(a)["x"], first(a)["y"], b_holes))
 
 
+def disjoint(a: Column, b: Column, a_holes: Column | None = None, b_holes: Column | None = None) -> Column:
+    """Whether two rings, less their holes, share no point."""
+    return ~intersects(a, b, a_holes, b_holes)
+
+
+def from_utm(ring: Column, zone: Column, south: Column) -> Column:
+    """A ring in metres, in degrees."""
+    def project(p: Column) -> Column:
+        lat, lng = utm_inverse(p["x"], p["y"], zone, south)
+        return F.struct(lng.alias("x"), lat.alias("y"))
+
+    return F.transform(ring, project)
+
+
+def buffer_parts(polygons: DataFrame, metres: float, corners: int = 32) -> DataFrame:
+    """polygon_id, part, ring: shapes in degrees whose union is a polygon's surroundings of so many metres, the polygon included: the polygon, for each
+    edge the convex hull of a circle at either end. Distances are those of the modal zone of all polygons; a circle has `corners`
+    corners and lies inside the true one by radius * (1 - cos(pi / corners)) at most. A point is within the distance if any part contains it."""
+    zone, south = zone_of(polygons)
+    circle = [(metres * math.cos(2 * math.pi * i / corners), metres * math.sin(2 * math.pi * i / corners)) for i in range(corners)]
+    around = lambda x, y: F.array(*[F.struct((x + dx).alias("x"), (y + dy).alias("y")) for dx, dy in circle])
+    sides = polygons.select("polygon_id", to_utm(F.col("ring"), zone, south).alias("ring")).select("polygon_id", F.posexplode(edges(F.col("ring"))).alias("part", "e"))
+    capsules = sides.select("polygon_id", (F.col("part") + 1).alias("part"), convex_hull(F.concat(around(F.col("e.x0"), F.col("e.y0")), around(F.col("e.x1"), F.col("e.y1")))).alias("ring"))
+    return polygons.select("polygon_id", F.lit(0).alias("part"), "ring").unionByName(capsules.select("polygon_id", "part", from_utm(F.col("ring"), zone, south).alias("ring")))
+
+
+def points_within_metres(points: DataFrame, polygons: DataFrame, metres: float, size: float = 1.0) -> DataFrame:
+    """points (x, y in degrees, ...) joined to the polygons that contain them or are at most so many metres away, measured in the modal zone of all
+    polygons. Points within several get a row for each.
+
+    Edges are cut into pieces no longer than the distance, and each piece meets the points of the cells, as wide as the distance,
+    around it: an equi-join, after which the exact distance to the piece decides."""
+    zone, south = zone_of(polygons)
+    row = F.struct(*[F.col(c) for c in points.columns])
+    projected = polygons.select("polygon_id", to_utm(F.col("ring"), zone, south).alias("ring"), *[F.transform(c, lambda h: to_utm(h, zone, south)).alias(c) for c in holes_of(polygons)])
+    sides = durable(projected, "projected").select("polygon_id", F.explode(all_edges(F.col("ring"), *[F.col(c) for c in holes_of(polygons)])).alias("e")).select("polygon_id", "e.*")
+    dx, dy = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
+    n = F.greatest(F.ceil(F.sqrt(dx * dx + dy * dy) / metres), F.lit(1)).cast("int")
+    cut = sides.withColumn("n", n).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    at = lambda c, k: F.col(f"{c}0") + (F.col(f"{c}1") - F.col(f"{c}0")) * (F.col("i") + k) / F.col("n")
+    pieces = cut.select("polygon_id", at("x", 0).alias("ax"), at("y", 0).alias("ay"), at("x", 1).alias("bx"), at("y", 1).alias("by"))
+    cell = lambda v: F.floor(v / metres)
+    span = lambda a, b: F.sequence(cell(F.least(a, b)) - 1, cell(F.greatest(a, b)) + 1)
+    pieces = pieces.withColumn("cx", F.explode(span(F.col("ax"), F.col("bx")))).withColumn("cy", F.explode(span(F.col("ay"), F.col("by"))))
+    east, north = utm_forward(F.col("y"), F.col("x"), zone, south)
+    placed = points.select(row.alias("row"), east.alias("px"), north.alias("py")).withColumn("cx", cell(F.col("px"))).withColumn("cy", cell(F.col("py")))
+    ux, uy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
+    along = ((F.col("px") - F.col("ax")) * ux + (F.col("py") - F.col("ay")) * uy) / F.nullif(ux * ux + uy * uy, F.lit(0.0))
+    t = F.least(F.greatest(F.coalesce(along, F.lit(0.0)), F.lit(0.0)), F.lit(1.0))
+    gx, gy = F.col("px") - F.col("ax") - t * ux, F.col("py") - F.col("ay") - t * uy
+    near = placed.join(small(pieces), ["cx", "cy"]).filter(gx * gx + gy * gy <= metres * metres).select("row", "polygon_id").distinct().select("row.*", "polygon_id")
+    return near.unionByName(points_in_polygons(points, polygons, size).select(*near.columns)).distinct()
+
+
 def spatial_join(a: DataFrame, b: DataFrame, size: float = 1.0) -> DataFrame:
     """a_id, b_id of polygons (polygon_id, ring) that intersect: candidates by coarse cells, made distinct, then the exact test."""
     left = cells_of(a.select(F.col("polygon_id").alias("a_id"), "ring", *[F.col(c).alias("a_holes") for c in holes_of(a)]), size).withColumnRenamed("ring", "a_ring")
@@ -159,6 +225,22 @@ def convex_hull(rings: pd.Series) -> pd.Series:
     return rings.map(hull)
 
 
+def pixel_centres(pixels: DataFrame, origin: tuple[float, float], step: tuple[float, float]) -> DataFrame:
+    """px, py, and the place of a pixel's centre as x, y."""
+    return pixels.select(F.col("x").alias("px"), F.col("y").alias("py"), (origin[0] + (F.col("x") + 0.5) * step[0]).alias("x"), (origin[1] + (F.col("y") + 0.5) * step[1]).alias("y"))
+
+
+def pixels_within_metres(pixels: DataFrame, polygons: DataFrame, metres: float, origin: tuple[float, float], step: tuple[float, float], size: float = 1.0, outside_only: bool = False) -> DataFrame:
+    """x, y of pixels whose centres are in a polygon or at most so many metres away; with outside_only, of those that no polygon contains: a
+    leakage zone."""
+    centres = pixel_centres(pixels, origin, step)
+    near = points_within_metres(centres, polygons, metres, size).select(F.col("px").alias("x"), F.col("py").alias("y")).distinct()
+    if not outside_only:
+        return near
+    inside = points_in_polygons(centres, polygons, size).select(F.col("px").alias("x"), F.col("py").alias("y")).distinct()
+    return near.join(inside, ["x", "y"], "left_anti")
+
+
 def tile_square(corner_lat: Column, corner_lng: Column, degrees: float = 10.0) -> Column:
     """The ring of a tile from its north-west corner."""
     point = lambda dx, dy: F.struct((corner_lng + dx).cast("double").alias("x"), (corner_lat - dy).cast("double").alias("y"))
@@ -170,6 +252,16 @@ def first_polygon(polygons: DataFrame) -> DataFrame:
     return polygons.orderBy("polygon_id").limit(1)
 
 
+def points_in_first(points: DataFrame, polygons: DataFrame, size: float = 1.0) -> DataFrame:
+    """The points that the first polygon contains."""
+    return points_in_polygons(points, first_polygon(polygons), size).drop("polygon_id")
+
+
+def meeting(polygons: DataFrame, area: DataFrame, size: float = 1.0) -> DataFrame:
+    """The polygons that intersect any of area's; none is an error."""
+    return found(polygons.join(spatial_join(polygons, area, size).select(F.col("a_id").alias("polygon_id")).distinct(), "polygon_id", "left_semi"), "no polygon meets the area")
+
+
 def rank_index(codes: DataFrame, code: str = "code", name: str = "rank") -> DataFrame:
     """Distinct codes in order with their place from 1: 0 stays free for the background of a raster. A row a code goes through the window."""
     return codes.select(code).distinct().withColumn(name, F.row_number().over(W.orderBy(code)).cast("int"))

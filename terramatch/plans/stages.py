@@ -2,18 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import grid, matching, outcomes, permanence, ranks
+from ..functions import geodesy
+from ..operators import filters, grid, matching, outcomes, permanence, ranks, shapes
 from ..schema import TOLERANCES, hard_columns, stored_years
 from ..session import durable
 
+#: Fixed value: the width of the leakage zone around a project.
+LEAKAGE_METRES = 5000.0
+
 
 def treated_pixels(layers: dict[str, DataFrame], boundary: DataFrame, hectares: float, x0: int = 0, y0: int = 0) -> DataFrame:
-    """Pixels of a lattice inside the boundary, with all layers. The lattice filters each layer before the joins."""
+    """Pixels of a lattice inside the boundary, with all layers. The lattice filters each layer before the joins. Layers whose lattices differ are
+    an error, as is a boundary without a pixel of the lattice."""
     step = grid.lattice_step(hectares)
-    return grid.mask(grid.co_grid({k: grid.lattice_sample(v, step, x0, y0) for k, v in layers.items()}), boundary)
+    met = grid.co_grid({k: grid.lattice_sample(v, step, x0, y0) for k, v in layers.items()}, strict=True)
+    return filters.found(grid.mask(met, boundary), "the boundary holds no pixel of the lattice")
+
+
+def match_table(layers: dict[str, DataFrame], marks: DataFrame) -> DataFrame:
+    """Pixels that the raster of potential matches marks, with all layers. Each layer is cut to the marks before it meets the others."""
+    kept = durable(filters.matched(marks).select("x", "y"), "marks")
+    return grid.co_grid({k: grid.mask(v, kept) for k, v in layers.items()})
+
+
+def fine_coverage(tiles: DataFrame, classes: list[int], ratio: Column | float = 1.0, radius: int = grid.FOCAL_RADIUS) -> DataFrame:
+    """year, x, y and share_<class> from tiles (year, tile, x, y, value): a year's tiles are one grid, so a kernel at a tile's border sees its neighbours;
+    where tiles overlap, the first by name counts."""
+    one = tiles.groupBy("year", "x", "y").agg(F.min_by("value", "tile").alias("value"))
+    return grid.focal_coverage(one, classes, radius, ratio, by=("year",))
+
+
+def slope(elevation: DataFrame, degrees: float, north: float) -> DataFrame:
+    """x, y, slope in degrees from elevations on a grid of `degrees` a cell, whose first row begins at latitude `north`. A cell's ground lengths are those
+    of its own latitude, so a grid may cross zones."""
+    east, south = geodesy.metres_per_degree(F.lit(north) - (F.col("y") + 0.5) * degrees)
+    return grid.slope_horn(elevation, east * degrees, south * degrees)
+
+
+def project_shots(granules: DataFrame, boundary: DataFrame, start: str = "2020-01-01", end: str = "2021-01-01", size: float = 1.0) -> DataFrame:
+    """Good shots of all granules (lat, lng and the flags of good_shots) that lie in any polygon of the boundary, each once."""
+    good = outcomes.good_shots(granules, start, end).withColumns({"x": F.col("lng"), "y": F.col("lat")})
+    return shapes.points_in_polygons(good, boundary, size).drop("x", "y", "polygon_id").distinct()
+
+
+def leakage_zone(pixels: DataFrame, project: DataFrame, origin: tuple[float, float], step: tuple[float, float], metres: float = LEAKAGE_METRES) -> DataFrame:
+    """x, y of pixels at most so many metres from the project's polygons and in none of them."""
+    return shapes.pixels_within_metres(pixels, project, metres, origin, step, outside_only=True)
 
 
 def potential_matches(pixels: DataFrame, k: DataFrame, start: int, tolerances: dict[str, float] = TOLERANCES) -> DataFrame:

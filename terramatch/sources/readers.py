@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.keys import tile_corner, tile_name_year
+from . import geotiff
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
@@ -33,13 +36,18 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | str) -> Dat
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
-def read_geojson(spark: SparkSession, path: str, properties: T.StructType | str) -> DataFrame:
-    """properties, geometry_type, polygon_id, ring and holes, a row an outer ring of a Polygon or MultiPolygon with its inner rings.
+def read_geojson(spark: SparkSession, path: str, properties: T.StructType | str, lines: bool = False) -> DataFrame:
+    """properties, geometry_type, polygon_id, ring and holes, a row an outer ring of a Polygon or MultiPolygon with its inner rings. Files hold a
+    FeatureCollection each, or with lines a feature a line, which any number of tasks read.
 
     Coordinates are parsed as text, since their depth differs by type."""
     props = properties.simpleString() if isinstance(properties, T.StructType) else f"struct<{properties}>"
-    raw = spark.read.schema(f"features array<struct<properties: {props}, geometry: struct<type: string, coordinates: string>>>").option("multiLine", True).json(path)
-    one = raw.select(F.posexplode("features").alias("feature", "f")).select("feature", "f.properties.*", F.col("f.geometry.type").alias("geometry_type"), F.col("f.geometry.coordinates").alias("text"))
+    feature = f"properties {props}, geometry struct<type: string, coordinates: string>"
+    if lines:
+        raw = spark.read.schema(feature).json(path).select(F.sha2(F.to_json(F.struct("properties", "geometry")), 256).alias("feature"), F.struct("properties", "geometry").alias("f"))
+    else:
+        raw = spark.read.schema(f"features array<struct<{feature.replace(' ', ': ', 1).replace(', geometry ', ', geometry: ')}>>").option("multiLine", True).json(path).select(F.posexplode("features").alias("feature", "f"))
+    one = raw.select("feature", "f.properties.*", F.col("f.geometry.type").alias("geometry_type"), F.col("f.geometry.coordinates").alias("text"))
     parts = F.when(F.col("geometry_type") == "MultiPolygon", F.from_json("text", "array<array<array<array<double>>>>")).otherwise(F.array(F.from_json("text", "array<array<array<double>>>")))
     rings = one.withColumn("parts", parts).select("*", F.posexplode("parts").alias("part", "rings")).drop("text", "parts")
     point = lambda p: F.struct(F.get(p, 0).alias("x"), F.get(p, 1).alias("y"))
@@ -71,6 +79,19 @@ def read_jdbc(spark: SparkSession, url: str, table: str, columns: list[str], spl
     return spark.read.format("jdbc").options(url=url, dbtable=table, **more, **options).load().select(*columns)
 
 
+def read_geotiff(spark: SparkSession, path: str, glob: str = "*.tif") -> DataFrame:
+    """tile, x, y, lng, lat, value of GeoTIFF files in any store that Spark reads: a file is one binary value, parsed strip by strip in its task.
+    The "geotiff" data source reads parts of large local files."""
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                yield from geotiff.strips_of(io.BytesIO(content.as_buffer()), name.rsplit("/", 1)[-1])
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    return files.select("path", "content").mapInArrow(parse, geotiff.SCHEMA)
+
+
 GRANULE = "granule string, beam string, shot_number long, lat double, lng double, absolute_time double, agbd double, l4_quality_flag int, degrade_flag int"
 
 
@@ -78,8 +99,6 @@ def read_granules(spark: SparkSession, folder: str, glob: str = "*.h5") -> DataF
     """Shots of HDF5 granules, a beam at a time; a beam that lacks an array is skipped. Needs h5py on the executors."""
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import io
-
         import h5py  # not everywhere installed
 
         for batch in batches:

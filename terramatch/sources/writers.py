@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,10 +44,27 @@ def features(df: DataFrame, geometry: Column, properties: list[str]) -> DataFram
 
 
 def write_geojson(df: DataFrame, path: str, geometry: Column, properties: list[str]) -> None:
-    """Newline-delimited features, which any number of tasks can write."""
+    """Newline-delimited features, which any number of tasks can write; read_geojson(lines=True) reads them."""
     features(df, geometry, properties).write.mode("overwrite").text(path)
 
 
+def write_feature_collection(df: DataFrame, path: str, geometry: Column, properties: list[str]) -> None:
+    """One file with one FeatureCollection, for layers that other programs read. A task streams the features into it, so its size is bounded by
+    the disk and not by memory."""
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        line = lambda values: pa.RecordBatch.from_arrays([pa.array(values, type=pa.string())], ["value"])
+        first = True
+        yield line(['{"type": "FeatureCollection", "features": ['])
+        for batch in batches:
+            values = [x if first and i == 0 else "," + x for i, x in enumerate(batch.column(0).to_pylist())]
+            first = first and not values
+            yield line(values)
+        yield line(["]}"])
+
+    features(df, geometry, properties).coalesce(1).mapInArrow(joined, "value string").write.mode("overwrite").text(path)
+
+
 def pair_features(pairs: DataFrame, kind: str = "LineString") -> DataFrame:
     """Lines, or pairs of points, from treated to control pixels."""
     ends = [(F.col("k_lng"), F.col("k_lat")), (F.col("s_lng"), F.col("s_lat"))]
@@ -91,15 +109,23 @@ def build_if_missing(spark: SparkSession, path: str, make: Callable[[], DataFram
 
 
 def publish(df: DataFrame, path: str) -> None:
-    """Writes beside and renames, so that readers of path see all of a table or none."""
+    """Writes beside and renames. The table before is moved aside and deleted only when the new one stands in its place; if that fails it is
+    moved back, so a failure loses nothing. Between the two renames a reader finds no table, never half of one."""
     spark = df.sparkSession
     beside = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
     df.write.parquet(beside)
     source, fs = _path(spark, beside)
     target, _ = _path(spark, path)
-    fs.delete(target, True)
+    aside, _ = _path(spark, f"{path.rstrip('/')}.old-{uuid.uuid4().hex}")
+    had = fs.exists(target)
+    if had and not fs.rename(target, aside):
+        raise OSError(f"could not move {path} aside")
     if not fs.rename(source, target):
+        if had:
+            fs.rename(aside, target)
         raise OSError(f"could not publish {path}")
+    if had:
+        fs.delete(aside, True)
 
 
 def missing_targets(wanted: DataFrame, present: DataFrame, key: str = "name") -> DataFrame:
