@@ -72,10 +72,10 @@ def band_semi_join_binned(m: DataFrame, k: DataFrame, hard: list[str], widths: d
     return probe.alias("m").join(small(build).alias("k"), on, "left_semi").drop("_bin")
 
 
-def sample(k: DataFrame, share: float, seed: int, key: str = "id") -> DataFrame:
+def sample(k: DataFrame, share: float, seed: int = 0, key: str = "id", order: Column | None = None) -> DataFrame:
     """An exact share of k without replacement, with `draw`, its place in a shuffled order. The order is one of hashes, so it depends on
-    seed and key alone; numbering runs in ranges."""
-    drawn = with_position(k.withColumn("_u", F.xxhash64(F.lit(seed), F.col(key))), ["_u", key], "draw").drop("_u")
+    seed and key alone, or a given one; numbering runs in ranges."""
+    drawn = with_position(k.withColumn("_u", F.xxhash64(F.lit(seed), F.col(key)) if order is None else order), ["_u", key], "draw").drop("_u")
     n = F.round(F.lit(share) * drawn.count()).cast("long")
     return drawn.filter(F.col("draw") < n)
 

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geodesy, keys
-from ..operators import grid, matching, outcomes, permanence, ranks, shapes
+from ..operators import filters, grid, matching, outcomes, permanence, ranks, shapes
+from ..schema import stored_years
 from ..session import durable, ship
 from ..sources import readers, writers
+from . import stages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -192,9 +194,9 @@ def jon06_greedy_pairs(spark, d):
     return matching.greedy_pairs(able, s, ["h1", "h2"], ["f1", "f2"], matching.inverse_covariance(s, ["f1", "f2"]))
 
 
-@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
 def jon07_new_keys(spark, d):
-    present = table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    present = table(spark, d, "orders").filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey"))
     return writers.new_rows(table(spark, d, "customer").select("c_custkey", "c_name"), present, "c_custkey")
 
 
@@ -306,11 +308,9 @@ def agg09_distinct_points(spark, d):
     return px(spark, d).select("h1", "h2", F.round("f2", 0).alias("f2")).distinct()
 
 
-@query("WITH z AS (SELECT (floor((s_acctbal / 60.0 + 180) / 6.0)::INTEGER % 60) + 1 + CASE WHEN s_nationkey - 12 < 0 THEN 32700 ELSE 32600 END AS epsg FROM supplier) SELECT epsg::INTEGER AS epsg FROM z GROUP BY epsg ORDER BY count(*) DESC, epsg LIMIT 1")
+@query("WITH z AS (SELECT (floor((s_acctbal / 60.0 + 180) / 6.0)::INTEGER % 60) + 1 + CASE WHEN s_nationkey - 11.5 < 0 THEN 32700 ELSE 32600 END AS epsg FROM supplier) SELECT epsg::INTEGER AS epsg FROM z GROUP BY epsg ORDER BY count(*) DESC, epsg LIMIT 1")
 def agg11_modal_zone(spark, d):
-    s = table(spark, d, "supplier")
-    counts = s.select(geodesy.utm_epsg(F.col("s_nationkey") - 12, F.col("s_acctbal") / 60.0).alias("epsg")).groupBy("epsg").count()
-    return counts.orderBy(F.desc("count"), "epsg").limit(1).select("epsg")
+    return shapes.modal_zone(_squares(table(spark, d, "supplier"), F.col("s_suppkey"), F.col("s_acctbal") / 60.0, F.col("s_nationkey") - 11.5, 0.001))
 
 
 @query("SELECT x, y, sum(value)::BIGINT AS value FROM (SELECT x, y, n AS value FROM cells UNION ALL SELECT x, y, value FROM classes) GROUP BY ALL")
@@ -369,10 +369,10 @@ def dom14_leakage_ring(spark, d):
 # ---- sorting, sampling, sets
 
 
-@query()
+@query("SELECT id, draw FROM (SELECT id, row_number() OVER (ORDER BY id * 7919 % 10007, id) - 1 AS draw, count(*) OVER () AS n FROM px) WHERE draw < round(0.1 * n)")
 def srt05_sample(spark, d):
-    """A tenth, exactly; which rows depends on hashes and is checked in the tests."""
-    return matching.sample(px(spark, d), matching.SAMPLE_SHARE, seed=42).select("id", "draw")
+    """A tenth, exactly, in an order that SQL can state."""
+    return matching.sample(px(spark, d), matching.SAMPLE_SHARE, order=F.col("id") * 7919 % 10007).select("id", "draw")
 
 
 @query("SELECT h1, h2, arg_min(id, (f1, id)) AS id FROM px GROUP BY ALL")
@@ -425,15 +425,21 @@ def mth06_tile_index(spark, d):
     return table(spark, d, "customer").select("c_custkey", geodesy.srtm_name(column, row).alias("tile"))
 
 
-@query("WITH n AS (SELECT page_id, regexp_extract(url, '([0-9]+)', 1) AS num, regexp_extract(url, '^([a-z]+)://', 1) AS scheme, split_part(url, '/', -1) AS file FROM pages) SELECT page_id, scheme, file, CASE WHEN num <> '' THEN num::BIGINT END AS num FROM n")
+NAMED = "SELECT s_suppkey, (s_nationkey % 7 - 3) * 10 AS lat, (s_suppkey % 30 - 15) * 10 AS lng, 1990 + s_suppkey % 20 AS year FROM supplier"
+
+
+@query(f"WITH n AS ({NAMED}) SELECT s_suppkey, 'classes_' || year || '_' || CASE WHEN lat < 0 THEN 'S' ELSE 'N' END || abs(lat) || '_' || CASE WHEN lng < 0 THEN 'W' ELSE 'E' END || abs(lng) || '.tif' AS file, lat::INTEGER AS tile_lat, lng::INTEGER AS tile_lng, year::INTEGER AS tile_year FROM n")
 def src03_name_metadata(spark, d):
-    num = F.regexp_extract("url", "([0-9]+)", 1)
-    return table(spark, d, "pages").select("page_id", F.regexp_extract("url", "^([a-z]+)://", 1).alias("scheme"), F.substring_index("url", "/", -1).alias("file"), F.when(num != "", num.cast("long")).alias("num"))
+    s = table(spark, d, "supplier")
+    lat, lng, year = (F.col("s_nationkey") % 7 - 3) * 10, (F.col("s_suppkey") % 30 - 15) * 10, 1990 + F.col("s_suppkey") % 20
+    named = s.select("s_suppkey", F.concat(F.lit("classes_"), year.cast("string"), F.lit("_"), geodesy.degree_name(lat, lng), F.lit(".tif")).alias("file"))
+    return named.select("s_suppkey", "file", *[v.alias(k) for k, v in readers.file_metadata(F.concat(F.lit("/tiles/"), F.col("file"))).items()])
 
 
-@query("SELECT DISTINCT y.year, t.t::INTEGER AS stored FROM (SELECT DISTINCT year FROM lucts) y, range(1985, 2002) t(t) WHERE t.t BETWEEN y.year - 10 AND 2001")
+@query("SELECT DISTINCT y.year, t.t::INTEGER AS stored FROM (SELECT DISTINCT year FROM lucts) y, range(1980, 2002) t(t) WHERE t.t BETWEEN y.year - 10 AND 2001")
 def dat02_stored_years(spark, d):
-    return lucts(spark, d).select("year").distinct().select("year", F.explode(F.sequence(F.col("year") - 10, F.lit(2001))).alias("stored"))
+    by_start = F.create_map(*[x for y in range(1990, 2002) for x in (F.lit(y), F.array(*map(F.lit, stored_years(y, 2001))))])
+    return lucts(spark, d).select("year").distinct().select("year", F.explode(by_start[F.col("year")]).alias("stored"))
 
 
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events")
@@ -479,30 +485,44 @@ def src11_tile_grid(spark, d):
 
 # ---- permanence
 
-LAST = 2001
+#: Rates over two years, and over the five of a schedule, on a series of some forty two-month periods that stand for years from 2010 on.
 RATE = "rate AS (SELECT a.year, (a.net - b.net) / 2 AS release FROM nets a JOIN nets b ON b.year = a.year - 2)"
-#: A short series: the release rate over two years stands for the one over five.
-SCHEDULE = f"{RATE}, sched AS (SELECT r.year AS est_year, f.y::INTEGER AS for_year, CASE WHEN f.y <= 1996 THEN 0.0 ELSE r.release END::DOUBLE AS release FROM rate r, range(1992, {LAST + 200}) f(y))"
-COSTS = "given(y0, v0) AS (VALUES (1990.0, 40.0), (2000.0, 55.0), (2010.0, 61.0), (2050.0, 100.0)), seg AS (SELECT y0::DOUBLE AS y0, v0::DOUBLE AS v0, lead(y0) OVER (ORDER BY y0)::DOUBLE AS y1, lead(v0) OVER (ORDER BY y0)::DOUBLE AS v1 FROM given), cost AS (SELECT y::INTEGER AS year, v0 + (v1 - v0) * (y - y0) / (y1 - y0) AS value FROM range(1985, 2301) t(y) JOIN seg ON y1 IS NOT NULL AND (y >= y0 OR y0 = 1990) AND (y < y1 OR y1 = 2050))"
-ADJUSTED = "adj AS (SELECT n.year, n.net - coalesce((SELECT sum(release) FROM sched s WHERE s.est_year < n.year AND s.for_year = n.year), 0) AS adjusted FROM nets n)"
+LONG = "pnet AS (SELECT year, v - lag(v) OVER (ORDER BY year) AS net FROM (SELECT 2010 + ((year(o_orderdate) - 1992) * 12 + month(o_orderdate) - 1) // 2 AS year, 0.75 * sum(o_totalprice) / 1e6 AS v FROM orders GROUP BY ALL) QUALIFY lag(v) OVER (ORDER BY year) IS NOT NULL), edge AS (SELECT min(year) - 1 AS first, max(year) AS last FROM pnet)"
+PROJECT_END, HORIZON = 2025, 2400
+SCHEDULE = f"{LONG}, sched AS (SELECT e.y::INTEGER AS est_year, f.y::INTEGER AS for_year, CASE WHEN f.y <= {PROJECT_END} OR e.y < g.first + 6 THEN 0.0 ELSE (a.net - b.net) / 5 END::DOUBLE AS release FROM edge g, range(2010, 2100) e(y), range(2010, {HORIZON + 1}) f(y) LEFT JOIN pnet a ON a.year = e.y LEFT JOIN pnet b ON b.year = e.y - 5 WHERE e.y BETWEEN g.first AND g.last AND f.y >= g.first)"
+COSTS = "given(y0, v0) AS (VALUES (2012.0, 40.0), (2020.0, 55.0), (2030.0, 61.0), (2070.0, 100.0)), seg AS (SELECT y0::DOUBLE AS y0, v0::DOUBLE AS v0, lead(y0) OVER (ORDER BY y0)::DOUBLE AS y1, lead(v0) OVER (ORDER BY y0)::DOUBLE AS v1 FROM given), cost AS (SELECT y::INTEGER AS year, v0 + (v1 - v0) * (y - y0) / (y1 - y0) AS value FROM range(2005, 2401) t(y) JOIN seg ON y1 IS NOT NULL AND (y >= y0 OR y0 = 2012) AND (y < y1 OR y1 = 2070))"
+ADJUSTED = "adj AS (SELECT n.year, n.net - coalesce((SELECT sum(release) FROM sched s WHERE s.est_year < n.year AND s.for_year = n.year), 0) AS adjusted FROM pnet n)"
 BY = "cum AS (SELECT est_year AS year, for_year, sum(abs(release)) OVER (PARTITION BY est_year ORDER BY for_year) AS released FROM sched WHERE for_year > est_year), due AS (SELECT a.year, a.adjusted, CASE WHEN a.adjusted <= 0 THEN a.year ELSE (SELECT min(for_year) FROM cum c WHERE c.year = a.year AND c.released >= a.adjusted) END AS released_by FROM adj a)"
 DAMAGE = "dmg AS (SELECT d.year, sum(abs(s.release) * c.value / pow(1.03::DOUBLE, s.for_year - d.year)) AS damage FROM due d JOIN sched s ON s.est_year = d.year AND s.for_year >= d.year AND s.for_year < d.released_by JOIN cost c ON c.year = s.for_year GROUP BY d.year)"
 
 
+def _periods(spark, d):
+    """The net series of the two-month periods, and its ends."""
+    month = (F.year("o_orderdate") - 1992) * 12 + F.month("o_orderdate") - 1
+    add = table(spark, d, "orders").groupBy((2010 + F.floor(month / 2)).cast("int").alias("year")).agg((F.sum("o_totalprice") / 1e6).alias("value"))
+    ends = add.agg(F.min("year"), F.max("year")).first()
+    return permanence.net_sequestration(add, add.select("year", (F.col("value") * 0.25).alias("value"))), ends
+
+
 def _schedule(spark, d):
-    rate = permanence.release_rate(nets(spark, d), 2)
-    out = rate.select(F.col("year").alias("est_year"), "release", F.explode(F.sequence(F.lit(1992), F.lit(LAST + 199))).alias("for_year"))
-    return out.select("est_year", "for_year", F.when(F.col("for_year") <= 1996, 0.0).otherwise(F.col("release")).alias("release"))
+    net, ends = _periods(spark, d)
+    return permanence.release_schedule(net, "high", ends[0], ends[1], PROJECT_END, HORIZON)
+
+
+def _given(spark):
+    return spark.createDataFrame([(2012, 40.0), (2020, 55.0), (2030, 61.0), (2070, 100.0)], "year int, value double")
 
 
 def _costs(spark, d):
-    given = spark.createDataFrame([(1990, 40.0), (2000, 55.0), (2010, 61.0), (2050, 100.0)], "year int, value double")
-    return permanence.interpolate_cost(given, 1985, 2300)
+    return permanence.interpolate_cost(_given(spark), permanence.FIRST_COST_YEAR, HORIZON)
+
+
+def _adjusted(spark, d):
+    return permanence.adjusted_net(_periods(spark, d)[0], _schedule(spark, d))
 
 
 def _released(spark, d):
-    s = _schedule(spark, d)
-    return permanence.release_year(permanence.adjusted_net(nets(spark, d), s), s)
+    return permanence.release_year(_adjusted(spark, d), _schedule(spark, d))
 
 
 @query("SELECT year, round(net, 4) AS net FROM nets")
@@ -523,7 +543,7 @@ def dom10_release_schedule(spark, d):
 
 @query(f"WITH {SCHEDULE}, {ADJUSTED} SELECT year, round(adjusted, 4) AS adjusted FROM adj")
 def dom09_adjusted_net(spark, d):
-    return permanence.adjusted_net(nets(spark, d), _schedule(spark, d)).select("year", r4("adjusted"))
+    return _adjusted(spark, d).select("year", r4("adjusted"))
 
 
 @query(f"WITH {SCHEDULE}, {ADJUSTED}, {BY} SELECT year, round(adjusted, 4) AS adjusted, released_by FROM due")
@@ -543,12 +563,41 @@ def dom11_damage(spark, d):
 
 @query(f"WITH {SCHEDULE}, {ADJUSTED}, {BY}, {COSTS}, {DAMAGE} SELECT d.year, round(CASE WHEN d.adjusted > 0 AND d.released_by IS NOT NULL THEN (d.adjusted * c.value - g.damage) / (d.adjusted * c.value) END, 4) AS ep, CASE WHEN d.adjusted <= 0 THEN 'nothing_sequestered' WHEN d.released_by IS NULL THEN 'never_released' ELSE 'ok' END AS status FROM due d LEFT JOIN dmg g ON g.year = d.year JOIN cost c ON c.year = d.year")
 def dom12_equivalent_permanence(spark, d):
-    given = spark.createDataFrame([(1990, 40.0), (2000, 55.0), (2010, 61.0), (2050, 100.0)], "year int, value double")
-    s = _schedule(spark, d)
-    return _equivalent(permanence.adjusted_net(nets(spark, d), s), s, given)
+    return permanence.equivalent_permanence(_adjusted(spark, d), _schedule(spark, d), _given(spark), HORIZON).select("year", r4("ep"), "status")
+
+
+# ---- filters and helpers over attributes, and stages
+
+
+@query("SELECT s_suppkey, s_name FROM supplier WHERE s_nationkey IN (3, 7, 11)")
+def flt07_listed(spark, d):
+    return filters.listed(table(spark, d, "supplier"), "s_nationkey", [3, 7, 11]).select("s_suppkey", "s_name")
+
+
+@query("SELECT s_suppkey, s_nationkey FROM supplier WHERE s_nationkey <> 3")
+def flt08_unlike(spark, d):
+    return filters.unlike(table(spark, d, "supplier"), "s_nationkey", 3).select("s_suppkey", "s_nationkey")
+
+
+@query("SELECT c.x, c.y, c.value AS luc, c.n AS elevation FROM classes c WHERE c.n % 3 = 0 AND c.n > 0")
+def dom04_match_table(spark, d):
+    c = classes(spark, d)
+    marks = grid.raster_sum(c.select("x", "y", F.when(F.col("n") % 3 == 0, 1).otherwise(0).alias("value")))
+    return stages.match_table({"luc": c, "elevation": c.select("x", "y", F.col("n").alias("value"))}, marks)
+
+
+@query("SELECT value AS luc, min(n) AS least, max(n) AS most, round(quantile_cont(n, 0.25), 4) AS q_25, round(quantile_cont(n, 0.5), 4) AS q_50, round(quantile_cont(n, 0.75), 4) AS q_75 FROM classes GROUP BY value")
+def agg15_summary(spark, d):
+    return filters.summary(classes(spark, d), "n", by=("value",)).select(F.col("value").alias("luc"), "least", "most", *[r4(f"q_{q}") for q in (25, 50, 75)])
 
 
-def _equivalent(adjusted: DataFrame, schedule: DataFrame, given: DataFrame) -> DataFrame:
-    costs = permanence.interpolate_cost(given, 1985, 2300)
-    released = permanence.release_year(adjusted, schedule)
-    return permanence.with_permanence(released, permanence.damage(schedule, costs, released), costs).select("year", r4("ep"), "status")
+@query("""WITH t AS (SELECT s_suppkey, s_acctbal / 100.0 AS cx, s_nationkey * 2.0 AS cy FROM supplier), p AS (SELECT c_custkey, c_acctbal / 100.0 AS x, c_nationkey * 2.0 + 0.25 AS y FROM customer)
+SELECT c_custkey, s_suppkey FROM p JOIN t ON abs(p.x - t.cx) + abs(p.y - t.cy) < 1.3 AND NOT (p.y - t.cy > 0 AND abs(p.x - t.cx) < (p.y - t.cy) * 0.5)""")
+def jon08_points_in_turned_shapes(spark, d):
+    """Squares on a corner, each with a wedge from its top corner's sides to its middle cut out."""
+    s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("polygon_id"), (F.col("s_acctbal") / 100.0).alias("cx"), (F.col("s_nationkey") * 2.0).alias("cy"))
+    # the wedge |x| < y / 2 meets the edge |x| + y = 1.3 at x = 1.3 / 3, y = 2.6 / 3
+    at = lambda dx, dy: F.struct((F.col("cx") + dx).alias("x"), (F.col("cy") + dy).alias("y"))
+    shape = s.select("polygon_id", F.array(at(0.0, -1.3), at(1.3, 0.0), at(1.3 / 3, 2.6 / 3), at(0.0, 0.0), at(-1.3 / 3, 2.6 / 3), at(-1.3, 0.0)).alias("ring"))
+    points = table(spark, d, "customer").select("c_custkey", (F.col("c_acctbal") / 100.0).alias("x"), (F.col("c_nationkey") * 2.0 + 0.25).alias("y"))
+    return shapes.points_in_polygons(points, shape, 3.0).select("c_custkey", F.col("polygon_id").alias("s_suppkey"))
