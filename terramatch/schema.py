@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Classes of land use and their numbers.
 class LandUse(IntEnum):
     UNDISTURBED = 1
     DEGRADED = 2

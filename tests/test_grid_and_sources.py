@@ -17,15 +17,22 @@ def one(spark, column):
     return spark.range(1).select(column.alias("v")).first().v
 
 
-@pytest.mark.parametrize("lat,lng,code", [(52.205276, 0.119167, 32631), (-52.205276, 0.119167, 32731), (6.152938, 38.202316, 32637), (4.710989, -74.072090, 32618)])
-def test_utm_codes(spark, lat, lng, code):
-    assert one(spark, geodesy.utm_epsg(F.lit(lat), F.lit(lng))) == code
+def test_utm_codes(spark):
+    """Each zone's meridian and both its borders, north and south, by the definition: zone 1 begins at 180 west."""
+    for zone in (1, 13, 30, 44, 60):
+        west = -180 + 6 * (zone - 1)
+        for lat, base in ((71.5, 32600), (0.0, 32600), (-0.001, 32700), (-33.9, 32700)):
+            assert [one(spark, geodesy.utm_epsg(F.lit(lat), F.lit(float(lng)))) - base for lng in (west, west + 3, west + 5.999)] == [zone] * 3
 
 
-@pytest.mark.parametrize("lat,ratio", [(0.0, 0.993), (38.0, 69 / 54.6), (60.0, 1.996)])
-def test_aspect_ratio(spark, lat, ratio):
-    for sign in (1, -1):
-        assert one(spark, geodesy.aspect_ratio(F.lit(sign * lat))) == pytest.approx(ratio, abs=1e-3)
+def test_aspect_ratio(spark):
+    """A degree of latitude over a degree of longitude, each measured along the ellipsoid in small steps."""
+    e2 = geodesy.ECCENTRICITY**2
+    place = lambda lat, lng: (lambda n: np.array([n * math.cos(lat) * math.cos(lng), n * math.cos(lat) * math.sin(lng), n * (1 - e2) * math.sin(lat)]))(1 / math.sqrt(1 - e2 * math.sin(lat) ** 2))
+    for lat in (-71.0, -23.5, 0.0, 12.25, 47.0):
+        r, h = math.radians(lat), 1e-5
+        ratio = np.linalg.norm(place(r + h, 0) - place(r - h, 0)) / np.linalg.norm(place(r, h) - place(r, -h))
+        assert one(spark, geodesy.aspect_ratio(F.lit(lat))) == pytest.approx(ratio, abs=1e-6)
 
 
 def test_projection_matches_known_points(spark):
@@ -54,11 +61,12 @@ def test_nan_lies_in_no_band(spark):
     assert not one(spark, keys.within(F.lit(float("nan")), F.lit(1.0), 5.0))
 
 
-@pytest.mark.parametrize("size,step,n", [(0.1, 0.2, 1), (0.2, 0.2, 1), (0.2, 0.1, 4), (0.4, 0.1, 16)])
-def test_chunks(spark, size, step, n):
-    box = spark.createDataFrame([(1, 10.0, 20.0, 10.0 + size, 20.0 + size)], "id int, west double, south double, east double, north double")
-    got = grid.chunk_boxes(box, step).toPandas()
-    assert len(got) == n and ((got.east - got.west) * (got.north - got.south)).sum() == pytest.approx(size * size)
+def test_chunks(spark):
+    for wide, high, step in ((0.35, 1.0, 0.5), (1.5, 0.75, 0.25), (2.0, 0.1, 0.7), (0.6, 0.6, 0.2)):
+        box = spark.createDataFrame([(1, -3.0, 20.0, -3.0 + wide, 20.0 + high)], "id int, west double, south double, east double, north double")
+        got = grid.chunk_boxes(box, step).toPandas()
+        assert len(got) == math.ceil(round(wide / step, 9)) * math.ceil(round(high / step, 9))
+        assert ((got.east - got.west) * (got.north - got.south)).sum() == pytest.approx(wide * high) and (got.east - got.west).max() <= step + 1e-9
 
 
 @pytest.fixture(scope="module")

@@ -12,48 +12,54 @@ def as_dict(df, key="year", value=None):
     return {r[key]: r[value] for r in df.collect()}
 
 
+ADD, LEAK = [2.0, 9.5, 13.0, 30.0, 31.5, 52.0, 60.25, 88.0, 91.0], [0.5, 1.0, 4.0, 4.5, 9.0, 9.5, 16.0, 21.0, 40.0]
+FIRST = 1995
+NET = {FIRST + i: (ADD[i] - LEAK[i]) - (ADD[i - 1] - LEAK[i - 1]) for i in range(1, len(ADD))}
+
+
 @pytest.fixture
-def short(spark):
-    return series(spark, [4.4, 5.5, 7.7]), series(spark, [3.3, 4.4, 5.5])
+def both(spark):
+    return series(spark, ADD, FIRST), series(spark, LEAK, FIRST)
+
+
+def test_a_schedule_may_end_before_all_is_released(spark):
+    """0.5 a year from 2003 on: 2 are released by 2006, 99 never are, and nothing takes no time."""
+    schedule = spark.createDataFrame([(y, f, 0.5 if f > 2002 else 0.0) for y in (2000, 2001, 2002) for f in range(2000, 2012)], "est_year int, for_year int, release double")
+    adjusted = spark.createDataFrame([(2000, 2.0), (2001, 99.0), (2002, -1.0)], "year int, adjusted double")
+    assert as_dict(p.release_year(adjusted, schedule), value="released_by") == {2000: 2006, 2001: None, 2002: 2002}
+
+
+def test_schedules_by_the_rule(spark, both):
+    net = p.net_sequestration(*both)
+    rate = {y: (NET[y] - NET[y - 5]) / 5 for y in NET if y - 5 in NET}
+    last, end, horizon = FIRST + len(ADD) - 1, FIRST + 4, FIRST + 20
+    got = {(r.est_year, r.for_year): r.release for r in p.release_schedule(net, "high", FIRST, last, end, horizon).collect()}
+    want = {(e, f): 0.0 if f <= end or e < FIRST + 6 else rate[e] for e in range(FIRST, last + 1) for f in range(FIRST, horizon + 1)}
+    assert len(rate) == 3 and got == pytest.approx(want)
+    owed = {y: sum(v for (e, f), v in want.items() if f == y and e < y) for y in NET}
+    adjusted = as_dict(p.adjusted_net(net, p.release_schedule(net, "high", FIRST, last, end, horizon)), value="adjusted")
+    assert adjusted == pytest.approx({y: NET[y] - owed[y] for y in NET}) and any(owed.values())
+    low = {(r.est_year, r.for_year): r.release for r in p.release_schedule(net, "low", last - 2, last, end, horizon).collect()}
+    assert low == pytest.approx({(e, f): rate[e] for e in range(last - 2, last + 1) for f in range(last - 2, horizon + 1)})
+    with pytest.raises(Exception, match="too short"):
+        p.release_schedule(net, "low", FIRST, last, end, horizon).collect()
+    with pytest.raises(ValueError):
+        p.release_schedule(net, "medium", FIRST, last, end, horizon)
 
 
-def test_net_sequestration(spark, short):
-    net = as_dict(p.net_sequestration(*short), value="net")
-    assert net[2013] == pytest.approx(0.0) and set(net) == {2013, 2014}
+def test_net_and_rates(spark, both):
+    net = p.net_sequestration(*both)
+    assert as_dict(net, value="net") == pytest.approx(NET)
+    assert p.at_year(net, FIRST + 3, "net").first()[0] == pytest.approx(NET[FIRST + 3])
     with pytest.raises(Exception, match="out of bounds"):
-        p.at_year(p.net_sequestration(*short), 2012, "net").collect()
+        p.at_year(net, FIRST, "net").collect()
+    for years in (1, 4, len(ADD)):
+        assert as_dict(p.release_rate(net, years), value="release") == pytest.approx({y: (NET[y] - NET[y - years]) / years for y in NET if y - years in NET})
 
 
-def test_series_of_other_years_are_an_error(spark, short):
+def test_series_of_other_years_are_an_error(spark, both):
     with pytest.raises(Exception, match="not of the same years"):
-        p.net_sequestration(short[0], series(spark, [1.0])).collect()
-
-
-def test_release_rate(spark, short):
-    rate = as_dict(p.release_rate(p.net_sequestration(*short), 1), value="release")
-    assert rate == {2014: pytest.approx(1.1)}
-    assert p.release_rate(p.net_sequestration(*short), 3).count() == 0
-
-
-def test_adjusted_net_takes_off_what_earlier_years_release(spark, short):
-    net = p.net_sequestration(*short)
-    ones = spark.createDataFrame([(2012, 2013, 1.0), (2012, 2014, 1.0), (2013, 2014, 1.0)], "est_year int, for_year int, release double")
-    got, plain = as_dict(p.adjusted_net(net, ones), value="adjusted"), as_dict(net, value="net")
-    assert got[2014] == pytest.approx(plain[2014] - 2) and got[2013] == pytest.approx(plain[2013] - 1)
-
-
-def test_schedule_of_a_low_risk_project(spark):
-    add, leak = series(spark, [800, 400, 200, 100, 50, 25, 12.5]), series(spark, [0.0] * 7)
-    got = p.release_schedule(p.net_sequestration(add, leak), "high", 2012, 2018, 2022, 2023).collect()
-    assert len(got) == 7 * 12
-    assert {(r.est_year, r.for_year): r.release for r in got if r.release} == {(2018, 2023): pytest.approx(77.5)}
-
-
-def test_schedule_of_a_high_risk_project_needs_a_long_series(spark, short):
-    with pytest.raises(Exception, match="too short"):
-        p.release_schedule(p.net_sequestration(*short), "low", 2012, 2014, 2022, 2023).collect()
-    with pytest.raises(ValueError):
-        p.release_schedule(p.net_sequestration(*short), "medium", 2012, 2014, 2022, 2023)
+        p.net_sequestration(both[0], series(spark, LEAK[1:], FIRST + 1)).collect()
 
 
 def test_interpolation_runs_on_at_both_ends(spark):
