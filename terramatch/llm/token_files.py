@@ -44,7 +44,7 @@ def write_tokens(docs: DataFrame, path: str, *, vocabulary: str, end_id: int = 2
     tie = F.xxhash64("text")
     sorted_rows = rows.repartitionByRange(F.col("id").asc_nulls_first(), tie.asc()).sortWithinPartitions(F.col("id").asc_nulls_first(), tie.asc())
     out = sorted_rows.mapInArrow(partial(_encoded, path=vocabulary, end_id=end_id), "block int, id long, start_in_block long, n_tokens long, ids array<int>")
-    out.write.option("compression", "zstd").option("orc.stripe.size", stripe_mb << 20).option("orc.row.index.stride", index_rows).option("orc.bloom.filter.columns", "id").option("orc.bloom.filter.fpp", 0.01).orc(path)
+    out.write.option("compression", "lz4").option("orc.stripe.size", stripe_mb << 20).option("orc.row.index.stride", index_rows).option("orc.bloom.filter.columns", "id").option("orc.bloom.filter.fpp", 0.01).orc(path)
 
 
 def read_tokens(spark: SparkSession, path: str, ids: list[int] | None = None) -> DataFrame:

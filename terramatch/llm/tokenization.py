@@ -24,7 +24,7 @@ from .common import WorkerTable
 #: A space with a character other than white space on both sides: a tokenizer that joins a space to the word after it cuts there.
 INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 #: Words, and parts of words, that a worker keeps in each of two generations.
-MOST_WORDS, MOST_PARTS = 250_000, 150_000
+MOST_WORDS, MOST_PARTS = 400_000, 50_000
 #: Longer words are not kept.
 LONGEST = 64
 #: Below this, all letters are such for the pre-tokenizer's Unicode tables as for Python's.
@@ -34,7 +34,7 @@ MARKS = frozenset(".,;:!?")
 SPACE, LINE_END, CONTROL, WIDE, MARK, PLAIN, OTHER = range(7)
 KINDS = np.full(256, OTHER, dtype=np.uint8)
 KINDS[:32] = CONTROL
-for _bytes, _kind in ((b" ", SPACE), (b"\n", LINE_END), (b"\xc2\xe1\xe2\xe3", WIDE), (b".,;:!?", MARK), (b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", PLAIN)):
+for _bytes, _kind in ((b" ", SPACE), (b"\n", LINE_END), (b"\xc2\xe1\xe2\xe3", WIDE), (b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", MARK), (b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", PLAIN)):
     KINDS[[*_bytes]] = _kind
 #: The first two bytes of white space beyond ASCII, and of other characters: U+0085, U+00A0, U+1680, U+2000 to U+207F, U+3000 to U+303F.
 WIDE_WHITE = [0xC285, 0xC2A0, 0xE19A, 0xE280, 0xE281, 0xE380]
@@ -186,15 +186,18 @@ class Encoder:
             data = np.frombuffer(data.tobytes().translate(FLAT_LOWER if self.lowers else FLAT), dtype=np.uint8)
         kinds = KINDS[data]
         odd = self.odd_texts(data, kinds, cuts) if self.kind else np.arange(n)
-        # where words start: at a space, at a line end and after it, at a mark between a letter and white space, and where texts do
+        # where words start: at a space, at a line end and after it, at a run of marks between a letter and white space, and where texts do
         starts = np.zeros(len(data) + 1, dtype=bool)
         breaks = starts[:-1]
         np.less_equal(kinds, LINE_END, out=breaks)
-        ends = np.ones(len(data), dtype=bool)  # whether white space or the end of a text comes next
-        ends[:-1] = breaks[1:]
-        ends[cuts[1:][cuts[1:] > 0] - 1] = True
-        marks = np.flatnonzero((kinds == MARK) & ends)
-        marks = marks[(marks > 0) & (kinds[marks - 1] == PLAIN)]
+        mark = kinds == MARK
+        marks = np.flatnonzero(mark[1:] & (kinds[:-1] == PLAIN)) + 1
+        closed = np.zeros(len(data) + 1, dtype=bool)  # white space, and the end of a text
+        closed[:-1] = breaks
+        closed[cuts] = True
+        stops = np.flatnonzero(closed[:-1] | ~mark) if len(marks) else marks  # where a run of marks ends before
+        after = np.append(stops, len(data))[np.searchsorted(stops, marks, side="right")]
+        marks = marks[closed[after] & ~closed[marks]]
         lines = np.flatnonzero(kinds == LINE_END)
         breaks[marks] = True
         starts[lines + 1] = True
