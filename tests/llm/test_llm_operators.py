@@ -135,7 +135,7 @@ def test_equal_rows_are_taken_as_far_as_they_fit(spark):
 def test_encoder_is_the_library(name, rows):
     plain, quick = Tokenizer.from_file(public_tokenizers.path(name)), tokenization.Encoder(public_tokenizers.path(name))
     assert quick.kind
-    odd = ["", " ", "  a  b", "a \n b", "\n", " x", "x ", "a\tb", "İx ΣΑΣ é é", "it's I'LL x's", "don't, 'tis", "a1b2", "ªº ǅ ǆ", "<|endoftext|> x", "a  \n\n  b c", "x.\nY z", "日本 語", "a​b", "\x1c a", "a\x85b \xa0 c", "ſ K ÅÉ", "Été. ÉTÉ, É", "été", "a.b,c!d", "... ,,", "ab,, ab.,"]
+    odd = ["", " ", "  a  b", "a \n b", "\n", " x", "x ", "a\tb", "İx ΣΑΣ é é", "it's I'LL x's", "don't, 'tis", "a1b2", "ªº ǅ ǆ", "<|endoftext|> x", "a  \n\n  b c", "x.\nY z", "日本 語", "a​b", "\x1c a", "a\x85b \xa0 c", "ſ K ÅÉ", "Été. ÉTÉ, É", "été", "a.b,c!d", "... ,,", "ab,, ab.,", "ab### ab,&&& x_ (y) z'. 'q' it's' é. é!! a\u00d7, 5%%% -", "end!!"]
     rng = random.Random(1)
     odd += ["".join(rng.choice("aB cé\n ,.!?'s 12\t Яб Ωσ  \u3000\xa0 \u0301<|endoftext|>x\0\x1c\r É") for _ in range(rng.randrange(40))) for _ in range(2000)]
     texts = odd + [r[1] for r in rows[:80]] + [LONG]
