@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import BIOMASS_FACTOR, CARBON_SHARE, CO2_PER_CARBON, LandUse
+from ..session import durable
 from .grid import uniform_3x3
+from .ranks import with_position
 
 
 def long_classes(pairs: DataFrame, iteration: Column | None = None) -> DataFrame:
@@ -79,12 +81,22 @@ def balance(pairs: DataFrame, features: list[str], by: str = "pair_id") -> DataF
     return wide.select(by, F.explode(rows).alias("r")).select(by, "r.*")
 
 
-def carbon_density(shots: DataFrame, classes: DataFrame) -> DataFrame:
-    """luc, density: the exact median above-ground biomass of shots (x, y, agbd) on pixels whose 3x3 cells agree, as carbon of all pools.
+def exact_medians(rows: DataFrame, group: str, value: str, tie: Column) -> DataFrame:
+    """group, median: exact, from the global order of (group, value): no task holds a group's values, whose middle one or two are found by their
+    positions. tie tells rows of one value apart, so that very many of them spread over tasks. Nulls don't count."""
+    placed = durable(with_position(rows.filter(F.col(value).isNotNull() & F.col(group).isNotNull()).select(group, value, tie.alias("_tie")), [group, value, "_tie"]), "positions")
+    sizes = placed.groupBy(group).agg(F.min("pos").alias("_first"), F.count("*").alias("_n"))
+    middle = placed.join(sizes, group).filter((2 * (F.col("pos") - F.col("_first")) >= F.col("_n") - 2) & (2 * (F.col("pos") - F.col("_first")) <= F.col("_n")))
+    low, high = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
+    inner = middle.filter((F.col("pos") - F.col("_first")).between(low, high))
+    return inner.groupBy(group).agg(F.avg(value).alias("median"))
+
 
-    The median buffers distinct values a class; a class's values are numbers of a sensor's resolution, so they are bounded."""
+def carbon_density(shots: DataFrame, classes: DataFrame) -> DataFrame:
+    """luc, density: the exact median above-ground biomass of shots (x, y, agbd) on pixels whose 3x3 cells agree, as carbon of all pools."""
     met = shots.join(uniform_3x3(classes).withColumnRenamed("value", "luc"), ["x", "y"])
-    return met.groupBy("luc").agg((F.median("agbd") * BIOMASS_FACTOR * CARBON_SHARE).alias("density"))
+    medians = exact_medians(met, "luc", "agbd", F.xxhash64("x", "y"))
+    return medians.select("luc", (F.col("median") * BIOMASS_FACTOR * CARBON_SHARE).alias("density"))
 
 
 def good_shots(shots: DataFrame, start: str = "2020-01-01", end: str = "2021-01-01") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -34,9 +35,12 @@ def ship(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; where it is unset, as in tests, a new one that is then set."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where it is unset, as in tests, a new one that is then set. On a cluster
+    an unset one is an error: a folder of one machine would not be seen by the others."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is not set: tables between steps need a folder that all machines share")
         found = "file://" + tempfile.mkdtemp(prefix="terramatch-shared-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")

@@ -149,3 +149,30 @@ def test_densities_read_all_rows(spark):
     assert outcomes.densities(rows)[:2] == [5.0, 7.0]
     with pytest.raises(ValueError, match="several"):
         outcomes.densities(spark.createDataFrame([(1, 1.0), (1, 2.0)], "`land use class` int, `carbon density` double"))
+
+
+def test_medians_are_exact_and_spread(spark):
+    rng = np.random.default_rng(8)
+    rows = [(g, float(v)) for g, n in (("a", 1), ("b", 2), ("c", 501), ("d", 500)) for v in rng.integers(0, 40, n) / 4] + [("e", 7.0)] * 300 + [("a", None), (None, 1.0)]
+    df = spark.createDataFrame(rows, "g string, v double").withColumn("n", F.monotonically_increasing_id())
+    got = {r.g: r.median for r in outcomes.exact_medians(df, "g", "v", F.xxhash64("n")).collect()}
+    assert got == {g: np.median([v for h, v in rows if h == g and v is not None]) for g in "abcde"}
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from terramatch import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return {}
+
+    class Other:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda *_: None)
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        session.shared_dir(Other())
