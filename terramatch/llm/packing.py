@@ -83,7 +83,8 @@ class Piece:
 class Packer:
     """Cuts documents into pieces and packs them into sequences of at most `tokens` ids, `segments` pieces and `loss` loss-bearing ids.
 
-    In plain documents every id bears loss. A piece is cut only to fill a sequence in which no whole piece fits any more, and only
+    In plain documents every id bears loss, so the demands of a piece are its length, one segment, and its length again: the dot product
+    then favours the longest piece that fits. pack_examples() has demands that differ. A piece is cut only to fill a sequence in which no whole piece fits any more, and only
     if `least_cut` ids or more are free. What a run of documents leaves for its last sequence waits for the next run; at the end it
     goes into sequences whose lengths are powers of two, which need no padding.
     """
@@ -192,7 +193,7 @@ def pack_documents(docs: DataFrame, *, vocabulary: str, end_id: int = 1, tokens:
     runs again over its file ranges gives the same ones.
 
     Defined results: a null text is the empty one and has the end id alone; a null id stays null; each row is a document, repeated
-    or not; a long document gives many pieces; an empty table gives no pieces. Further columns are left out.
+    or not; a long document gives many pieces; an empty table gives no pieces. Ids are whole numbers. Further columns are left out.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
     return rows.mapInArrow(partial(_packed, path=vocabulary, end_id=end_id, tokens=tokens, segments=segments, loss=loss), SCHEMA)
@@ -224,8 +225,11 @@ def _placed(batches: Iterator[pa.RecordBatch], limits: tuple[int, ...], block_ro
 def pack_examples(examples: DataFrame, *, id_col: Column | str, tokens_col: str, segments_col: str, loss_col: str, tokens: int = 2048, segments: int = 16, loss: int = 1024, block_rows: int = 20_000) -> DataFrame:
     """Instruction data, uncut: id, tokens, segments, loss, sequence_id, offset, a row an example.
 
-    All three limits hold in every sequence, but for an example that exceeds one by itself: it stands alone in its sequence.
-    Null demands count as 0. Each task packs its rows in runs of block_rows.
+    All three limits hold in every sequence, but for an example that exceeds one by itself: it stands alone in its sequence. Each task
+    packs its rows in runs of block_rows.
+
+    Defined results: null demands count as 0, and a null id stays null; each row is an example, repeated or not; an empty table gives an
+    empty one. Further columns are left out.
     """
     demand = lambda c, name: F.coalesce(F.col(c).cast("long"), F.lit(0)).alias(name)
     rows = examples.select((F.col(id_col) if isinstance(id_col, str) else id_col).cast("string").alias("id"), demand(tokens_col, "tokens"), demand(segments_col, "segments"), demand(loss_col, "loss"))

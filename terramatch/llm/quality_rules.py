@@ -54,6 +54,9 @@ def text_counts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     All within a row: three-word windows are hashed; only where a hash recurs are hashes sorted with their places, neighbours compared
     and the places of recurring windows merged.
+
+    Defined results: a null or empty text has counts of 0; null ids, languages and sources stay null; each row is counted by itself; an empty
+    table gives an empty one. Further columns are left out.
     """
     text = F.col("text")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(source_col).cast("string").alias("source"), text_of(text_col).alias("text"))
@@ -127,6 +130,9 @@ def mcd(rows: DataFrame, floors: dict[str, float], share: float = SHARE, steps:
     All is grouped aggregation with partial sums and sketches of bounded size, so a group that holds a third of all rows is no hot
     task; one number a step comes to the driver. The variance that the floors grant keeps a statistic that is constant in most rows
     from making the covariance singular.
+
+    Defined results: a group of one row, or of equal ones, has that row as its centre and the floors' variances; repeated rows count as
+    often as they come; no rows give no estimates.
     """
     names, least = list(floors), list(floors.values())
     d = len(names)

@@ -236,6 +236,32 @@ def test_examples_keep_to_all_limits(spark):
     assert len(sums) <= 1.1 * bound + 1
 
 
+def test_no_examples_no_sequences(spark):
+    df = spark.createDataFrame([], "id string, t int, s int, l int")
+    assert packing.pack_examples(df, id_col="id", tokens_col="t", segments_col="s", loss_col="l").count() == 0
+
+
+def test_stripes_without_an_id_are_not_read(spark):
+    """Of many stripes the Bloom filter and the statistics leave the ones that may hold the id: few rows reach Spark."""
+    docs = spark.range(40_000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("w "), 20).alias("text"))
+    path = common.new_path(spark, "tokens")
+    token_files.write_tokens(docs.coalesce(1), path, vocabulary=public_tokenizers.path("byte_bpe_50k.json"), stripe_mb=1, index_rows=1000)
+    some = token_files.read_tokens(spark, path, [123, 31_000])
+    assert sorted(r.id for r in some.select("id").collect()) == [123, 31_000]
+    scan = some.select("n_tokens")
+    scan.collect()
+    plan = scan._jdf.queryExecution().executedPlan()
+    rows = sum(x.metrics().apply("numOutputRows").value() for x in leaves(plan) if x.metrics().contains("numOutputRows"))
+    assert 2 <= rows <= 12_000
+
+
+def leaves(plan):
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        plan = plan.executedPlan()
+    found = plan.collectLeaves()
+    return [found.apply(i) for i in range(found.size())]
+
+
 # ---- near duplicates
 
 
@@ -484,6 +510,15 @@ def covariance(r, d):
     return np.array([[r[f"c_{max(i, j)}_{min(i, j)}"] for j in range(d)] for i in range(d)])
 
 
+def test_verdicts_of_rows_that_pass_the_base_rules(spark):
+    """A group of one row, equal rows, null groups, a very long text, and one that stands out."""
+    plain = lambda k: " ".join(f"wörd{k}x{i}" for i in range(80))
+    rows = [(1, plain(1), "en", "s"), (2, plain(2), None, None), (3, plain(3), "fr", None), (None, plain(4), "fr", "t")] + [(5, plain(5), "en", "s")] * 3 + [(10 + i, plain(i), "en", "u") for i in range(100)] + [(6, " ".join(f"#$%&{i}" for i in range(90)), "en", "u"), (7, " ".join(f"w{i}q" for i in range(200_000)), "en", "u")]
+    got = quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    assert len(got) == len(rows) and not any(r.base_failed for r in got) and all(r.kept is not None and math.isfinite(r.distance) for r in got)
+    assert [r.kept for r in got if r.id == 6] == [False] and all(r.kept for r in got if r.id not in (6, 7)) and len({r.distance for r in got if r.id == 5}) == 1
+
+
 def test_covariance_resists_outliers(spark):
     rng = np.random.default_rng(2)
     a = np.linalg.cholesky([[1, 0.6, 0], [0.6, 2, 0.3], [0, 0.3, 0.5]])

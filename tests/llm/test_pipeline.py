@@ -94,3 +94,27 @@ def test_it_is_registered_and_repeats(spark, stages):
     assert "pipeline" in __spark_entry__.queries() and {f"op{i}" for i in range(1, 11)} == {q.split("_")[0] for q in queries.QUERIES}
     run = corpus_pipeline.run(spark, DATA)
     assert sorted(map(tuple, run.select("doc_id", "length").collect())) == sorted(map(tuple, stages["pack"].select("doc_id", "length").collect()))
+
+
+def test_stages_on_odd_rows(spark, tmp_path):
+    """Nulls in every column, empty and long texts, repeated rows, further columns, and no rows at all."""
+    long = " ".join(f"word{i % 997}x{i % 13}," for i in range(20_000))
+    rows = [(1, "a b c d e f g", "en", "s1", 13)] * 2 + [(2, None, None, "s1", None), (3, "", "en", None, 0), (None, "a b c d e f g h i", "en", "s2", 1), (None, None, None, None, None), (4, long, "fr", "s2", len(long)), (2, "other text\nof id two", "en", "s1", 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", "1 AS row", "2 AS key", "3 AS size", "4 AS kept", "5 AS id", "6 AS node")
+    spark.createDataFrame([(1, 1, 0), (None, 0, 1), (9, None, None)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    for some in (df, df.limit(0)):
+        docs = common.durable(some, "odd")
+        for name, stage in corpus_pipeline.STAGES:
+            before, docs = docs, common.durable(stage(spark, docs, str(tmp_path)), name)
+            if name != "pack":
+                assert docs.columns == before.columns, name
+                assert name == "mix" or docs.count() <= before.count()
+            if some is not df:
+                assert docs.count() == 0, name
+
+
+def test_long_line_and_empty_texts_through_lines(spark):
+    shared = "x" * 50
+    df = spark.createDataFrame([(i, f"{shared}\n" * (i + 1)) for i in range(6)] + [(9, None)], "doc_id long, text string").selectExpr("*", "length(text) AS n_chars")
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.lines(spark, df, "").collect()}
+    assert got[9] == (None, None) and got[5][0] == f"{shared}\n" * 6 and all(got[i] == ("", 0) for i in range(5))
