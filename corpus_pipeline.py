@@ -12,30 +12,31 @@ from terramatch.session import ship
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier keeps."""
+    """Documents that the classifier keeps, as they are. A null text is judged as an empty one; rows without an id or a label are judged by
+    their text; an empty table stays empty."""
     return classifier.keep_good(docs, ship(spark).read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that many share; a null text stays null."""
+    """Documents without the lines that many share, each once; a null text stays null, and a text may become empty. n_chars is counted anew."""
     kept = line_dedup.dedup_lines(docs)
     new = {"text": F.when(F.col("text").isNotNull(), F.col("kept_text")), "n_chars": F.when(F.col("text").isNotNull(), F.length("kept_text")).otherwise(F.col("n_chars")).cast("long")}
     return kept.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates."""
+    """One document of each class of near duplicates, the one of least id, null last. Documents without words are one class."""
     ship(spark)
     return near_dup.drop_near_duplicates(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their source's target takes them."""
+    """Documents as often as their source's target takes them; a null source is one of its own. Where no source has words, none is taken."""
     return mixing.mixed_rows(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents, packed into sequences."""
+    """Pieces of documents, packed into sequences; a null or empty text is its end id. A document that was taken twice has its pieces twice."""
     ship(spark)
     return packing.pack_documents(docs, vocabulary=vocabulary("word_bpe_49k.json"), end_id=1).withColumnRenamed("id", "doc_id")
 
