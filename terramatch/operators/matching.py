@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 import numpy as np
@@ -72,6 +73,20 @@ def band_semi_join_binned(m: DataFrame, k: DataFrame, hard: list[str], widths: d
     return probe.alias("m").join(small(build).alias("k"), on, "left_semi").drop("_bin")
 
 
+def best_bin(rows: DataFrame, widths: dict[str, float]) -> str:
+    """The attribute whose bins, as wide as its band, split rows into most: by one pass of an approximate count. The first among equals."""
+    names = [c for c, w in widths.items() if w > 0]
+    found = rows.agg(*[F.approx_count_distinct(F.floor(F.col(c) / widths[c])).alias(c) for c in names]).first()
+    return max(names, key=lambda c: found[c])
+
+
+def halvings(share: float, attributes: int) -> int:
+    """How often an attribute's range is halved so that the cells of all attributes together hold about a share of the rows that match:
+    the least n with 1 - 2 ** -(n + 1) >= share ** (1 / attributes)."""
+    each = share ** (1 / attributes)
+    return max(0, math.ceil(round(math.log2(1 / (1 - each)), 9)) - 1)
+
+
 def sample(k: DataFrame, share: float, seed: int = 0, key: str = "id", order: Column | None = None) -> DataFrame:
     """An exact share of k without replacement, with `draw`, its place in a shuffled order. The order is one of hashes, so it depends on
     seed and key alone, or a given one; numbering runs in ranges."""
