@@ -51,9 +51,10 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def durable(df: DataFrame, name: str, partitions: int | None = None) -> DataFrame:
-    """df, written as a Parquet table in the shared folder and read back: lineage is cut, and a lost executor costs a reread."""
+    """df, written as a Parquet table in the shared folder and read back: lineage is cut, and a lost executor costs a reread. With partitions,
+    for tables of a few rows, rows are made in as many tasks as ever and only then gathered."""
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
-    (df.coalesce(partitions) if partitions else df).write.parquet(path)
+    (df.repartition(partitions) if partitions else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -61,6 +61,13 @@ def test_positions_are_those_of_a_sort(spark):
     assert got.pos.tolist() == list(range(1000))
 
 
+def test_running_sums_are_those_of_a_sort(spark):
+    v = np.random.default_rng(3).integers(0, 100, 500)
+    df = spark.createDataFrame([(int(i * 7919 % 1009), int(x)) for i, x in enumerate(v)], "k int, v long")
+    got = ranks.with_running(df.repartition(7), ["k"], {"a": "v", "b": "k"}).orderBy("k").toPandas()
+    assert got.a.tolist() == (got.v.cumsum() - got.v).tolist() and got.b.tolist() == (got.k.cumsum() - got.k).tolist() and got.columns.tolist() == ["k", "v", "a", "b"]
+
+
 def test_sample_is_exact_and_repeatable(spark):
     df = spark.range(995).toDF("id")
     a, b = (matching.sample(df, 0.1, s).orderBy("draw").toPandas() for s in (1, 1))
