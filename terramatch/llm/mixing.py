@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..operators.ranks import with_position, with_running
 from .common import durable, text_of, word_count
 
 #: Bounds of a document's quality weight. Their ratio bounds how uneven the key ranges below can get.
@@ -27,21 +28,20 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = (5, 2, 1), most_
     Sources by code point, null last, take the weights in turn. All sizes together are shared by weight; a target above
     most_epochs times its source's size stops there and the excess is shared again. The fixed point is found in closed form:
     sources ordered by cap over weight are capped from the front until the common level of the rest is below the next cap.
-    One row a source goes through the windows, never a document.
+
+    A document never goes through it, and where sources are many, as web domains are, no task orders them all: their places and
+    running sums come range by range. Three numbers come to the driver.
     """
-    by_name = W.orderBy(F.col("source").asc_nulls_last())
-    by_cap = W.orderBy("cap_level", F.col("source").asc_nulls_last())
     turn = F.array(*[F.lit(float(w)) for w in weights])
-    return (
-        sizes.withColumn("weight", F.element_at(turn, ((F.row_number().over(by_name) - 1) % len(weights) + 1).cast("int")))
-        .withColumn("cap", F.lit(float(most_epochs)) * F.col("source_size"))
-        .withColumn("cap_level", F.col("cap") / F.col("weight"))
-        .withColumn("left", F.sum("source_size").over(W.partitionBy()) - F.sum("cap").over(by_cap.rowsBetween(W.unboundedPreceding, 0)) + F.col("cap"))
-        .withColumn("level", F.col("left") / F.sum("weight").over(by_cap.rowsBetween(0, W.unboundedFollowing)))
-        .withColumn("level", F.max(F.when(F.col("cap_level") > F.col("level"), F.col("level"))).over(W.partitionBy()))
-        .withColumn("target", F.round(F.least("cap", F.coalesce(F.col("weight") * F.col("level"), F.col("cap"))), 6))
-        .drop("cap", "cap_level", "left", "level")
-    )
+    placed = with_position(sizes.withColumn("_none", F.col("source").isNull()), ["_none", "source"], "_place")
+    placed = placed.withColumn("weight", F.element_at(turn, (F.col("_place") % len(weights) + 1).cast("int")))
+    placed = placed.withColumn("cap", F.lit(float(most_epochs)) * F.col("source_size")).withColumn("cap_level", F.col("cap") / F.col("weight"))
+    run = durable(with_running(placed, ["cap_level", "_none", "source"], {"_caps": "cap", "_weights": "weight"}), "mix-sources")
+    everything, all_weights = run.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0.0))).first()
+    run = run.withColumn("level", (F.lit(float(everything)) - F.col("_caps")) / (F.lit(float(all_weights)) - F.col("_weights")))
+    level = run.agg(F.max(F.when(F.col("cap_level") > F.col("level"), F.col("level")))).first()[0]
+    target = F.least("cap", F.coalesce(F.col("weight") * F.lit(level).cast("double"), F.col("cap")))
+    return run.withColumn("target", F.round(target, 6)).drop("_none", "_place", "_caps", "_weights", "cap", "cap_level", "level")
 
 
 def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, quality: Column | None, seed: int, *more: Column) -> DataFrame:
