@@ -344,7 +344,7 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, *, id_col: str =
     goes out with the tasks.
 
     Defined results: a null text is the empty one; equal texts get equal scores; each row is scored by itself; a null id stays
-    null; an empty table gives an empty one. Further columns are left out.
+    null; an empty table gives an empty one. Ids are whole numbers. Further columns are left out.
     """
     classifier = fit(docs, labels, id_col=id_col, text_col=text_col, train_rows=train_rows)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"), F.xxhash64(text_of(text_col)).alias("text_hash"))

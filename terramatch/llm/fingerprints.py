@@ -193,7 +193,7 @@ def fingerprint_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     """id, fingerprint, a row a document, without a shuffle of texts.
 
     Defined results: a null text is the empty one, whose fingerprint is all zeros; equal texts have equal fingerprints; a null id
-    stays null; an empty table gives an empty one. Further columns are left out.
+    stays null; an empty table gives an empty one. Ids are whole numbers. Further columns are left out.
     """
     band = idf_band(docs, text_col)
     return docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text")).mapInArrow(partial(_printed, band=band), "id long, fingerprint string")

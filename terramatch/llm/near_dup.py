@@ -229,7 +229,7 @@ def jaccard_links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 
     Defined results: a null or empty text has no n-grams; such documents are copies of one another and link with nothing else.
     Rows of one id with different sets are documents of their own; the rows of a class with the smallest (id, text hash) are its keeper,
-    so equal rows are all of them keepers or none. A null id comes last among keepers. An empty table gives an empty one.
+    so equal rows are all of them keepers or none. A null id comes last among keepers. An empty table gives an empty one. Ids are whole numbers.
     """
     bands, rows = choose_bands(threshold, recall)
     text = text_of(text_col)

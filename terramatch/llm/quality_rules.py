@@ -174,7 +174,7 @@ def judge(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
     Scale: texts are read once and never shuffled; a narrow table of counts serves all steps of the estimate.
 
     Defined results: a null or empty text has counts of 0 and fails; a null language or source is one of its own; equal rows get equal
-    verdicts; an empty table gives an empty one. Further columns are left out.
+    verdicts; an empty table gives an empty one. Ids are whole numbers. Further columns are left out.
     """
     counts = durable(text_counts(docs, id_col=id_col, text_col=text_col, lang_col=lang_col, source_col=source_col).withColumn("base_failed", base_failed()), "text-counts")
     names, d = list(STATISTICS), len(STATISTICS)

@@ -134,7 +134,7 @@ def find_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     Scale: no shuffle; texts stream through an automaton of a dozen keywords, and the time for a text is proportional to its length.
 
     Defined results: a null or empty text has no spans; a null id stays null; each row is scanned by itself; an empty table gives
-    an empty one. Further columns are left out.
+    an empty one. Ids are whole numbers. Further columns are left out.
     """
     return docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text")).mapInArrow(_scanned, f"id long, spans {SPANS}")
 

@@ -38,7 +38,7 @@ def write_tokens(docs: DataFrame, path: str, *, vocabulary: str, end_id: int = 2
     Memory is bounded by an Arrow batch, and by the encoder's bounded table of words.
 
     Defined results: a null text is encoded as the empty one, so it has the end id alone; a null id comes first; rows of one id
-    stand together, equal rows each with their own ids; an empty table gives files without rows. Further columns are left out.
+    stand together, equal rows each with their own ids; an empty table gives files without rows. Ids are whole numbers. Further columns are left out.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
     tie = F.xxhash64("text")
