@@ -216,15 +216,20 @@ def fit_scorer(rows: list[tuple[int, np.ndarray]], target: np.ndarray, rounds: i
     if not rows:
         return Scorer(np.zeros(size), -1.0)
     weight = target / max(target.sum(), 1) + (1 - target) / max((1 - target).sum(), 1)
-    runs = []  # narrow types, and a few hundred texts at a time: the steps below make wide copies of a run
-    for at in range(0, len(rows), 256):
-        part = rows[at : at + 256]
-        value = np.concatenate([np.append(np.full(len(x) - OWN, 1 / np.sqrt(max(n, 1)), dtype=np.float32), np.ones(OWN, dtype=np.float32)) for n, x in part])
-        runs.append((slice(at, at + len(part)), np.concatenate([x for _, x in part]).astype(np.int32), np.repeat(np.arange(len(part), dtype=np.int32), [len(x) for _, x in part]), value))
+
+    def runs() -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
+        """A few hundred texts at a time, laid out anew in each round: all of them at once would take several times the rows' memory."""
+        for at in range(0, len(rows), 256):
+            part = rows[at : at + 256]
+            sizes = np.array([len(x) for _, x in part])
+            value = np.repeat(np.array([1 / np.sqrt(max(n, 1)) for n, _ in part], dtype=np.float32), sizes)
+            value[(np.cumsum(sizes)[:, None] - np.arange(1, OWN + 1)).ravel()] = 1.0
+            yield slice(at, at + len(part)), np.concatenate([x for _, x in part]), np.repeat(np.arange(len(part), dtype=np.int32), sizes), value
+
     weights, bias, m, v, mb, vb = np.zeros(size), 0.0, np.zeros(size), np.zeros(size), 0.0, 0.0
     for i in range(1, rounds + 1):
         g, gb = shrink * weights, 0.0
-        for those, flat, owner, value in runs:
+        for those, flat, owner, value in runs():
             p = _sigmoid(np.bincount(owner, weights=weights[flat] * value, minlength=those.stop - those.start) + bias)
             wrong = (p - target[those]) * weight[those]
             g += np.bincount(flat, weights=wrong[owner] * value, minlength=size)
