@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
-from . import classifier, fingerprints, line_dedup, mixing, near_dup, packing, pii, quality_rules, secrets, token_files
+from . import centroids, classifier, fingerprints, importance, line_dedup, mixing, near_dup, packing, pii, quality_rules, secrets, token_files, toxicity
 from .common import new_path
 
 
@@ -74,6 +74,18 @@ def op10_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.classify(documents(spark, sf_dir), labels).select(F.col("id").alias("doc_id"), "low_quality", "toxicity", "kept")
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.centroid_clusters(ship(spark).read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op2_line_dedup": op2_line_dedup,
@@ -85,9 +97,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_secrets": op9_secrets,
     "op10_classifier": op10_classifier,
+    "op11_toxicity": op11_toxicity,
+    "op12_centroids": op12_centroids,
+    "op13_importance": op13_importance,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_mix": mixing.ORACLE,
     "op2_line_dedup": line_dedup.ORACLE,
+    "op12_centroids": centroids.ORACLE,
 }
