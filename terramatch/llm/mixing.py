@@ -92,22 +92,23 @@ def mix_plan(keyed: DataFrame, weights: Sequence[float], most_epochs: float) ->
 
 def _with_copies(keyed: DataFrame, plan: DataFrame) -> DataFrame:
     """keyed with its source's plan and copies, the number of times that the mix takes a row."""
-    # the task that reads a row, before any join: the same whenever the table is read
-    met, one = _ranged(keyed.withColumn("task", F.spark_partition_id()), plan), F.struct("key", "id", "size")
+    met, one = _ranged(keyed, plan), F.struct("key", "id", "size")
     inside = F.coalesce(one <= F.col("last"), F.lit(False))
     selected = F.col("end_range").isNull() | (F.col("range") < F.col("end_range")) | ((F.col("range") == F.col("end_range")) & inside)
     # a budget of nothing selects nothing, also where no range exceeds it
     copies = F.col("epochs") + (selected & (F.col("rest") > 0)).cast("long")
     if plan.filter("split IS NOT NULL").isEmpty():
-        return met.withColumn("copies", copies).drop("task")
-    # of equal rows at the end of a budget the first ones are taken: numbered task by task, with the numbers of rows of the tasks before
+        return met.withColumn("copies", copies)
+    # of equal rows at the end of a budget the first ones are taken. They are written with the task that wrote them, which is a value from then on,
+    # however the files are cut when they are read; they are numbered task by task, after the rows of the tasks before
     equal = (F.col("range") == F.col("end_range")) & one.eqNullSafe(F.col("split.row"))
-    tied = met.filter(equal).withColumn("number", F.row_number().over(W.partitionBy("source", "task").orderBy("task")))
-    sizes = met.filter(equal).groupBy("source", "task").agg(F.count("*").alias("n"))
+    ties = durable(met.filter(equal).withColumn("task", F.spark_partition_id()), "mix-ties")
+    tied = ties.withColumn("number", F.row_number().over(W.partitionBy("source", "task").orderBy("task")))
+    sizes = ties.groupBy("source", "task").agg(F.count("*").alias("n"))
     sizes = sizes.select(F.col("source").alias("n_source"), F.col("task").alias("n_task"), (F.sum("n").over(W.partitionBy("source").orderBy("task").rowsBetween(W.unboundedPreceding, 0)) - F.col("n")).alias("n_before"))
-    tied = tied.join(durable(sizes, "mix-ties", 1), F.col("source").eqNullSafe(F.col("n_source")) & (F.col("task") == F.col("n_task")))
-    tied = tied.withColumn("copies", F.col("epochs") + (F.col("number") + F.col("n_before") <= F.col("split.fit")).cast("long")).drop("number", "n_source", "n_task", "n_before")
-    return met.filter(~F.coalesce(equal, F.lit(False))).withColumn("copies", copies).unionByName(tied).drop("task")
+    tied = tied.join(sizes, F.col("source").eqNullSafe(F.col("n_source")) & (F.col("task") == F.col("n_task")))
+    tied = tied.withColumn("copies", F.col("epochs") + (F.col("number") + F.col("n_before") <= F.col("split.fit")).cast("long")).drop("number", "task", "n_source", "n_task", "n_before")
+    return met.filter(~F.coalesce(equal, F.lit(False))).withColumn("copies", copies).unionByName(tied)
 
 
 def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", quality: Column | None = None, weights: Sequence[float] = (5, 2, 1), most_epochs: float = 3, seed: int = 20) -> DataFrame:

@@ -79,13 +79,28 @@ class Piece:
         return Piece(self.doc, self.start, self.ids[: 4 * n], self.doc_tokens), Piece(self.doc, self.start + n, self.ids[4 * n :], self.doc_tokens)
 
 
+def halved(members: list[Piece]) -> tuple[list[Piece], list[Piece]]:
+    """The front of some pieces up to the largest power of two, and what is left of them, the last one first."""
+    rest = members[::-1]
+    room, front = 1 << (sum(p.n for p in members).bit_length() - 1), []
+    while room:
+        piece = rest.pop()
+        if piece.n > room:
+            piece, later = piece.cut(room)
+            rest.append(later)
+        front.append(piece)
+        room -= piece.n
+    return front, rest
+
+
 @dataclass
 class Packer:
     """Cuts documents into pieces and packs them into sequences of at most `tokens` ids, `segments` pieces and `loss` loss-bearing ids.
 
     In plain documents every id bears loss, so the demands of a piece are its length, one segment, and its length again: the dot product
     then favours the longest piece that fits. pack_examples() has demands that differ. A piece is cut only to fill a sequence in which no whole piece fits any more, and only
-    if `least_cut` ids or more are free. What a run of documents leaves for its last sequence waits for the next run; at the end it
+    if `least_cut` ids or more are free. Where the segments run out first, the sequence ends at a power of two, which needs no padding, and what is over goes
+    into the next one. What a run of documents leaves for its last sequence waits for the next run; at the end it
     goes into sequences whose lengths are powers of two, which need no padding.
     """
 
@@ -110,26 +125,26 @@ class Packer:
         limits = np.array([self.tokens, self.segments, self.loss])
         n = np.array([p.n for p in pieces], dtype=np.int64)
         shelf, left = Shelf(np.stack([n, np.ones_like(n), n], axis=1), limits), len(pieces)
-        half: Piece | None = None  # the rest of a piece that was cut goes first into the next sequence
-        while left or half:
-            members, room = [], limits.copy()
-            while True:
-                if half:
-                    piece, half = half, None
+        first: list[Piece] = []  # what a sequence had to leave goes first into the next one
+        while left or first:
+            members, room, cut = [], limits.copy(), False
+            while not cut:
+                if first:
+                    piece = first.pop()
                 elif (i := shelf.take(room)) is not None:
                     piece, left = pieces[i], left - 1
                 elif room[0] >= self.least_cut and room[1] and room[2] >= self.least_cut and left:
-                    piece, half = pieces[shelf.pop(shelf.longest())].cut(int(min(room[0], room[2])))
-                    left -= 1
+                    piece, rest = pieces[shelf.pop(shelf.longest())].cut(int(min(room[0], room[2])))
+                    first, left, cut = [rest], left - 1, True
                 else:
                     break
                 members.append(piece)
                 room -= np.array([piece.n, 1, piece.n])
-                if half:
-                    break
-            if not left and not half and room[0] >= self.least_cut:
+            if not left and not first and room[0] >= self.least_cut:
                 self.waiting = members
                 return
+            if not room[1] and room[0] >= self.least_cut:
+                members, first = halved(members)
             yield from self.close(members)
 
     def close(self, members: list[Piece]) -> Iterator[tuple[Piece, int, int]]:
@@ -140,19 +155,11 @@ class Packer:
         self.first_sequence += 1
 
     def finish(self) -> Iterator[tuple[Piece, int, int]]:
-        rest, self.waiting = self.waiting[::-1], []
-        total = sum(p.n for p in rest)
-        while total:
-            room, members = 1 << (total.bit_length() - 1), []
-            total -= room
-            while room:
-                piece = rest.pop()
-                if piece.n > room:
-                    piece, later = piece.cut(room)
-                    rest.append(later)
-                members.append(piece)
-                room -= piece.n
-            yield from self.close(members)
+        rest, self.waiting = self.waiting, []
+        while rest:
+            front, left = halved(rest)
+            rest = left[::-1]
+            yield from self.close(front)
 
 
 SCHEMA = "id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
