@@ -15,9 +15,10 @@ FEMALE = "Mrs\\.?|Ms\\.?|Miss|Frau|Madame|Mademoiselle|Señora|Señorita|Г-жа
 NEUTRAL = "Dr\\.?|Prof\\.?"
 TITLE = f"(?:{MALE}|{FEMALE}|{NEUTRAL})"
 OCTET = "(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
-#: Types of entities in the order in which they are tried at a place.
+#: Types of entities in the order in which they are tried at a place. Repeated groups have an upper bound (a domain has 127 labels at most): the engine
+#: takes a frame of its stack for each turn of one.
 PATTERNS = {
-    "email": "(?<![\\p{L}0-9._%+-])[\\p{L}0-9._%+-]++@(?:[\\p{L}0-9-]+\\.)+\\p{L}{2,}",
+    "email": "(?<![\\p{L}0-9._%+-])[\\p{L}0-9._%+-]++@(?:[\\p{L}0-9-]++\\.){1,127}\\p{L}{2,}",
     "iban": "(?<![\\p{L}0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\\p{L}0-9])",
     "card": "(?<![\\p{L}0-9])(?:(?:[0-9]{4}[ -]?){3}[0-9]{4}|3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5})(?![\\p{L}0-9])",
     "phone": "(?<![\\p{L}0-9+])(?:\\+[0-9]{1,3}[ .-]?)?(?:\\([0-9]{2,4}\\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}|[0-9]{3}[ .-][0-9]{3,4}[ .-][0-9]{4}|(?<=\\+[0-9]{1,3}[ .-]?)[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){2,4})(?![\\p{L}0-9])",
@@ -70,7 +71,7 @@ def _name(bits: Column, script: str, gender: Column, length: Column) -> Column:
 
 def _drawn(key: str, kind: Column, norm: Column, gender: Column, turn: int) -> tuple[Column, ...]:
     """A candidate in the norm's form. Digits become digits and letters become letters of their script; a card keeps its first digit,
-    a phone number what precedes its last ten digits, an account number its country, an e-mail address its last label. After
+    a phone number what precedes its last ten digits, an account number its country (and right check digits, where they were), an e-mail address its last label. After
     SAME_LENGTH rounds e-mail addresses get further letters in front and numbers further digits at their end, so a form whose
     candidates are all taken has ten times as many in the next round."""
     seed = F.concat_ws("\x1f", F.lit(key), kind, norm, F.lit(str(turn)))
@@ -89,15 +90,19 @@ def _drawn(key: str, kind: Column, norm: Column, gender: Column, turn: int) -> t
     digits = lambda x: F.reverse(F.filter(F.split(x, ""), lambda c: c != ""))
     luhn = lambda x: F.aggregate(F.transform(digits(x), lambda c, i: F.when(i % 2 == 0, c.cast("int")).otherwise(2 * c.cast("int") - 9 * (c.cast("int") > 4).cast("int"))), F.lit(0), lambda a, b: a + b) % 10
     head = F.expr("substring(spelt, 1, length(spelt) - 1)")
+    # and so are the two check digits of an account number that passes its test
+    remainder = lambda x: F.aggregate(F.filter(F.split(x, ""), lambda c: c != ""), F.lit(0), lambda a, c: F.when(F.rlike(c, F.lit("[0-9]")), (a * 10 + F.conv(c, 36, 10).cast("int")) % 97).otherwise((a * 100 + F.conv(c, 36, 10).cast("int")) % 97))
+    country, account = F.substring("spelt", 1, 2), F.expr("substring(spelt, 5)")
+    iban = F.when(F.col("mod97") == 1, F.concat(country, F.lpad((98 - remainder(F.concat(account, country, F.lit("00")))).cast("string"), 2, "0"), account)).otherwise(F.col("spelt"))
     card = F.when(F.col("luhn") == 0, F.concat(head, ((10 - luhn(F.concat(head, F.lit("0")))) % 10).cast("string"))).otherwise(F.col("spelt"))
-    return spelt, octets, name, card, luhn(norm)
+    return spelt, octets, name, card, iban, luhn(norm), remainder(F.concat(F.expr("substring(norm, 5)"), F.substring("norm", 1, 4)))
 
 
 def _candidates(left: DataFrame, key: str, turn: int) -> DataFrame:
     kind = F.col("kind")
-    spelt, octets, name, card, luhn = _drawn(key, kind, F.col("norm"), F.col("gender"), turn)
-    drawn = left.withColumn("spelt", F.when(kind.isin("ip", "person"), F.lit("")).otherwise(spelt)).withColumn("luhn", F.when(kind == "card", luhn))
-    return drawn.withColumn("surrogate", F.when(kind == "ip", octets).when(kind == "person", name).when(kind == "card", card).otherwise(F.col("spelt"))).drop("spelt", "luhn")
+    spelt, octets, name, card, iban, luhn, mod97 = _drawn(key, kind, F.col("norm"), F.col("gender"), turn)
+    drawn = left.withColumn("spelt", F.when(kind.isin("ip", "person"), F.lit("")).otherwise(spelt)).withColumns({"luhn": F.when(kind == "card", luhn), "mod97": F.when(kind == "iban", mod97)})
+    return drawn.withColumn("surrogate", F.when(kind == "ip", octets).when(kind == "person", name).when(kind == "card", card).when(kind == "iban", iban).otherwise(F.col("spelt"))).drop("spelt", "luhn", "mod97")
 
 
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
@@ -156,16 +161,35 @@ def _pieces(text: Column) -> Column:
     return F.when(F.contains(text, F.lit(CUT)), by_parts).otherwise(marked)
 
 
-def _with_names(pieces: Column) -> Column:
-    """pieces, also cut at the words of the text's own persons wherever else they stand: who has once been named with a title is
-    replaced without one too."""
-    persons = F.filter(pieces, lambda x, i: (i % 2 == 1) & F.rlike(x, F.lit(f"^{TITLE} ")))
-    words = F.array_distinct(F.flatten(F.transform(persons, lambda x: F.split(F.regexp_replace(x, f"^{TITLE} ", ""), "[ -]"))))
-    name = F.concat(F.lit("(?<!\\p{L})("), F.array_join(F.filter(words, lambda w: F.length(w) > 1), "|"), F.lit(")(?!\\p{L})"))
-    again = F.array_join(F.transform(pieces, lambda x, i: F.when(i % 2 == 0, F.regexp_replace(x, name, F.lit(f"{CUT}$1{CUT}"))).otherwise(x)), CUT)
-    # a text that holds the mark itself is left with its titled names
-    free = ~F.exists(pieces, lambda x: F.contains(x, F.lit(CUT)))
-    return F.when(free & F.exists(words, lambda w: F.length(w) > 1), F.split(again, CUT, -1)).otherwise(pieces)
+#: A capitalised word, as names are.
+NAME = "\\p{Lu}\\p{Ll}+(?!\\p{L})"
+
+
+def _titled(piece: Column) -> Column:
+    return F.rlike(piece, F.lit(f"^{TITLE} "))
+
+
+def _with_names(hits: DataFrame) -> DataFrame:
+    """hits (key, pieces, ...) with pieces also cut at the words of the text's own persons wherever else they stand: who has once been named with a
+    title is replaced without one too.
+
+    Only texts with a titled person take part. Their other pieces are cut before each capitalised word, these words meet the text's names in a join, and
+    the pieces are put together again with marks: work and memory grow with a text and its names, not with their product. A text that holds the
+    mark itself is left with its titled names."""
+    some = F.exists("pieces", lambda x: _titled(x)) & ~F.exists("pieces", lambda x: F.contains(x, F.lit(CUT)))
+    of_texts = durable(hits.filter(some).select("key", "pieces").dropDuplicates(["key"]), "pii-persons").select("key", F.posexplode("pieces").alias("at", "piece"))
+    names = of_texts.filter((F.col("at") % 2 == 1) & _titled(F.col("piece")))
+    names = names.select("key", F.explode(F.split(F.regexp_replace("piece", f"^{TITLE} ", ""), "[ -]")).alias("name")).filter(F.length("name") > 1).distinct()
+    chunks = of_texts.filter("at % 2 = 0").select("key", "at", F.posexplode(F.split("piece", f"(?<!\\p{{L}})(?={NAME})")).alias("n", "chunk"))
+    chunks = chunks.withColumn("word", F.regexp_extract("chunk", f"^{NAME}", 0))
+    marked = F.when(F.col("name").isNotNull(), F.concat(F.lit(CUT), "word", F.lit(CUT), F.expr("substring(chunk, length(word) + 1)"))).otherwise(F.col("chunk"))
+    together = lambda at, what: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(at, what))), lambda x: x[what]), "")
+    met = chunks.join(names.select(F.col("key").alias("of"), "name"), (F.col("key") == F.col("of")) & (F.col("word") == F.col("name")), "left")
+    even = met.withColumn("marked", marked).groupBy("key", "at").agg(together("n", "marked").alias("piece"))
+    odd = of_texts.filter("at % 2 = 1").select("key", "at", F.concat(F.lit(CUT), "piece", F.lit(CUT)).alias("piece"))
+    cut = even.unionByName(odd).groupBy("key").agg(F.split(together("at", "piece"), CUT, -1).alias("cut"))
+    again = durable(hits.filter(some).join(cut, "key").withColumn("pieces", F.col("cut")).drop("cut"), "pii-named")
+    return hits.filter(~some).unionByName(again.select(*hits.columns))
 
 
 def replace_pii(docs: DataFrame, *, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -183,13 +207,16 @@ def replace_pii(docs: DataFrame, *, key: str, id_col: str = "doc_id", text_col:
     Scale: rows are written once with what was found in them; texts without an entity then pass by and never move. Entities are made
     distinct before they draw. Texts with entities meet their replacements, in order of place, in one join.
 
+    An e-mail address has at most 127 labels after its sign; of a longer one the front counts. No expression repeats a group without bound, so long texts
+    take time in proportion to their length.
+
     Defined results: a null text stays null and an empty one empty, both with 0 entities; equal texts become equal texts; null ids and
     repeated rows make no difference; an empty table gives an empty one.
     """
     text = text_of(text_col)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.when(F.rlike(text, F.lit(HINT)), _pieces(text)).alias("pieces"))
     rows = durable(rows.withColumn("pieces", F.when(F.size("pieces") > 1, F.col("pieces"))), "pii-found")
-    hits = rows.filter("pieces IS NOT NULL").withColumn("pieces", _with_names(F.col("pieces"))).withColumn("key", row_key(F.array_join("pieces", "")))
+    hits = _with_names(rows.filter("pieces IS NOT NULL").withColumn("key", row_key(F.array_join("pieces", ""))))
     places = hits.select("key", "pieces").dropDuplicates(["key"]).select("key", F.posexplode("pieces").alias("at", "entity")).filter("at % 2 = 1")
     # a person's words; any other entity is one word
     words = places.withColumn("kind", entity_type(F.col("entity"))).withColumn("title", F.when(F.col("kind") == "person", F.regexp_extract("entity", f"^{TITLE} ", 0)).otherwise(F.lit("")))
