@@ -57,19 +57,24 @@ def band_semi_join(m: DataFrame, k: DataFrame, hard: list[str], widths: dict[str
     return m.alias("m").join(small(build).alias("k"), on, "left_semi")
 
 
+def bins_of(value: Column, width: float) -> Column:
+    """The bins, as wide as a band, that the band of a value meets: from that of its lower end to that of its upper one. Division and floor keep order, so a
+    value within the band, however it is rounded, is in one of them."""
+    return F.sequence(F.floor((value - width) / width), F.floor((value + width) / width))
+
+
 def band_semi_join_binned(m: DataFrame, k: DataFrame, hard: list[str], widths: dict[str, float], by: str) -> DataFrame:
     """The same rows, with a bin of attribute `by`, as wide as its band, in the join's key: a probe meets a bin and not its whole hard group.
 
-    k goes to its own bin and to both neighbours. That splits a hot hard group by bins on both sides, and where both are shuffled,
+    k goes to all bins from its band's lower end to its upper one. That splits a hot hard group by bins on both sides, and where both are shuffled,
     adaptive execution splits what is still skewed.
     """
     width = widths[by]
     if width <= 0:
         raise ValueError("bins need a positive absolute width")
-    bin_of = lambda c: F.floor(c / width)
-    build = k.select(*hard, *widths).distinct().withColumn("_bin", F.explode(F.array(*[bin_of(F.col(by)) + i for i in (-1, 0, 1)])))
+    build = k.select(*hard, *widths).distinct().withColumn("_bin", F.explode(bins_of(F.col(by), width)))
     on = reduce(lambda a, b: a & b, [F.col(f"m.{c}") == F.col(f"k.{c}") for c in [*hard, "_bin"]], band_condition("m", "k", widths))
-    probe = m.withColumn("_bin", bin_of(F.col(by)))
+    probe = m.withColumn("_bin", F.floor(F.col(by) / width))
     return probe.alias("m").join(small(build).alias("k"), on, "left_semi").drop("_bin")
 
 
@@ -134,7 +139,7 @@ def candidate_pairs(k: DataFrame, m: DataFrame, hard: list[str], widths: dict[st
         past = F.when(b > n, F.sequence(F.floor(F.greatest(a - n, F.lit(0)) / block), F.floor((b - n - 1) / block))).otherwise(F.array().cast("array<long>"))
         seeking = left.withColumn("_block", F.explode(F.array_union(here, past)))
         if by:
-            seeking = seeking.withColumn("_bin", F.explode(F.array(*[F.floor(F.col(by) / widths[by]) + i for i in (-1, 0, 1)])))
+            seeking = seeking.withColumn("_bin", F.explode(bins_of(F.col(by), widths[by])))
         keys = [*hard, "_block", *(["_bin"] if by else [])]
         on = reduce(lambda x, y: x & y, [F.col(f"m.{c}") == F.col(f"k.{c}") for c in keys], band_condition("m", "k", widths))
         met = m.withColumn("_block", F.floor(F.col("pos") / block)).alias("m").join(small(seeking).alias("k"), on)

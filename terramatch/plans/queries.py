@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geodesy, keys
-from ..operators import filters, grid, matching, outcomes, permanence, ranks, shapes
+from ..operators import boxes, filters, grid, matching, outcomes, permanence, ranks, shapes
 from ..schema import stored_years
 from ..session import durable, ship
 from ..sources import readers, writers
@@ -163,6 +163,27 @@ def jon04_relative_band(spark, d):
     return matching.band_semi_join(mpx(spark, d), kpx(spark, d), ["h1", "h2"], {"f1": -0.01, "f2": -0.02})
 
 
+NINE = range(9)
+
+
+def _nine(spark, d):
+    return table(spark, d, "embeddings").select("vec_id", (F.col("label") % 2).alias("side"), "label", *[F.get("embedding", i).cast("double").alias(f"v{i}") for i in NINE])
+
+
+NINE_SQL = "nine AS (SELECT vec_id, label % 2 AS side, label, " + ", ".join(f"embedding[{i + 1}]::DOUBLE AS v{i}" for i in NINE) + " FROM embeddings)"
+
+
+@query(f"WITH {NINE_SQL} SELECT vec_id, label FROM nine m WHERE label > 4 AND EXISTS (SELECT 1 FROM nine k WHERE k.label <= 4 AND k.side = m.side AND " + " AND ".join(f"m.v{i} BETWEEN k.v{i} - 0.15 AND k.v{i} + 0.15" for i in NINE) + ")")
+def jon03_kd_semi_join(spark, d):
+    rows = durable(_nine(spark, d), "nine")
+    return boxes.kd_semi_join(rows.filter("label > 4"), rows.filter("label <= 4"), ["side"], {f"v{i}": 0.15 for i in NINE}).select("vec_id", "label")
+
+
+@query(SEMI)
+def jon03_kd_two_attributes(spark, d):
+    return boxes.kd_semi_join(mpx(spark, d), kpx(spark, d), ["h1", "h2"], WIDTHS)
+
+
 def _candidates(spark, d):
     # starts are given by the key, so that SQL can state them
     m = durable(ranks.with_position(mpx(spark, d), ["id"]), "m")

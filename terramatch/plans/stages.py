@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geodesy
-from ..operators import filters, grid, matching, outcomes, permanence, ranks, shapes
+from ..operators import boxes, filters, grid, matching, outcomes, permanence, ranks, shapes
 from ..schema import TOLERANCES, hard_columns, stored_years
 from ..session import durable
 
@@ -54,8 +54,8 @@ def leakage_zone(pixels: DataFrame, project: DataFrame, origin: tuple[float, flo
 
 
 def potential_matches(pixels: DataFrame, k: DataFrame, start: int, tolerances: dict[str, float] = TOLERANCES) -> DataFrame:
-    """Pixels that match at least one treated one. Elevation is binned: of the features it splits a hard group best."""
-    return matching.band_semi_join_binned(pixels, k, hard_columns(start), tolerances, by="elevation")
+    """Pixels that match at least one treated one, by cells in all features."""
+    return boxes.kd_semi_join(pixels, k, hard_columns(start), tolerances)
 
 
 def match_all(k: DataFrame, m: DataFrame, start: int, end: int, master_seed: int, repetitions: int = matching.REPETITIONS, tolerances: dict[str, float] = TOLERANCES, share: float = matching.SAMPLE_SHARE, required: int = matching.REQUIRED) -> tuple[DataFrame, DataFrame]:
