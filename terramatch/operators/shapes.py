@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -49,8 +50,10 @@ def shoelace(ring: Column) -> Column:
 
 
 def centroid(ring: Column) -> tuple[Column, Column]:
-    at = lambda c: F.aggregate(edges(ring), F.lit(0.0), lambda a, e: a + (e[f"{c}0"] + e[f"{c}1"]) * (e["x0"] * e["y1"] - e["x1"] * e["y0"])) / (6.0 * shoelace(ring))
-    return at("x"), at("y")
+    """Of a ring without area, as of points on a line, the mean of its points; of one without points, null."""
+    area, mean = shoelace(ring), lambda c: F.aggregate(ring, F.lit(0.0), lambda a, p: a + p[c]) / F.nullif(F.size(ring).cast("double"), F.lit(0.0))
+    at = lambda c: F.aggregate(edges(ring), F.lit(0.0), lambda a, e: a + (e[f"{c}0"] + e[f"{c}1"]) * (e["x0"] * e["y1"] - e["x1"] * e["y0"])) / F.nullif(6.0 * area, F.lit(0.0))
+    return F.coalesce(at("x"), mean("x")), F.coalesce(at("y"), mean("y"))
 
 
 def to_utm(ring: Column, zone: Column, south: Column) -> Column:
@@ -65,7 +68,7 @@ def to_utm(ring: Column, zone: Column, south: Column) -> Column:
 def modal_zone(polygons: DataFrame) -> DataFrame:
     """epsg: the code that most polygons' centroids lie in, the smallest among equals. One row."""
     x, y = centroid(F.col("ring"))
-    counts = polygons.select(utm_epsg(y, x).alias("epsg")).groupBy("epsg").count()
+    counts = polygons.select(x.alias("x"), y.alias("y")).filter("x IS NOT NULL").select(utm_epsg(F.col("y"), F.col("x")).alias("epsg")).groupBy("epsg").count()
     return counts.orderBy(F.desc("count"), "epsg").limit(1).select("epsg")
 
 
@@ -157,16 +160,39 @@ def from_utm(ring: Column, zone: Column, south: Column) -> Column:
     return F.transform(ring, project)
 
 
+def capsule(e: Column, radius: float, corners: int = 32) -> Column:
+    """The ring of all points within a radius of an edge: half a circle around either end, counter-clockwise."""
+    half = corners // 2
+    angle = F.atan2(e["y1"] - e["y0"], e["x1"] - e["x0"])
+
+    def arc(x: Column, y: Column, first: Column) -> Column:
+        at = lambda i: first + i * (math.pi / half)
+        return F.transform(F.sequence(F.lit(0), F.lit(half)), lambda i: F.struct((x + radius * F.cos(at(i))).alias("x"), (y + radius * F.sin(at(i))).alias("y")))
+
+    return F.concat(arc(e["x1"], e["y1"], angle - math.pi / 2), arc(e["x0"], e["y0"], angle + math.pi / 2))
+
+
+def projected(polygons: DataFrame, zone: Column, south: Column, to: Callable[[Column, Column, Column], Column] = to_utm) -> DataFrame:
+    """polygons with rings and holes projected."""
+    return polygons.withColumns({"ring": to(F.col("ring"), zone, south)} | {c: F.transform(c, lambda h: to(h, zone, south)) for c in holes_of(polygons)})
+
+
+def parts_in_metres(polygons: DataFrame, metres: float, corners: int = 32) -> DataFrame:
+    """polygon_id, part, ring, holes of polygons in metres: a polygon as part 0, and the capsule of each of its edges, those of holes included. Their union
+    is the polygon's surroundings of so many metres."""
+    holes = F.col("holes") if holes_of(polygons) else F.expr("cast(array() as array<array<struct<x: double, y: double>>>)")
+    sides = polygons.select("polygon_id", F.posexplode(all_edges(F.col("ring"), *[F.col(c) for c in holes_of(polygons)])).alias("part", "e"))
+    none = F.expr("cast(array() as array<array<struct<x: double, y: double>>>)")
+    around = sides.select("polygon_id", (F.col("part") + 1).alias("part"), capsule(F.col("e"), metres, corners).alias("ring"), none.alias("holes"))
+    return polygons.select("polygon_id", F.lit(0).alias("part"), "ring", F.coalesce(holes, none).alias("holes")).unionByName(around)
+
+
 def buffer_parts(polygons: DataFrame, metres: float, corners: int = 32) -> DataFrame:
-    """polygon_id, part, ring: shapes in degrees whose union is a polygon's surroundings of so many metres, the polygon included: the polygon, for each
-    edge the convex hull of a circle at either end. Distances are those of the modal zone of all polygons; a circle has `corners`
-    corners and lies inside the true one by radius * (1 - cos(pi / corners)) at most. A point is within the distance if any part contains it."""
+    """polygon_id, part, ring, holes: shapes in degrees whose union is a polygon's surroundings of so many metres, the polygon included; overlay.buffer() makes
+    one shape of them. Distances are those of the modal zone of all polygons; a circle has `corners` corners and lies inside the true one by
+    radius * (1 - cos(pi / corners)) at most. A point is within the distance if any part contains it."""
     zone, south = zone_of(polygons)
-    circle = [(metres * math.cos(2 * math.pi * i / corners), metres * math.sin(2 * math.pi * i / corners)) for i in range(corners)]
-    around = lambda x, y: F.array(*[F.struct((x + dx).alias("x"), (y + dy).alias("y")) for dx, dy in circle])
-    sides = polygons.select("polygon_id", to_utm(F.col("ring"), zone, south).alias("ring")).select("polygon_id", F.posexplode(edges(F.col("ring"))).alias("part", "e"))
-    capsules = sides.select("polygon_id", (F.col("part") + 1).alias("part"), convex_hull(F.concat(around(F.col("e.x0"), F.col("e.y0")), around(F.col("e.x1"), F.col("e.y1")))).alias("ring"))
-    return polygons.select("polygon_id", F.lit(0).alias("part"), "ring").unionByName(capsules.select("polygon_id", "part", from_utm(F.col("ring"), zone, south).alias("ring")))
+    return projected(parts_in_metres(projected(polygons, zone, south), metres, corners), zone, south, from_utm)
 
 
 def points_within_metres(points: DataFrame, polygons: DataFrame, metres: float, size: float = 1.0) -> DataFrame:
@@ -177,15 +203,17 @@ def points_within_metres(points: DataFrame, polygons: DataFrame, metres: float,
     around it: an equi-join, after which the exact distance to the piece decides."""
     zone, south = zone_of(polygons)
     row = F.struct(*[F.col(c) for c in points.columns])
-    projected = polygons.select("polygon_id", to_utm(F.col("ring"), zone, south).alias("ring"), *[F.transform(c, lambda h: to_utm(h, zone, south)).alias(c) for c in holes_of(polygons)])
-    sides = durable(projected, "projected").select("polygon_id", F.explode(all_edges(F.col("ring"), *[F.col(c) for c in holes_of(polygons)])).alias("e")).select("polygon_id", "e.*")
+    flat = durable(projected(polygons.select("polygon_id", "ring", *holes_of(polygons)), zone, south), "projected")
+    sides = flat.select("polygon_id", F.explode(all_edges(F.col("ring"), *[F.col(c) for c in holes_of(polygons)])).alias("e")).select("polygon_id", "e.*")
     dx, dy = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
     n = F.greatest(F.ceil(F.sqrt(dx * dx + dy * dy) / metres), F.lit(1)).cast("int")
     cut = sides.withColumn("n", n).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     at = lambda c, k: F.col(f"{c}0") + (F.col(f"{c}1") - F.col(f"{c}0")) * (F.col("i") + k) / F.col("n")
     pieces = cut.select("polygon_id", at("x", 0).alias("ax"), at("y", 0).alias("ay"), at("x", 1).alias("bx"), at("y", 1).alias("by"))
     cell = lambda v: F.floor(v / metres)
-    span = lambda a, b: F.sequence(cell(F.least(a, b)) - 1, cell(F.greatest(a, b)) + 1)
+    # a little over the distance, which rounding may have made of it
+    reach = metres * (1 + 1e-9)
+    span = lambda a, b: F.sequence(cell(F.least(a, b) - reach), cell(F.greatest(a, b) + reach))
     pieces = pieces.withColumn("cx", F.explode(span(F.col("ax"), F.col("bx")))).withColumn("cy", F.explode(span(F.col("ay"), F.col("by"))))
     east, north = utm_forward(F.col("y"), F.col("x"), zone, south)
     placed = points.select(row.alias("row"), east.alias("px"), north.alias("py")).withColumn("cx", cell(F.col("px"))).withColumn("cy", cell(F.col("py")))
@@ -198,11 +226,26 @@ def points_within_metres(points: DataFrame, polygons: DataFrame, metres: float,
 
 
 def spatial_join(a: DataFrame, b: DataFrame, size: float = 1.0) -> DataFrame:
-    """a_id, b_id of polygons (polygon_id, ring) that intersect: candidates by coarse cells, made distinct, then the exact test."""
-    left = cells_of(a.select(F.col("polygon_id").alias("a_id"), "ring", *[F.col(c).alias("a_holes") for c in holes_of(a)]), size).withColumnRenamed("ring", "a_ring")
-    right = small(cells_of(b.select(F.col("polygon_id").alias("b_id"), "ring", *[F.col(c).alias("b_holes") for c in holes_of(b)]), size).withColumnRenamed("ring", "b_ring"))
-    met = left.join(right, ["cx", "cy"]).dropDuplicates(["a_id", "b_id"])
-    return met.filter(intersects(F.col("a_ring"), F.col("b_ring"), *[F.col(f"{side}_holes") if holes_of(df) else None for side, df in (("a", a), ("b", b))])).select("a_id", "b_id")
+    """a_id, b_id of polygons (polygon_id, ring, holes if any) that intersect.
+
+    Ids meet on coarse cells and pairs are made distinct; then edges meet on the cells that both cross, for pairs whose edges do; what is left is a ring within
+    another one, which its first point tells. No ring is sent to its cells or compared whole with another."""
+    corners = lambda df: df.select("polygon_id", "ring", *holes_of(df))
+    a, b = corners(a), corners(b)
+    crossed = _edge_cells(a, size).alias("a").join(_edge_cells(b, size).alias("b"), ["cx", "cy"]).filter(F.exists(F.col("a.sides"), lambda e: F.exists(F.col("b.sides"), lambda f: edges_cross(e, f))))
+    pairs = crossed.select(F.col("a.polygon_id").alias("a_id"), F.col("b.polygon_id").alias("b_id")).distinct()
+    first = lambda df, name: df.select(F.col("polygon_id").alias(name), F.get("ring", 0)["x"].alias("x"), F.get("ring", 0)["y"].alias("y")).filter("x IS NOT NULL")
+    a_in_b = points_in_polygons(first(a, "a_id"), b, size).select("a_id", F.col("polygon_id").alias("b_id"))
+    b_in_a = points_in_polygons(first(b, "b_id"), a, size).select(F.col("polygon_id").alias("a_id"), "b_id")
+    return pairs.unionByName(a_in_b).unionByName(b_in_a).distinct()
+
+
+def _edge_cells(polygons: DataFrame, size: float) -> DataFrame:
+    """polygon_id, cx, cy, sides: a polygon's edges by the coarse cells that an edge's box touches."""
+    holes = [F.col(c) for c in holes_of(polygons)]
+    each = polygons.select("polygon_id", F.explode(all_edges(F.col("ring"), *holes)).alias("e"))
+    span = lambda c: F.sequence(F.floor(F.least(f"e.{c}0", f"e.{c}1") / size), F.floor(F.greatest(f"e.{c}0", f"e.{c}1") / size))
+    return each.withColumn("cx", F.explode(span("x"))).withColumn("cy", F.explode(span("y"))).groupBy("polygon_id", "cx", "cy").agg(F.collect_list("e").alias("sides"))
 
 
 def _half_hull(points: list[tuple[float, float]]) -> list[tuple[float, float]]:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geodesy, keys
-from ..operators import boxes, filters, grid, matching, outcomes, permanence, ranks, shapes
+from ..operators import boxes, filters, grid, matching, outcomes, overlay, permanence, ranks, shapes
 from ..schema import stored_years
 from ..session import durable, ship
 from ..sources import readers, writers
@@ -413,8 +413,90 @@ def set02_dedupe(spark, d):
     return table(spark, d, "events").groupBy("user_id", "event_type").agg(F.min("event_id").alias("event_id"))
 
 
-@query("SELECT x, y FROM classes WHERE value = 1 AND n > 20 EXCEPT SELECT x, y FROM cells WHERE x < 10")
+#: Projects lie on a raster of 0.05 degrees, some 5.5 km: the centre next to a border is 2.8 km away, the one after it 8.3 km.
+ORIGIN, STEP = (-10.0, -10.0), (0.05, 0.05)
+PLACES_SQL = "places AS (SELECT n_nationkey AS id, n_regionkey AS region, (80 + 10 * n_nationkey)::INTEGER AS x, (180 + 12 * n_regionkey)::INTEGER AS y FROM nation), around AS (SELECT DISTINCT (p.x + i)::INTEGER AS x, (p.y + j)::INTEGER AS y FROM places p, range(-9, 9) a(i), range(-9, 9) b(j))"
+
+
+def _places(spark, d):
+    return table(spark, d, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_regionkey").alias("region"), (80 + 10 * F.col("n_nationkey")).cast("int").alias("x"), (180 + 12 * F.col("n_regionkey")).cast("int").alias("y"))
+
+
+def _blocks(places: DataFrame, half: int) -> DataFrame:
+    """Squares of 2 * half pixels a side."""
+    return _squares(places, F.col("id"), ORIGIN[0] + F.col("x") * STEP[0], ORIGIN[1] + F.col("y") * STEP[1], half * STEP[0]).withColumnRenamed("polygon_id", "project_id").withColumn("polygon_id", F.col("project_id"))
+
+
+def _around(places: DataFrame) -> DataFrame:
+    offsets = F.sequence(F.lit(-9), F.lit(8))
+    return places.withColumn("i", F.explode(offsets)).withColumn("j", F.explode(offsets)).select((F.col("x") + F.col("i")).alias("x"), (F.col("y") + F.col("j")).alias("y")).distinct()
+
+
+def _block_sql(half: int, more: int, where: str) -> str:
+    return f"EXISTS (SELECT 1 FROM places p WHERE a.x BETWEEN p.x - {half + more} AND p.x + {half + more - 1} AND a.y BETWEEN p.y - {half + more} AND p.y + {half + more - 1} AND ({where}))"
+
+
+@query(f"WITH {PLACES_SQL} SELECT x, y FROM around a WHERE {_block_sql(2, 1, 'true')} AND NOT {_block_sql(2, 0, 'true')}")
+def dom14_leakage_zone(spark, d):
+    places = _places(spark, d)
+    return stages.leakage_zone(_around(places), _blocks(places, 2), ORIGIN, STEP)
+
+
+@query(f"WITH {PLACES_SQL} SELECT x, y FROM around a WHERE {_block_sql(8, 0, 'p.region <= 2')} AND {_block_sql(7, 0, 'p.id = 12 OR p.id = 13')} AND NOT {_block_sql(2, 1, 'p.id = 12')} AND NOT {_block_sql(2, 1, 'p.region = 1')}")
 def dom13_matching_area(spark, d):
+    places = durable(_places(spark, d), "places", 1)
+    project, others = _blocks(places.filter("id = 12"), 2), _blocks(places.filter("region = 1"), 2)
+    # the second ecoregion reaches into the project's block
+    regions = _blocks(places.filter("id IN (12, 13)"), 7).unionByName(_blocks(places.filter("id = 24"), 1))
+    meets = _squares(places.filter("id = 12"), F.lit(13), ORIGIN[0] + F.col("x") * STEP[0], ORIGIN[1] + F.col("y") * STEP[1], STEP[0]).withColumn("project_id", F.lit(13)).select(*regions.columns)
+    regions = regions.unionByName(meets)
+    return stages.matching_pixels(_around(places), project, _blocks(places.filter("region <= 2"), 8), regions, others, ORIGIN, STEP)
+
+
+#: L-shaped and U-shaped polygons on whole numbers, as unit cells in SQL.
+SHAPES_SQL = """la AS (SELECT DISTINCT s_suppkey % 37 + i AS x, s_nationkey + j AS y FROM supplier, range(0, 3) a(i), range(0, 3) b(j) WHERE i = 0 OR j = 0),
+lb AS (SELECT DISTINCT n_nationkey + i AS x, n_regionkey * 5 + j AS y FROM nation, range(0, 6) a(i), range(0, 4) b(j) WHERE i = 0 OR i = 5 OR j = 0)"""
+
+
+def _shape(df: DataFrame, name, x, y, corners) -> DataFrame:
+    at = [F.struct((x + float(i)).cast("double").alias("x"), (y + float(j)).cast("double").alias("y")) for i, j in corners]
+    return df.select(name.alias("polygon_id"), F.array(*at).alias("ring"))
+
+
+def _layers(spark, d):
+    a = _shape(table(spark, d, "supplier"), F.col("s_suppkey"), F.col("s_suppkey") % 37, F.col("s_nationkey"), [(0, 0), (3, 0), (3, 1), (1, 1), (1, 3), (0, 3)])
+    return a, _shape(table(spark, d, "nation"), F.col("n_nationkey"), F.col("n_nationkey"), F.col("n_regionkey") * 5, [(0, 0), (6, 0), (6, 4), (5, 4), (5, 1), (1, 1), (1, 4), (0, 4)])
+
+
+def _measured(spark, d, how):
+    """Area and length of all borders of a result."""
+    out = overlay.overlay(*_layers(spark, d), how, 4.0)
+    rings = lambda f: f(F.col("ring")) + F.aggregate("holes", F.lit(0.0), lambda t, h: t + f(h))
+    length = lambda r: F.aggregate(shapes.edges(r), F.lit(0.0), lambda t, e: t + F.hypot(e["x1"] - e["x0"], e["y1"] - e["y0"]))
+    return out.agg(F.round(F.sum(rings(shapes.shoelace)), 6).alias("area"), F.round(F.sum(rings(length)), 6).alias("length"))
+
+
+def _measured_sql(sql: str) -> str:
+    return f"WITH {SHAPES_SQL}, r AS ({sql}) SELECT count(*)::DOUBLE AS area, (4 * count(*) - count(e.x) - count(w.x) - count(n.x) - count(s.x))::DOUBLE AS length FROM r LEFT JOIN r e ON e.x = r.x + 1 AND e.y = r.y LEFT JOIN r w ON w.x = r.x - 1 AND w.y = r.y LEFT JOIN r n ON n.x = r.x AND n.y = r.y + 1 LEFT JOIN r s ON s.x = r.x AND s.y = r.y - 1"
+
+
+@query(_measured_sql("SELECT * FROM la INTERSECT SELECT * FROM lb"))
+def set03_polygon_intersection(spark, d):
+    return _measured(spark, d, "intersection")
+
+
+@query(_measured_sql("SELECT * FROM la EXCEPT SELECT * FROM lb"))
+def set04_polygon_difference(spark, d):
+    return _measured(spark, d, "difference")
+
+
+@query(_measured_sql("SELECT * FROM la UNION SELECT * FROM lb"))
+def set05_polygon_union(spark, d):
+    return _measured(spark, d, "union")
+
+
+@query("SELECT x, y FROM classes WHERE value = 1 AND n > 20 EXCEPT SELECT x, y FROM cells WHERE x < 10")
+def set04_pixel_difference(spark, d):
     c = classes(spark, d)
     return grid.without(grid.mask(c.filter("value = 1").select("x", "y"), c.filter("n > 20")), c.filter("x < 10"))
 

@@ -6,12 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geodesy
-from ..operators import boxes, filters, grid, matching, outcomes, permanence, ranks, shapes
+from ..operators import boxes, filters, grid, matching, outcomes, overlay, permanence, ranks, shapes
 from ..schema import TOLERANCES, hard_columns, stored_years
 from ..session import durable
 
 #: Fixed value: the width of the leakage zone around a project.
 LEAKAGE_METRES = 5000.0
+#: Fixed value: how far from a project matches are looked for.
+MATCHING_METRES = 2_000_000.0
 
 
 def treated_pixels(layers: dict[str, DataFrame], boundary: DataFrame, hectares: float, x0: int = 0, y0: int = 0) -> DataFrame:
@@ -93,7 +95,28 @@ def project_permanence(additionality: DataFrame, leakage: DataFrame, cost: DataF
     return permanence.equivalent_permanence(adjusted, schedule.filter(F.col("est_year") == current), cost, horizon)
 
 
-def matching_area(buffer: DataFrame, countries: DataFrame, ecoregions: DataFrame, project: DataFrame, others: DataFrame, other_radius: int) -> DataFrame:
-    """Cells of the buffer in the listed countries and ecoregions, without the project and without other projects and their surroundings."""
-    inside = grid.mask(grid.mask(buffer.select("x", "y"), countries), ecoregions)
-    return grid.without(grid.without(inside, project), grid.dilate(others, other_radius))
+def other_surroundings(area: DataFrame, others: DataFrame, metres: float = LEAKAGE_METRES, size: float = 1.0) -> DataFrame:
+    """Surroundings of the other projects whose simple outline, widened, meets the area: a project's boundary may be long, so its convex hull is tried
+    first. polygons of others have a project_id."""
+    corners = others.select("project_id", F.explode("ring").alias("p")).groupBy("project_id").agg(shapes.convex_hull(F.collect_list("p")).alias("ring"))
+    hulls = shapes.buffer_parts(corners.withColumnRenamed("project_id", "polygon_id"), metres)
+    near = shapes.spatial_join(hulls.select("polygon_id", "ring"), area, size).select(F.col("a_id").alias("project_id")).distinct()
+    return overlay.buffer(others.join(near, "project_id", "left_semi"), metres)
+
+
+def matching_area(project: DataFrame, countries: DataFrame, ecoregions: DataFrame, others: DataFrame, radius: float = MATCHING_METRES, metres: float = LEAKAGE_METRES, size: float = 1.0) -> DataFrame:
+    """polygon_id, ring, holes: what lies within the radius of the project, in the countries and in the ecoregions that the project meets, without the
+    project's and other projects' surroundings. No ecoregion that meets the project is an error."""
+    area = overlay.intersection(overlay.buffer(project, radius), countries, size)
+    area = durable(overlay.intersection(area, shapes.meeting(ecoregions, project, size), size), "matching-area")
+    area = durable(overlay.difference(area, overlay.buffer(project, metres), size), "matching-area")
+    return overlay.difference(area, other_surroundings(area, others, metres, size), size)
+
+
+def matching_pixels(pixels: DataFrame, project: DataFrame, countries: DataFrame, ecoregions: DataFrame, others: DataFrame, origin: tuple[float, float], step: tuple[float, float], radius: float = MATCHING_METRES, metres: float = LEAKAGE_METRES, size: float = 1.0) -> DataFrame:
+    """x, y of the pixels whose centres lie in matching_area(), by the distance of each centre instead of by shapes: for a raster."""
+    near = lambda rows, shape, m: shapes.pixels_within_metres(rows, shape, m, origin, step, size)
+    inside = lambda rows, shape: shapes.points_in_polygons(shapes.pixel_centres(rows, origin, step), shape.select("polygon_id", "ring", *shapes.holes_of(shape)), size).select(F.col("px").alias("x"), F.col("py").alias("y")).distinct()
+    area = inside(inside(near(pixels, project, radius), countries), shapes.meeting(ecoregions, project, size))
+    area = durable(grid.without(area, near(area, project, metres)), "matching-pixels")
+    return grid.without(area, near(area, others, metres))

@@ -137,9 +137,6 @@ def test_treated_pixels_and_the_match_table(spark):
     marks = grid.raster_sum(layer(spark, (luc == 1) * 1).unionByName(layer(spark, (elevation > 0.9) * 1)))
     table = stages.match_table(layers, marks).collect()
     assert {(r.x, r.y) for r in table} == {(x, y) for x in range(40) for y in range(40) if luc[y, x] == 1 or elevation[y, x] > 0.9}
-    area = stages.matching_area(boundary, grid.crop(boundary, 0, 0, 20, 99), boundary, grid.crop(boundary, 5, 5, 9, 9), grid.crop(boundary, 15, 15, 16, 16), 2).collect()
-    want = {(x, y) for x in range(5, 20) for y in range(5, 30) if not (x < 9 and y < 9) and (x - 15) ** 2 + (y - 15) ** 2 > 4}
-    assert {(r.x, r.y) for r in area} == want
 
 
 def test_coverage_over_the_borders_of_tiles_by_year(spark):
