@@ -13,15 +13,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.keys import within
-from ..session import durable
+from ..session import bucketed, durable
 from .ranks import with_position
 
 #: Share of treated pixels in a repetition, candidates for each, repetitions.
 SAMPLE_SHARE, REQUIRED, REPETITIONS = 0.1, 100, 100
+#: Candidates in a leaf of the index of free ones at most, leaves in a box.
+LEAF_ROWS, BOX_LEAVES = 24, 64
 #: A build side of at most so many rows and bytes is sent round; a larger one is shuffled.
 BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
-#: Positions that the walk for candidates looks at first, for each candidate wanted: a hundredth of the pool is expected to match.
-SPAN_EACH = 100
+#: Rows that share a treated row's hard attributes and bins at which the walk for candidates looks first, for each candidate wanted; blocks of positions, and
+#: buckets of the pool.
+LOOKS_EACH, BLOCKS, POOL_BUCKETS = 20, 256, 64
 
 
 def bytes_of(value: Column, kind: T.DataType) -> Column:
@@ -38,8 +41,9 @@ def bytes_of(value: Column, kind: T.DataType) -> Column:
 
 
 def small(df: DataFrame, most_rows: int | None = None) -> DataFrame:
-    """df, marked for broadcast if a bounded look at it shows that it has at most most_rows rows and BROADCAST_BYTES bytes."""
-    most_rows = BROADCAST_ROWS if most_rows is None else most_rows
+    """df, written once and marked for broadcast if a bounded look at what was written shows that it has at most most_rows rows and BROADCAST_BYTES bytes: the
+    other side is then not shuffled, and df is not computed twice."""
+    most_rows, df = BROADCAST_ROWS if most_rows is None else most_rows, durable(df, "build")
     size = reduce(lambda a, b: a + b, [bytes_of(F.col(f"`{f.name}`"), f.dataType) for f in df.schema]).cast("long")
     n, total = df.limit(most_rows + 1).agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
     return F.broadcast(df) if n <= most_rows and total <= BROADCAST_BYTES else df
@@ -120,41 +124,52 @@ def candidate_pairs(k: DataFrame, m: DataFrame, hard: list[str], widths: dict[st
     """k_id, m_id, step, rank: for each row of k its first `required` matches in m, walking m's positions (column pos, from 0) in a circle
     from `start`, by default a hash of seed and key.
 
-    The walk goes in rounds. A round looks at the next positions of the rows that still lack candidates, as many as all rounds before
-    together, so a row forms at most a few times `required` pairs, however many matches it has. k meets m on the hard attributes and on
-    blocks of positions, of which a round has about eight, and on bins of attribute `by` if one is named. The number of rounds is the
-    logarithm of the pool over the first span; each writes what it found and what is left to look for.
+    The pool is laid out once, bucketed by hard attributes, bin of attribute `by` if one is named, and block of positions; no round shuffles it again. The walk
+    goes in rounds. How far a row goes in the first one follows from the number of pool rows that share its attributes and bins: so far that
+    it meets LOOKS_EACH of them for each candidate wanted, or all of them if there are no more, as where matches are sparse. Each further
+    round goes as far as all before together, for the rows that still lack candidates. So a row forms at most a few times `required`
+    pairs, however many matches it has, or as many as its group has if that is less. span: a first number of positions for all rows instead.
     """
     m = m.select(F.col(key).alias("m_id"), "pos", *hard, *widths)
     n = max(m.count(), 1)
-    low, high = 0, min(n, span or SPAN_EACH * required)
-    left = k.select(F.col(key).alias("k_id"), *hard, *widths, F.pmod(F.xxhash64(F.lit(seed), F.col(key)) if start is None else start, F.lit(n)).cast("long").alias("start"), F.lit(0).cast("long").alias("have"))
+    block = max(1, -(-n // BLOCKS))
+    m = m.withColumn("_block", F.floor(F.col("pos") / block))
     if by:
         m = m.withColumn("_bin", F.floor(F.col(by) / widths[by]))
+    group = [*hard, *(["_bin"] if by else [])]
+    pool = bucketed(m, "pool", [*group, "_block"], POOL_BUCKETS if n > 1_000_000 else 8)
+    left = k.select(F.col(key).alias("k_id"), *hard, *widths, F.pmod(F.xxhash64(F.lit(seed), F.col(key)) if start is None else start, F.lit(n)).cast("long").alias("start"), F.lit(0).cast("long").alias("have"))
+    if span:
+        far = F.lit(min(n, span)).cast("long")
+    else:
+        sizes = pool.groupBy(*group).agg(F.count("*").alias("_n"))
+        left = left.withColumn("_bin", F.explode(bins_of(F.col(by), widths[by]))) if by else left
+        left = left.join(sizes, group).groupBy("k_id", *hard, *widths, "start", "have").agg(F.sum("_n").alias("_n"))
+        far = F.least(F.lit(n), F.ceil(F.lit(n) * float(LOOKS_EACH * required) / F.col("_n"))).cast("long")
+    left = durable(left.withColumns({"low": F.lit(0).cast("long"), "high": far}).drop("_n"), "seeking")
     found: DataFrame | None = None
     while True:
-        block = max(1, (high - low) // 8)
-        a, b = F.col("start") + low, F.col("start") + high
-        here = F.when(a < n, F.sequence(F.floor(a / block), F.floor((F.least(b, F.lit(n)) - 1) / block))).otherwise(F.array().cast("array<long>"))
-        past = F.when(b > n, F.sequence(F.floor(F.greatest(a - n, F.lit(0)) / block), F.floor((b - n - 1) / block))).otherwise(F.array().cast("array<long>"))
+        a, b = F.col("start") + F.col("low"), F.col("start") + F.col("high")
+        nothing = F.array().cast("array<long>")
+        here = F.when(a < n, F.sequence(F.floor(a / block), F.floor((F.least(b, F.lit(n)) - 1) / block))).otherwise(nothing)
+        past = F.when(b > n, F.sequence(F.floor(F.greatest(a - n, F.lit(0)) / block), F.floor((b - n - 1) / block))).otherwise(nothing)
         seeking = left.withColumn("_block", F.explode(F.array_union(here, past)))
         if by:
             seeking = seeking.withColumn("_bin", F.explode(bins_of(F.col(by), widths[by])))
-        keys = [*hard, "_block", *(["_bin"] if by else [])]
-        on = reduce(lambda x, y: x & y, [F.col(f"m.{c}") == F.col(f"k.{c}") for c in keys], band_condition("m", "k", widths))
-        met = m.withColumn("_block", F.floor(F.col("pos") / block)).alias("m").join(small(seeking).alias("k"), on)
-        met = met.select("k_id", "m_id", "have", F.pmod(F.col("pos") - F.col("start"), F.lit(n)).alias("step")).filter((F.col("step") >= low) & (F.col("step") < high))
+        on = reduce(lambda x, y: x & y, [F.col(f"m.{c}") == F.col(f"k.{c}") for c in [*group, "_block"]], band_condition("m", "k", widths))
+        met = pool.alias("m").join(seeking.alias("k"), on)
+        met = met.select("k_id", "m_id", "have", "low", "high", F.pmod(F.col("pos") - F.col("start"), F.lit(n)).alias("step")).filter((F.col("step") >= F.col("low")) & (F.col("step") < F.col("high")))
         ranked = met.withColumn("rank", F.col("have") + F.row_number().over(W.partitionBy("k_id").orderBy("step", "m_id")))
         new = durable(ranked.filter(F.col("rank") <= required).select("k_id", "m_id", "step", "rank"), "candidates")
         found = new if found is None else found.unionByName(new)
-        if high >= n:
+        on_way = left.filter(F.col("high") < n)
+        if on_way.isEmpty():
             return found
         got = new.groupBy("k_id").agg(F.max("rank").alias("_got"))
-        left = left.join(got, "k_id", "left").withColumn("have", F.coalesce("_got", "have")).drop("_got").filter(F.col("have") < required)
-        left = durable(left, "seeking")
+        left = on_way.join(got, "k_id", "left").withColumn("have", F.coalesce("_got", "have")).drop("_got").filter(F.col("have") < required)
+        left = durable(left.withColumns({"low": F.col("high"), "high": F.least(F.lit(n).cast("long"), 2 * F.col("high"))}), "seeking")
         if left.isEmpty():
             return found
-        low, high = high, min(n, 2 * high)
 
 
 def candidate_set(pairs: DataFrame) -> DataFrame:
@@ -206,13 +221,95 @@ def mahalanobis(a: list[Column], b: list[Column], inverse: np.ndarray) -> Column
     return reduce(lambda x, y: x + y, terms)
 
 
+def _in_leaves(points: np.ndarray) -> list[np.ndarray]:
+    """Indexes of points in the order of a k-d tree's leaves, cut at medians of the widest attribute."""
+    stack, out = [np.arange(len(points))], []
+    while stack:
+        rows = stack.pop()
+        if len(rows) <= LEAF_ROWS:
+            out.append(rows)
+            continue
+        own = points[rows]
+        half = len(rows) // 2
+        order = np.argpartition(own[:, np.argmax(own.max(axis=0) - own.min(axis=0))], half)
+        stack += [rows[order[half:]], rows[order[:half]]]
+    return out
+
+
+class Free:
+    """Points that are still free, for the nearest one by a quadratic form. They lie in leaves of a k-d tree over features in which the form is the plain
+    distance, and leaves in boxes of BOX_LEAVES neighbours: a query looks at the boxes, at the leaves of boxes that are near enough, and at the
+    points of leaves that are. Equal points are one, with their places in a row. A leaf that is used up is infinitely far."""
+
+    def __init__(self, points: np.ndarray, inverse: np.ndarray) -> None:
+        self.points, first, place = np.unique(points, axis=0, return_index=True, return_inverse=True) if len(points) else (points, None, np.zeros(0, dtype=int))
+        self.inverse, self.looked = inverse, 0
+        by_place = np.argsort(place.ravel(), kind="stable")
+        ends = np.cumsum(np.bincount(place.ravel(), minlength=len(self.points)))
+        self.places, self.next, self.end = by_place, np.concatenate([[0], ends[:-1]]).astype(np.int64), ends
+        self.root = np.linalg.cholesky((inverse + inverse.T) / 2)
+        white = self.points @ self.root
+        self.leaves = _in_leaves(white) if len(white) else []
+        self.leaf_of = np.zeros(len(white), dtype=np.int64)
+        for i, rows in enumerate(self.leaves):
+            self.leaf_of[rows] = i
+        self.low = np.array([white[r].min(axis=0) for r in self.leaves]).reshape(len(self.leaves), -1)
+        self.high = np.array([white[r].max(axis=0) for r in self.leaves]).reshape(len(self.leaves), -1)
+        at = np.arange(0, len(self.leaves), BOX_LEAVES)
+        self.box_low = np.minimum.reduceat(self.low, at) if len(at) else self.low
+        self.box_high = np.maximum.reduceat(self.high, at) if len(at) else self.high
+        self.left = np.add.reduceat(np.ones(len(self.leaves), dtype=np.int64), at) if len(at) else at
+
+    @staticmethod
+    def _bounds(low: np.ndarray, high: np.ndarray, q: np.ndarray) -> np.ndarray:
+        off = np.maximum(np.maximum(low - q, q - high), 0)
+        return (off * off).sum(axis=1)
+
+    def take(self, q: np.ndarray) -> int:
+        """The place of the nearest free point, the smallest among equals; it is free no more. -1 once none is."""
+        white, best, where = q @ self.root, math.inf, -1
+        boxes = self._bounds(self.box_low, self.box_high, white)
+        for b in np.argsort(boxes):
+            # bounds are those of rounded numbers
+            if boxes[b] * (1 - 1e-9) - 1e-12 > best or not math.isfinite(boxes[b]):
+                break
+            a, z = b * BOX_LEAVES, min((b + 1) * BOX_LEAVES, len(self.leaves))
+            bounds = self._bounds(self.low[a:z], self.high[a:z], white)
+            for i in np.argsort(bounds):
+                if bounds[i] * (1 - 1e-9) - 1e-12 > best or not math.isfinite(bounds[i]):
+                    break
+                rows = self.leaves[a + i]
+                d = self.points[rows] - q
+                far = np.einsum("ij,jk,ik->i", d, self.inverse, d)
+                self.looked += len(rows)
+                least = float(far.min())
+                if least <= best:
+                    for j in rows[far == least]:
+                        if least < best or where < 0 or self.places[self.next[j]] < self.places[self.next[where]]:
+                            best, where = least, int(j)
+        if where < 0:
+            return -1
+        place = int(self.places[self.next[where]])
+        self.next[where] += 1
+        if self.next[where] == self.end[where]:
+            self._drop(where)
+        return place
+
+    def _drop(self, point: int) -> None:
+        leaf = int(self.leaf_of[point])
+        self.leaves[leaf] = self.leaves[leaf][self.leaves[leaf] != point]
+        if not len(self.leaves[leaf]):
+            self.low[leaf], box = np.inf, leaf // BOX_LEAVES
+            self.left[box] -= 1
+            if not self.left[box]:
+                self.box_low[box] = np.inf
+
+
 def greedy_places(k: np.ndarray, s: np.ndarray, inverse: np.ndarray) -> np.ndarray:
     """For each row of k in order the nearest row of s that is still free, the first among equals; -1 once none is."""
-    free, out = np.ones(len(s), dtype=bool), np.full(len(k), -1, dtype=np.int64)
+    free, out = Free(s, inverse), np.full(len(k), -1, dtype=np.int64)
     for i in range(min(len(k), len(s))):
-        d = s - k[i]
-        out[i] = np.argmin(np.where(free, np.einsum("ij,jk,ik->i", d, inverse, d), np.inf))
-        free[out[i]] = False
+        out[i] = free.take(k[i])
     return out
 
 
@@ -222,7 +319,7 @@ def greedy_pairs(k: DataFrame, s: DataFrame, hard: list[str], columns: list[str]
 
     A k only ever takes an s of its own hard group, so groups are independent, given one covariance for all. A group is one task,
     because its steps follow one another; it is bounded by the sample and by `required` candidates a sampled row, and only
-    keys and features of it are held. Equal distances go to the smaller s.
+    keys and features of it are held. A step looks at near candidates alone (see Free). Equal distances go to the smaller s.
     """
 
     groups = [*([by] if by else []), *hard]

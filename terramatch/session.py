@@ -58,7 +58,18 @@ def durable(df: DataFrame, name: str, partitions: int | None = None) -> DataFram
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, columns: list[str], buckets: int) -> DataFrame:
+    """df, written as a table in the shared folder that is bucketed by columns: joins on just these columns shuffle the other side alone, however many
+    there are."""
+    spark, path, table = df.sparkSession, new_path(df.sparkSession, name), f"terramatch_{name}_{uuid.uuid4().hex}"
+    df.repartition(buckets, *columns).write.format("parquet").bucketBy(buckets, columns).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def release(spark: SparkSession) -> None:
     """Deletes the durable tables of this application. Frames that were made from them can't be read afterwards."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/terramatch/{spark.sparkContext.applicationId}")
+    for t in spark.catalog.listTables():
+        if t.name.startswith("terramatch_"):
+            spark.sql(f"DROP TABLE IF EXISTS `{t.name}`")
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

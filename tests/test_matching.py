@@ -183,3 +183,49 @@ def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="checkpoint"):
         session.shared_dir(Other())
+
+
+def plain_places(k, s, inverse):
+    free, out = np.ones(len(s), dtype=bool), np.full(len(k), -1)
+    for i in range(min(len(k), len(s))):
+        d = s - k[i]
+        out[i] = np.argmin(np.where(free, np.einsum("ij,jk,ik->i", d, inverse, d), np.inf))
+        free[out[i]] = False
+    return out
+
+
+@pytest.mark.parametrize("kind", ["spread", "copies", "lattice", "few"])
+def test_near_candidates_are_the_same_as_all(kind):
+    rng = np.random.default_rng(6)
+    s, k = rng.normal(size=(3000, 4)) @ rng.normal(size=(4, 4)), rng.normal(size=(400, 4))
+    if kind == "copies":
+        s[:2000] = s[0]
+        k[::3] = s[0]
+    elif kind == "lattice":
+        s, k = rng.integers(0, 4, (3000, 4)).astype(float), rng.integers(0, 4, (400, 4)).astype(float)
+    elif kind == "few":
+        s = s[:150]
+    inverse = np.linalg.inv(np.cov(s.T) + np.eye(4) * 1e-3)
+    got = matching.greedy_places(k, s, inverse)
+    assert (got == plain_places(k, s, inverse)).all() and (got < 0).sum() == max(0, len(k) - len(s))
+
+
+def test_a_step_looks_at_few_candidates():
+    rng = np.random.default_rng(7)
+    s, k = rng.normal(size=(60_000, 9)), rng.normal(size=(300, 9))
+    free = matching.Free(s, np.linalg.inv(np.cov(s.T)))
+    assert len({free.take(q) for q in k}) == 300 and free.looked / 300 < 6000
+
+
+def test_the_pool_is_shuffled_once(spark):
+    rng = np.random.default_rng(8)
+    m = pd.DataFrame({"id": np.arange(4000), "h": rng.integers(0, 3, 4000), "a": rng.normal(size=4000), "pos": np.arange(4000)})
+    k = pd.DataFrame({"id": np.arange(50), "h": rng.integers(0, 3, 50), "a": rng.normal(size=50)})
+    sm, sk = spark.createDataFrame(m), spark.createDataFrame(k)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = matching.candidate_pairs(sk, sm, ["h"], {"a": 0.2}, required=30, by="a", span=200)
+        rows = {(r.k_id, r.m_id, r.rank) for r in got.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows == {(r.k_id, r.m_id, r.rank) for r in matching.candidate_pairs(sk, sm, ["h"], {"a": 0.2}, required=30).collect()}
