@@ -120,13 +120,6 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, size: float = 1.0
     return met.drop("cx", "cy", "sides")
 
 
-def rasterise(pixels: DataFrame, polygons: DataFrame, value: str, origin: tuple[float, float], step: tuple[float, float], size: float = 1.0) -> DataFrame:
-    """x, y, value: pixels whose centres lie in a polygon, with an attribute of it; where polygons overlap, the largest value."""
-    centres = pixel_centres(pixels, origin, step)
-    met = points_in_polygons(centres, polygons.select("polygon_id", "ring", *holes_of(polygons)), size).join(small(polygons.select("polygon_id", F.col(value).alias("value"))), "polygon_id")
-    return met.groupBy(F.col("px").alias("x"), F.col("py").alias("y")).agg(F.max("value").alias("value"))
-
-
 def boxes_meet(a: dict[str, Column], b: dict[str, Column]) -> Column:
     return (a["west"] <= b["east"]) & (b["west"] <= a["east"]) & (a["south"] <= b["north"]) & (b["south"] <= a["north"])
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geodesy, keys
-from ..operators import boxes, filters, grid, matching, outcomes, overlay, permanence, ranks, shapes
+from ..operators import boxes, filters, grid, matching, outcomes, overlay, permanence, pieces, ranks, shapes
 from ..schema import stored_years
 from ..session import durable, ship
 from ..sources import readers, writers
@@ -408,6 +408,14 @@ def srt08_chunk_boxes(spark, d):
     return grid.chunk_boxes(s, 0.4).select("id", "i", "j", *[r4(c) for c in ("west", "south", "east", "north")])
 
 
+@query(f"""WITH {SHAPES_SQL}, c AS (SELECT n_nationkey AS id, n_nationkey + i AS x, n_regionkey * 5 + j AS y, i // 2 AS ci, j // 2 AS cj FROM nation, range(0, 6) a(i), range(0, 4) b(j) WHERE i = 0 OR i = 5 OR j = 0)
+SELECT id, ci::INTEGER AS i, cj::INTEGER AS j, count(*)::DOUBLE AS area FROM c GROUP BY ALL""")
+def srt08_chunks(spark, d):
+    """Concave polygons clipped to squares, those without area left out."""
+    out = pieces.chunks(_layers(spark, d)[1], 2.0)
+    return out.select(F.col("polygon_id").alias("id"), "i", "j", F.round(F.abs(shapes.shoelace(F.col("ring"))), 6).alias("area"))
+
+
 @query("SELECT user_id, event_type, min(event_id) AS event_id FROM events GROUP BY ALL")
 def set02_dedupe(spark, d):
     return table(spark, d, "events").groupBy("user_id", "event_type").agg(F.min("event_id").alias("event_id"))
@@ -569,7 +577,7 @@ def geo03_shoelace(spark, d):
 @query("SELECT p.x, p.y, max(n.n_nationkey)::INTEGER AS value FROM cells p JOIN nation n ON p.x + 0.5 >= n.n_nationkey * 1.5 AND p.x + 0.5 < n.n_nationkey * 1.5 + 4.2 AND p.y + 0.5 >= n.n_regionkey * 6.0 AND p.y + 0.5 < n.n_regionkey * 6.0 + 4.2 GROUP BY ALL")
 def geo05_rasterise(spark, d):
     n = _squares(table(spark, d, "nation"), F.col("n_nationkey"), F.col("n_nationkey") * 1.5 + 2.1, F.col("n_regionkey") * 6.0 + 2.1, 2.1).withColumn("code", F.col("polygon_id"))
-    return grid_cells(shapes.rasterise(cells(spark, d), n, "code", (0.0, 0.0), (1.0, 1.0), 4.0))
+    return grid_cells(pieces.rasterise(cells(spark, d), n, "code", (0.0, 0.0), (1.0, 1.0)))
 
 
 def grid_cells(df: DataFrame) -> DataFrame:

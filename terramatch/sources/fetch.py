@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.pieces import MOST_POINTS, chunks, simplified
 from .writers import exists, missing_targets
 
 #: Countries left out of the polygons, countries a request, tries, and the first time-out in seconds, which doubles.
@@ -87,15 +88,16 @@ def in_batches(codes: DataFrame, url: Callable[[list[str]], str], size: int = BA
     return grouped.select(F.array_join("_codes", "-").alias("name"), make("_codes").alias("url"))
 
 
-def catalogue(boxes: DataFrame, search: Callable[[float, float, float, float, str, str], list[str]], start: str = "2020-01-01", end: str = "2021-01-01") -> DataFrame:
-    """granule: distinct names that search(west, south, east, north, start, end) gives for any of the boxes, as chunk_boxes() makes them."""
+def catalogue(polygons: DataFrame, search: Callable[[list[tuple[float, float]], str, str], list[str]], most: float, start: str = "2020-01-01", end: str = "2021-01-01", points: int = MOST_POINTS) -> DataFrame:
+    """granule: distinct names that search(outline, start, end) gives for any of the polygons' chunks. Polygons are clipped to squares of `most` degrees, those
+    without area left out, and a catalogue is asked with outlines of so many points at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for box in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                yield pa.RecordBatch.from_arrays([pa.array(search(*box, start, end), type=pa.string())], ["granule"])
+            for ring in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(search([(p["x"], p["y"]) for p in ring], start, end), type=pa.string())], ["granule"])
 
-    return boxes.select("west", "south", "east", "north").mapInArrow(run, "granule string").distinct()
+    return simplified(chunks(polygons, most), points).select("ring").mapInArrow(run, "granule string").distinct()
 
 
 def stored(spark: SparkSession, path: str) -> DataFrame:

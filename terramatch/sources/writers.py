@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -85,9 +86,44 @@ def append_new(incoming: DataFrame, path: str, key: str) -> None:
     new_rows(incoming, present, key).write.mode("append").parquet(path)
 
 
+def _execute(spark: SparkSession, url: str, statements: list[str], options: dict[str, str]) -> None:
+    """All statements in one transaction, by the driver."""
+    jvm = spark.sparkContext._jvm
+    if "driver" in options:
+        jvm.java.lang.Class.forName(options["driver"])
+    properties = jvm.java.util.Properties()
+    for k, v in options.items():
+        properties.setProperty(k, v)
+    connection = jvm.java.sql.DriverManager.getConnection(url, properties)
+    try:
+        connection.setAutoCommit(False)
+        statement = connection.createStatement()
+        for s in statements:
+            statement.execute(s)
+        connection.commit()
+    except BaseException:
+        connection.rollback()
+        raise
+    finally:
+        connection.close()
+
+
 def append_jdbc(incoming: DataFrame, url: str, table: str, key: str, **options: str) -> None:
-    present = incoming.sparkSession.read.format("jdbc").options(url=url, query=f"SELECT DISTINCT {key} FROM {table}", **options).load()
-    new_rows(incoming, present, key).write.format("jdbc").options(url=url, dbtable=table, **options).mode("append").save()
+    """Appends to a table of a database the rows whose key it lacks, all of them or none.
+
+    Tasks write to a staging table that this run alone has; then one transaction moves its rows over, once more without keys that came in meanwhile. A task
+    that fails, or is run twice, leaves the target as it was; running it again appends nothing."""
+    spark = incoming.sparkSession
+    quote = spark.sparkContext._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier
+    staging, k = f"staging_{uuid.uuid4().hex[:16]}", quote(key)
+    present = spark.read.format("jdbc").options(url=url, query=f"SELECT DISTINCT {k} FROM {table}", **options).load()
+    columns = ", ".join(quote(c) for c in incoming.columns)
+    try:
+        new_rows(incoming, present, key).write.format("jdbc").options(url=url, dbtable=staging, **options).mode("errorifexists").save()
+        _execute(spark, url, [f"INSERT INTO {table} ({columns}) SELECT {columns} FROM {staging} s WHERE NOT EXISTS (SELECT 1 FROM {table} t WHERE t.{k} = s.{k})"], options)
+    finally:
+        with contextlib.suppress(Exception):  # there is none if the first task failed
+            _execute(spark, url, [f"DROP TABLE {staging}"], options)
 
 
 def _path(spark: SparkSession, path: str):

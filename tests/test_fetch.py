@@ -62,13 +62,14 @@ def test_countries_in_batches(spark):
 
 
 def test_catalogue_of_chunks_is_distinct(spark):
-    box = spark.createDataFrame([(1, 0.0, 0.0, 0.9, 0.5)], "id int, west double, south double, east double, north double")
+    ring = [(0.0, 0.0), (1.0, 0.0), (1.0, 0.4), (0.4, 0.4), (0.4, 1.0), (0.0, 1.0)]
+    shape = spark.createDataFrame([(1, ring)], "polygon_id int, ring array<struct<x: double, y: double>>")
 
-    def search(west, south, east, north, start, end):
-        assert (start, end) == ("2020-01-01", "2021-01-01") and east - west <= 0.4 + 1e-9
-        return [f"g{int(10 * x)}" for x in np.arange(west, east + 0.05, 0.2)]
+    def search(outline, start, end):
+        assert start < end and 2 < len(outline) <= 200
+        return [f"g{min(round(x * 10) for x, _ in outline)}_{min(round(y * 10) for _, y in outline)}", "all"]
 
-    assert {r.granule for r in fetch.catalogue(grid.chunk_boxes(box, 0.4), search).collect()} == {"g0", "g2", "g4", "g6", "g8"}
+    assert {r.granule for r in fetch.catalogue(shape, search, 0.4).collect()} == {"all", "g0_0", "g4_0", "g8_0", "g0_4", "g0_8"}
 
 
 def shp(records):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from terramatch import schema
 from terramatch.functions import geodesy, keys
-from terramatch.operators import grid, shapes
+from terramatch.operators import grid, pieces, shapes
 from terramatch.sources import geotiff, readers, writers
 from terramatch.streaming import ingest
 
@@ -210,5 +210,5 @@ def test_holes_of_a_boundary_are_outside(spark, tmp_path):
     assert shapes.area_m2(outer).first().area_m2 == pytest.approx(0.75 * full, rel=1e-3)
     assert shapes.spatial_join(outer, df.filter("name = '1'")).count() == 0
     pixels = spark.range(4).selectExpr("cast(id AS int) AS x", "1 AS y")
-    got = shapes.rasterise(pixels, outer.withColumn("v", F.lit(1)), "v", (3.0, 0.0), (0.01, 0.01))
+    got = pieces.rasterise(pixels, outer.withColumn("v", F.lit(1)), "v", (3.0, 0.0), (0.01, 0.01))
     assert {r.x for r in got.collect()} == {0, 3}
