@@ -15,6 +15,13 @@ def found(df: DataFrame, message: str) -> DataFrame:
     return df
 
 
+def nothing(df: DataFrame, message: str) -> None:
+    """An error, with the first row, unless df is empty."""
+    row = df.first()
+    if row is not None:
+        raise ValueError(f"{message}: {', '.join(map(str, row))}")
+
+
 def listed(df: DataFrame, column: str, values: list) -> DataFrame:
     """Rows whose attribute is one of values, as a filter that reaches the scan; none is an error."""
     return found(df.filter(F.col(column).isin(values)), f"no row has a listed {column}")

@@ -144,8 +144,8 @@ def uniform_3x3(pixels: DataFrame, block: int = BLOCK) -> DataFrame:
     return found.withColumn("value", F.col("value").cast(pixels.schema["value"].dataType))
 
 
-def slope_horn(pixels: DataFrame, cell_x: Column | float, cell_y: Column | float, block: int = BLOCK) -> DataFrame:
-    """Slope in degrees by Horn's 3x3 gradient, for pixels with all nine cells. Cell sizes in metres may depend on the row."""
+def slope_horn(pixels: DataFrame, cell_x: Column | float, cell_y: Column | float, block: int = BLOCK, by: tuple[str, ...] = ()) -> DataFrame:
+    """Slope in degrees by Horn's 3x3 gradient, for pixels with all nine cells; for each grid of `by` if given. Cell sizes in metres may depend on the row."""
 
     def kernel(b: Block) -> dict[str, np.ndarray]:
         plane = b.dense(b.value)
@@ -158,7 +158,7 @@ def slope_horn(pixels: DataFrame, cell_x: Column | float, cell_y: Column | float
 
     sized = lambda v: v if isinstance(v, Column) else F.lit(float(v))
     gx, gy = F.col("gx") / (8.0 * sized(cell_x)), F.col("gy") / (8.0 * sized(cell_y))
-    return in_blocks(pixels, kernel, "gx double, gy double", 1, block=block).select("x", "y", F.degrees(F.atan(F.sqrt(gx * gx + gy * gy))).alias("slope"))
+    return in_blocks(pixels, kernel, "gx double, gy double", 1, block=block, by=by).select(*by, "x", "y", F.degrees(F.atan(F.sqrt(gx * gx + gy * gy))).alias("slope"))
 
 
 def half_widths(radius: int, ratio: float) -> dict[int, int]:

@@ -377,6 +377,20 @@ def win05_slope_horn(spark, d):
     return grid.slope_horn(cells(spark, d).withColumnRenamed("n", "value"), 30.0, 25.0).select("x", "y", r4("slope"))
 
 
+@query("WITH c AS (SELECT DISTINCT l_partkey % 40 AS x, l_suppkey % 40 AS y FROM lineitem) SELECT a.x::INTEGER AS x, a.y::INTEGER AS y, 5.7 AS slope FROM c a JOIN c b ON abs(a.x - b.x) <= 3 AND abs(a.y - b.y) <= 3 GROUP BY a.x, a.y HAVING count(*) = 49")
+def win05_zone_slope(spark, d):
+    """A plane that rises a tenth eastwards over two zones, on the cells of a table: 5.7 degrees wherever all cells around are there. Heights are easts
+    of one zone's meridian by the ellipsoid's length at each row."""
+    west, north, step = 5.96, 0.04, 0.002
+    c = durable(cells(spark, d).select("x", "y"), "cells")
+    east, _ = geodesy.metres_per_degree(F.lit(north) - (F.col("y") + 0.5) * step)
+    plane = c.withColumn("value", 0.1 * east * (F.col("x") + 0.5) * step)
+    slopes = stages.zone_slope(plane, step, west, north)
+    near = c.select(*[F.explode(F.sequence(F.col(v) - 3, F.col(v) + 3)).alias(v) if v == "x" else F.col(v) for v in "xy"]).select("x", F.explode(F.sequence(F.col("y") - 3, F.col("y") + 3)).alias("y"))
+    full = near.groupBy("x", "y").count().filter("count = 49").select("x", "y").join(c, ["x", "y"])
+    return full.join(slopes, ["x", "y"]).select("x", "y", F.round("slope", 1).alias("slope"))
+
+
 @query("SELECT t.x, t.y, s.value FROM (SELECT x, y FROM cells) t JOIN classes s ON s.x = floor((t.x + 0.5) * 0.5) AND s.y = floor((t.y + 0.5) * 0.5)")
 def geo06_resample(spark, d):
     return grid.resample_nearest(classes(spark, d), cells(spark, d), 0.5, 0.5)
@@ -408,14 +422,6 @@ def srt08_chunk_boxes(spark, d):
     return grid.chunk_boxes(s, 0.4).select("id", "i", "j", *[r4(c) for c in ("west", "south", "east", "north")])
 
 
-@query(f"""WITH {SHAPES_SQL}, c AS (SELECT n_nationkey AS id, n_nationkey + i AS x, n_regionkey * 5 + j AS y, i // 2 AS ci, j // 2 AS cj FROM nation, range(0, 6) a(i), range(0, 4) b(j) WHERE i = 0 OR i = 5 OR j = 0)
-SELECT id, ci::INTEGER AS i, cj::INTEGER AS j, count(*)::DOUBLE AS area FROM c GROUP BY ALL""")
-def srt08_chunks(spark, d):
-    """Concave polygons clipped to squares, those without area left out."""
-    out = pieces.chunks(_layers(spark, d)[1], 2.0)
-    return out.select(F.col("polygon_id").alias("id"), "i", "j", F.round(F.abs(shapes.shoelace(F.col("ring"))), 6).alias("area"))
-
-
 @query("SELECT user_id, event_type, min(event_id) AS event_id FROM events GROUP BY ALL")
 def set02_dedupe(spark, d):
     return table(spark, d, "events").groupBy("user_id", "event_type").agg(F.min("event_id").alias("event_id"))
@@ -503,6 +509,14 @@ def set05_polygon_union(spark, d):
     return _measured(spark, d, "union")
 
 
+@query(f"""WITH {SHAPES_SQL}, c AS (SELECT n_nationkey AS id, n_nationkey + i AS x, n_regionkey * 5 + j AS y, i // 2 AS ci, j // 2 AS cj FROM nation, range(0, 6) a(i), range(0, 4) b(j) WHERE i = 0 OR i = 5 OR j = 0)
+SELECT id, ci::INTEGER AS i, cj::INTEGER AS j, count(*)::DOUBLE AS area FROM c GROUP BY ALL""")
+def srt08_chunks(spark, d):
+    """Concave polygons clipped to squares, those without area left out."""
+    out = pieces.chunks(_layers(spark, d)[1], 2.0)
+    return out.select(F.col("polygon_id").alias("id"), "i", "j", F.round(F.abs(shapes.shoelace(F.col("ring"))), 6).alias("area"))
+
+
 @query("SELECT x, y FROM classes WHERE value = 1 AND n > 20 EXCEPT SELECT x, y FROM cells WHERE x < 10")
 def set04_pixel_difference(spark, d):
     c = classes(spark, d)
@@ -589,9 +603,11 @@ def src15_rank_index(spark, d):
     return shapes.rank_index(table(spark, d, "nation"), "n_name")
 
 
-@query("SELECT a::INTEGER AS lat, b::INTEGER AS lng FROM range(-20, 31, 10) t(a), range(-110, 171, 10) u(b)")
+@query("WITH p AS (SELECT s_suppkey, s_acctbal / 400.0 AS lat, s_nationkey * 11.0 - 109.0 AS lng FROM supplier) SELECT a::INTEGER AS lat, b::INTEGER AS lng, count(*)::BIGINT AS n FROM range(-20, 31, 10) t(a), range(-110, 171, 10) u(b), p WHERE p.lat <= a AND p.lat > a - 10 AND p.lng >= b AND p.lng < b + 10 GROUP BY ALL")
 def src11_tile_grid(spark, d):
-    return readers.tile_grid(spark)
+    """The tiles to fetch for suppliers' places, and how many lie in each: a tile is named by its north-west corner."""
+    places = table(spark, d, "supplier").select((F.ceil(F.col("s_acctbal") / 4000.0) * 10).cast("int").alias("lat"), (F.floor((F.col("s_nationkey") * 11.0 - 109.0) / 10) * 10).cast("int").alias("lng"))
+    return readers.tile_grid(spark).join(places, ["lat", "lng"]).groupBy("lat", "lng").agg(F.count("*").alias("n"))
 
 
 # ---- permanence
@@ -662,9 +678,14 @@ def win09_release_year(spark, d):
     return _released(spark, d).select("year", r4("adjusted"), "released_by")
 
 
-@query(f"WITH {COSTS} SELECT year, round(value, 4) AS value FROM cost")
+POINTS_SQL = "pts AS (SELECT 1992 + 3 * ((year(o_orderdate) - 1992) // 3) AS y0, avg(o_totalprice) AS v0 FROM orders GROUP BY ALL), seg AS (SELECT *, lead(y0) OVER w AS y1, lead(v0) OVER w AS v1, row_number() OVER w AS i, count(*) OVER () AS n FROM pts WINDOW w AS (ORDER BY y0))"
+
+
+@query(f"WITH {POINTS_SQL} SELECT t.y::INTEGER AS year, round(v0 + (v1 - v0) * (t.y - y0) / (y1 - y0), 4) AS value FROM range(1985, 2010) t(y) JOIN seg ON y1 IS NOT NULL AND (t.y >= y0 OR i = 1) AND (t.y < y1 OR i = n - 1)")
 def mth08_interpolate_cost(spark, d):
-    return _costs(spark, d).select("year", r4("value"))
+    """Mean prices of three years each, between them and beyond."""
+    points = table(spark, d, "orders").groupBy((1992 + 3 * F.floor((F.year("o_orderdate") - 1992) / 3)).cast("int").alias("year")).agg(F.avg("o_totalprice").alias("value"))
+    return permanence.interpolate_cost(points, 1985, 2009).select("year", r4("value"))
 
 
 @query(f"WITH {SCHEDULE}, {ADJUSTED}, {BY}, {COSTS}, {DAMAGE} SELECT year, round(damage, 4) AS damage FROM dmg")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geodesy
-from ..operators import boxes, filters, grid, matching, outcomes, overlay, permanence, ranks, shapes
+from ..operators import boxes, filters, grid, matching, outcomes, overlay, permanence, ranks, shapes, warp
 from ..schema import TOLERANCES, hard_columns, stored_years
 from ..session import durable
 
@@ -30,6 +30,18 @@ def match_table(layers: dict[str, DataFrame], marks: DataFrame) -> DataFrame:
     return grid.co_grid({k: grid.mask(v, kept) for k, v in layers.items()})
 
 
+def coverage_groups(tiles: DataFrame, groups: DataFrame) -> DataFrame:
+    """tiles (year, tile, ...) with their region by groups (tile, region), for coverage year by year and region by region. Each tile has to be in exactly one
+    region, and each region's tiles have to be there in every year: all else is an error that names a tile."""
+    once = groups.groupBy("tile").count().filter("count > 1").select("tile")
+    filters.nothing(once, "a tile is in several regions")
+    have = durable(tiles.select("year", "tile").distinct(), "tiles")
+    filters.nothing(have.join(groups, "tile", "left_anti"), "a tile is in no region")
+    wanted = have.select("year").distinct().crossJoin(groups.select("tile").distinct())  # a row a year and tile
+    filters.nothing(wanted.join(have, ["year", "tile"], "left_anti"), "a region lacks a tile")
+    return tiles.join(groups, "tile")
+
+
 def fine_coverage(tiles: DataFrame, classes: list[int], ratio: Column | float = 1.0, radius: int = grid.FOCAL_RADIUS) -> DataFrame:
     """year, x, y and share_<class> from tiles (year, tile, x, y, value): a year's tiles are one grid, so a kernel at a tile's border sees its neighbours;
     where tiles overlap, the first by name counts."""
@@ -39,13 +51,21 @@ def fine_coverage(tiles: DataFrame, classes: list[int], ratio: Column | float =
 
 def slope(elevation: DataFrame, degrees: float, north: float) -> DataFrame:
     """x, y, slope in degrees from elevations on a grid of `degrees` a cell, whose first row begins at latitude `north`. A cell's ground lengths are those
-    of its own latitude, so a grid may cross zones."""
+    of its own latitude, so a grid may cross zones: the fast way, without projecting."""
     east, south = geodesy.metres_per_degree(F.lit(north) - (F.col("y") + 0.5) * degrees)
     return grid.slope_horn(elevation, east * degrees, south * degrees)
 
 
-def project_shots(granules: DataFrame, boundary: DataFrame, start: str = "2020-01-01", end: str = "2021-01-01", size: float = 1.0) -> DataFrame:
-    """Good shots of all granules (lat, lng and the flags of good_shots) that lie in any polygon of the boundary, each once."""
+def zone_slope(elevation: DataFrame, degrees: float, west: float, north: float) -> DataFrame:
+    """The same by projecting each zone to metres and back, cropped and merged."""
+    return warp.projected_slope(elevation, (west, north), (degrees, -degrees)).withColumnRenamed("value", "slope")
+
+
+def project_shots(granules: DataFrame, boundary: DataFrame, start: str = "2020-01-01", end: str = "2021-01-01", size: float = 1.0, wanted: DataFrame | None = None) -> DataFrame:
+    """Good shots of all granules (lat, lng and the flags of good_shots) that lie in any polygon of the boundary, each once. wanted: granules that a
+    catalogue names, each of which has to be there (column granule): one that is missing is an error."""
+    if wanted is not None:
+        filters.nothing(wanted.select("granule").join(granules.select("granule").distinct(), "granule", "left_anti"), "a granule is missing")
     good = outcomes.good_shots(granules, start, end).withColumns({"x": F.col("lng"), "y": F.col("lat")})
     return shapes.points_in_polygons(good, boundary, size).drop("x", "y", "polygon_id").distinct()
 
