@@ -10,6 +10,7 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -23,6 +24,8 @@ SLICE_GRAMS = 500_000
 #: Candidate components of up to so many chunks are compared chunk by chunk, larger ones bucket by bucket. Either way the same pairs
 #: count, those that share a band; it only changes how often a document is sent.
 MOST_CHUNKS = 32
+#: Classes of sizes of sets, by the logarithm, that make up the ratio that two near sets may differ by.
+SIZE_CLASSES = 8
 #: Words whose hashes a worker keeps; it then starts anew.
 MOST_WORDS = 250_000
 
@@ -205,13 +208,32 @@ def _verified(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[p
         yield out
 
 
-def _units(members: DataFrame, key: str) -> DataFrame:
-    """Rows (key, x, y, side, node, ...) of units of verification, from rows (key, node, n, n_all, ...): a group of chunks, each
-    compared with itself and with each other one. A chunk number is a hash of the node, so a large group is spread evenly."""
-    chunks = F.greatest(F.ceil(F.col("n") / CHUNK_DOCS), F.ceil(F.col("n_all") / CHUNK_GRAMS)).cast("int")
-    own = members.withColumn("chunks", chunks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    other = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    return other.select(F.col(key).alias("unit"), F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "band")
+def _units(members: DataFrame, key: str, threshold: float) -> DataFrame:
+    """Rows (unit, x, y, side, node, band) of units of verification, from rows (key, node, n, n_all, n_grams, band): a group's chunks, each compared with
+    itself and with those whose sets may be near.
+
+    Most groups are one chunk. The nodes of a larger one are laid out by the size of their sets, in classes of which SIZE_CLASSES make up the ratio that
+    near sets may differ by, and spread by a hash within a class; chunks are cut from that row. A node is sent to the chunks that hold
+    classes within that ratio of its own and to no others: with sizes that spread, a group that grows has more chunks, not more for each node.
+    """
+    big = (F.col("n") > CHUNK_DOCS) | (F.col("n_all") > CHUNK_GRAMS)
+    unit = F.col(key).alias("unit")
+    zero = F.lit(0)
+    alone = members.filter(~big).select(unit, zero.alias("x"), zero.alias("y"), zero.alias("side"), "node", "band")
+    ratio = math.log(1 / threshold) / SIZE_CLASSES if threshold < 1 else 1e-6
+    large = members.filter(big).withColumn("_class", F.floor(F.log(F.col("n_grams").cast("double")) / ratio))
+    # a row a group and class; half a chunk's weight is a node's that is as heavy
+    weight = F.greatest(F.count("*") / float(CHUNK_DOCS), F.sum("n_grams") / float(CHUNK_GRAMS))
+    order = W.partitionBy(key).orderBy("_class")
+    classes = large.groupBy(key, "_class").agg(weight.alias("_weight")).withColumn("_end", F.sum("_weight").over(order.rowsBetween(W.unboundedPreceding, 0)))
+    classes = classes.withColumn("_begin", F.coalesce(F.lag("_end").over(order), F.lit(0.0)))
+    # one class more than the ratio has, for rounding
+    near = order.rangeBetween(-(SIZE_CLASSES + 1), SIZE_CLASSES + 1)
+    classes = classes.withColumns({"_low": F.floor(F.min("_begin").over(near)), "_high": F.ceil(F.max("_end").over(near)) - 1})
+    part = F.pmod(F.xxhash64("node"), F.lit(1 << 30)) / float(1 << 30)
+    own = large.join(classes, [key, "_class"]).withColumn("own", F.floor(F.col("_begin") + part * (F.col("_end") - F.col("_begin"))))
+    other = own.withColumn("other", F.explode(F.sequence(F.least("_low", "own"), F.greatest("_high", "own"))))
+    return alone.unionByName(other.select(unit, F.least("own", "other").cast("int").alias("x"), F.greatest("own", "other").cast("int").alias("y"), (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "band"))
 
 
 def jaccard_links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 5, threshold: float = 0.8, recall: float = 0.9995, seed: int = 8) -> DataFrame:
@@ -223,7 +245,7 @@ def jaccard_links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     Steps: n-gram sets are signed; equal sets become one node; bands of nodes shuffle on their hashes; buckets with the same
     members are compared once. Nodes that share buckets form candidate components, and each node's full set is sent once to
     its component's unit, where all pairs are compared as blocks of a matrix product. A component of several chunks has a unit
-    for each two chunks, so its work is spread; one of over MOST_CHUNKS chunks is compared bucket by bucket, and a pair counts
+    for each two chunks whose sets may be near by their sizes, so its work is spread; one of over MOST_CHUNKS chunks is compared bucket by bucket, and a pair counts
     in the first band in which it meets. In both ways those pairs count that share a band, so results don't depend on a group's
     size. No pair is a row, and no partner is left out. A pair at the threshold meets with the stated recall, one above it with more.
 
@@ -251,9 +273,9 @@ def jaccard_links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     comps = components(members.select(F.col("node").alias("u"), F.col("low").alias("v")))
     sized = comps.join(classes.select("node", "n_grams"), "node")
     sizes = sized.groupBy("root").agg(F.count("*").alias("n"), F.sum("n_grams").alias("n_all"))
-    comps = durable(sized.select("node", "root").join(sizes, "root"), "candidates")
+    comps = durable(sized.select("node", "root", "n_grams").join(sizes, "root"), "candidates")
     small = (F.col("n") <= MOST_CHUNKS * CHUNK_DOCS) & (F.col("n_all") <= MOST_CHUNKS * CHUNK_GRAMS)
-    units = _units(comps.filter(small).withColumn("band", F.lit(-1)), "root").unionByName(_units(members.join(comps.filter(~small).select("node"), "node", "left_semi"), "key"))
+    units = _units(comps.filter(small).withColumn("band", F.lit(-1)), "root", threshold).unionByName(_units(members.join(comps.filter(~small).select("node"), "node", "left_semi"), "key", threshold))
 
     wanted = classes.join(comps.select("node"), "node", "left_semi").select("node", _whole(F.col("first.id")).alias("id"), "first.text_hash")
     met = source.withColumn("id", _whole(F.col("id"))).join(wanted, ["id", "text_hash"]).groupBy("node").agg(F.any_value("text").alias("text"))

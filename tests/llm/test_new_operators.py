@@ -14,7 +14,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from terramatch.llm import centroids, importance, mixing, packing, pii, queries, toxicity
+from terramatch.llm import centroids, importance, mixing, near_dup, packing, pii, queries, toxicity
 
 DATA = "/root/testdata/sf0.001"
 LABELLED = "/root/testdata/sf0.01"
@@ -289,3 +289,42 @@ def test_names_are_found_again_and_account_numbers_stay_right(spark):
 
     a, b, c = re.search(r"Pay (.+) or (\w+) or (\w+)\.", row.text).groups()
     assert passes(a) and passes(b) and a.startswith("GB") and re.fullmatch(r"GB\d\d [A-Z]{4} \d{4} \d{4} \d{4} \d\d", a) and c.startswith("DE")
+
+
+# ---- near duplicates
+
+
+def sent(spark, sizes: list[int]) -> tuple[int, set[tuple[int, int]]]:
+    """Rows that units of one large group get, and the pairs of nodes that meet in a unit."""
+    rows = [(7, i, len(sizes), sum(sizes), n, -1) for i, n in enumerate(sizes)]
+    units = near_dup._units(spark.createDataFrame(rows, "root long, node long, n long, n_all long, n_grams long, band int"), "root", 0.8).collect()
+    by_unit = {}
+    for u in units:
+        by_unit.setdefault((u.x, u.y), ([], []))[u.side].append(u.node)
+    met = Counter()
+    for (x, y), (a, b) in by_unit.items():
+        met.update({(min(i, j), max(i, j)) for i in a for j in (a if x == y else b) if i != j})
+    assert max(met.values(), default=0) <= 1  # no pair twice
+    return len(units), set(met)
+
+
+def test_a_group_of_many_sizes_sends_each_set_to_few_chunks(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "CHUNK_DOCS", 16)
+    rng = random.Random(2)
+    counts = {}
+    for n in (400, 800):
+        sizes = [int(10 ** rng.uniform(1, 5)) for _ in range(n)]
+        monkeypatch.setattr(near_dup, "CHUNK_GRAMS", 16 * sum(sizes) // n)
+        counts[n], met = sent(spark, sizes)
+        near = {(i, j) for i in range(n) for j in range(i + 1, n) if min(sizes[i], sizes[j]) >= 0.8 * max(sizes[i], sizes[j])}
+        assert near <= met
+    # twice the chunks within reach, of all of which a node had been sent to
+    assert counts[800] < 0.25 * 800 * 800 / 16
+
+
+def test_a_group_of_one_size_still_meets_whole(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "CHUNK_DOCS", 16)
+    _, met = sent(spark, [100] * 90)
+    assert len(met) == 90 * 89 // 2
+    few, met = sent(spark, [5, 100, 7])
+    assert few == 3 and len(met) == 3
