@@ -146,7 +146,7 @@ def candidate_pairs(k: DataFrame, m: DataFrame, hard: list[str], widths: dict[st
         left = left.withColumn("_bin", F.explode(bins_of(F.col(by), widths[by]))) if by else left
         left = left.join(sizes, group).groupBy("k_id", *hard, *widths, "start", "have").agg(F.sum("_n").alias("_n"))
         far = F.least(F.lit(n), F.ceil(F.lit(n) * float(LOOKS_EACH * required) / F.col("_n"))).cast("long")
-    left = durable(left.withColumns({"low": F.lit(0).cast("long"), "high": far}).drop("_n"), "seeking")
+    left = durable(left.withColumns({"low": F.lit(0).cast("long"), "high": far}).drop("_n"), "starts")
     found: DataFrame | None = None
     while True:
         a, b = F.col("start") + F.col("low"), F.col("start") + F.col("high")
