@@ -14,7 +14,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from terramatch.llm import centroids, importance, mixing, near_dup, packing, pii, queries, toxicity
+from terramatch.llm import centroids, classifier, importance, mixing, near_dup, packing, pii, queries, toxicity
 
 DATA = "/root/testdata/sf0.001"
 LABELLED = "/root/testdata/sf0.01"
@@ -328,3 +328,36 @@ def test_a_group_of_one_size_still_meets_whole(spark, monkeypatch):
     assert len(met) == 90 * 89 // 2
     few, met = sent(spark, [5, 100, 7])
     assert few == 3 and len(met) == 3
+
+
+# ---- the linear scorer
+
+
+def test_the_scorer_is_a_logistic_regression():
+    """Beside plain gradient descent on the same loss, with dense features: both classes weigh the same."""
+    texts, toxic = made_texts(240, 9, ["grux", "zwo"])
+    found = [classifier.features(t) for t in texts]
+    used = sorted({int(i) for _, f in found for i in f})
+    place = {f: i for i, f in enumerate(used)}
+    x, y = np.zeros((len(texts), len(used))), np.array(toxic, dtype=float)
+    for row, (distinct, numbers) in zip(x, found, strict=True):
+        for at, f in enumerate(numbers):
+            row[place[int(f)]] += 1.0 if at >= len(numbers) - classifier.OWN else 1 / math.sqrt(max(distinct, 1))
+    weight = y / y.sum() + (1 - y) / (1 - y).sum()
+    sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+    def loss(w, b):
+        p = np.clip(sigmoid(x @ w + b), 1e-12, 1 - 1e-12)
+        return -(weight * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum() + 1e-4 / 2 * (w @ w)
+
+    w, b = np.zeros(len(used)), 0.0
+    for _ in range(4000):
+        wrong = (sigmoid(x @ w + b) - y) * weight
+        w, b = w - 0.5 * (x.T @ wrong + 1e-4 * w), b - 0.5 * wrong.sum()
+    scorer = classifier.fit_scorer(found, y)
+    assert not set(np.flatnonzero(scorer.weights)) - set(used)
+    assert loss(scorer.weights[used], scorer.bias) < 0.1 * loss(np.zeros(len(used)), 0.0) and loss(scorer.weights[used], scorer.bias) < loss(w, b) + 0.1
+    mine, plain = sigmoid(x @ scorer.weights[used] + scorer.bias), sigmoid(x @ w + b)
+    assert ((mine > 0.5) == (plain > 0.5)).mean() > 0.98
+    both = classifier.Classifier({}, {"low": scorer, "toxic": classifier.Scorer(np.zeros(1 << classifier.FEATURE_BITS), -1.0)})
+    assert both.scores(texts) == pytest.approx(np.stack([mine, np.full(len(texts), sigmoid(-1.0))], axis=1), abs=2e-4)
