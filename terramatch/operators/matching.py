@@ -132,17 +132,18 @@ def candidate_pairs(k: DataFrame, m: DataFrame, hard: list[str], widths: dict[st
     """
     m = m.select(F.col(key).alias("m_id"), "pos", *hard, *widths)
     n = max(m.count(), 1)
-    block = max(1, -(-n // BLOCKS))
-    m = m.withColumn("_block", F.floor(F.col("pos") / block))
     if by:
         m = m.withColumn("_bin", F.floor(F.col(by) / widths[by]))
     group = [*hard, *(["_bin"] if by else [])]
-    pool = bucketed(m, "pool", [*group, "_block"], POOL_BUCKETS if n > 1_000_000 else 8)
+    # a group's blocks hold about as many of its rows as the first round looks at, so a small group is one block
+    sizes = m.groupBy(*group).agg(F.count("*").alias("_n")).withColumn("_length", F.ceil(F.lit(n) / F.least(F.lit(BLOCKS), F.ceil(F.col("_n") / (LOOKS_EACH * required)))))
+    sizes = durable(sizes, "group-sizes")
+    pool = m.join(sizes.select(*group, "_length"), group).withColumn("_block", F.floor(F.col("pos") / F.col("_length"))).drop("_length")
+    pool = bucketed(pool, "pool", [*group, "_block"], POOL_BUCKETS if n > 1_000_000 else 8)
     left = k.select(F.col(key).alias("k_id"), *hard, *widths, F.pmod(F.xxhash64(F.lit(seed), F.col(key)) if start is None else start, F.lit(n)).cast("long").alias("start"), F.lit(0).cast("long").alias("have"))
     if span:
         far = F.lit(min(n, span)).cast("long")
     else:
-        sizes = pool.groupBy(*group).agg(F.count("*").alias("_n"))
         left = left.withColumn("_bin", F.explode(bins_of(F.col(by), widths[by]))) if by else left
         left = left.join(sizes, group).groupBy("k_id", *hard, *widths, "start", "have").agg(F.sum("_n").alias("_n"))
         far = F.least(F.lit(n), F.ceil(F.lit(n) * float(LOOKS_EACH * required) / F.col("_n"))).cast("long")
@@ -151,11 +152,11 @@ def candidate_pairs(k: DataFrame, m: DataFrame, hard: list[str], widths: dict[st
     while True:
         a, b = F.col("start") + F.col("low"), F.col("start") + F.col("high")
         nothing = F.array().cast("array<long>")
-        here = F.when(a < n, F.sequence(F.floor(a / block), F.floor((F.least(b, F.lit(n)) - 1) / block))).otherwise(nothing)
-        past = F.when(b > n, F.sequence(F.floor(F.greatest(a - n, F.lit(0)) / block), F.floor((b - n - 1) / block))).otherwise(nothing)
-        seeking = left.withColumn("_block", F.explode(F.array_union(here, past)))
-        if by:
-            seeking = seeking.withColumn("_bin", F.explode(bins_of(F.col(by), widths[by])))
+        to = lambda v: F.floor(v / F.col("_length"))
+        here = F.when(a < n, F.sequence(to(a), to(F.least(b, F.lit(n)) - 1))).otherwise(nothing)
+        past = F.when(b > n, F.sequence(to(F.greatest(a - n, F.lit(0))), to(b - n - 1))).otherwise(nothing)
+        seeking = left.withColumn("_bin", F.explode(bins_of(F.col(by), widths[by]))) if by else left
+        seeking = seeking.join(sizes.select(*group, "_length"), group).withColumn("_block", F.explode(F.array_union(here, past))).drop("_length")
         on = reduce(lambda x, y: x & y, [F.col(f"m.{c}") == F.col(f"k.{c}") for c in [*group, "_block"]], band_condition("m", "k", widths))
         met = pool.alias("m").join(seeking.alias("k"), on)
         met = met.select("k_id", "m_id", "have", "low", "high", F.pmod(F.col("pos") - F.col("start"), F.lit(n)).alias("step")).filter((F.col("step") >= F.col("low")) & (F.col("step") < F.col("high")))
